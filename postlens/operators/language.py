@@ -1,0 +1,178 @@
+"""Language identification: guards, confidence, trained profiles, function words."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from postlens.functions import lookup, text as X
+from postlens.functions.numbers import to_micro
+from postlens.functions.wordlists import LANGUAGE_WORDS
+
+UNKNOWN = "unknown"
+GRAM = r"(?=([a-z ]{3}))"
+
+
+def langid_text(c: Column) -> Column:
+    """The ASCII letters and single blanks of a text, in lower case."""
+    return F.lower(X.collapse_ws(X.letters_only(F.coalesce(c, F.lit("")))))
+
+
+def too_short(letters: Column) -> Column:
+    """True if a text leaves fewer than three characters after ``langid_text``.
+
+    A stripped text of fewer than three characters cannot leave three either,
+    so this one test stands for the guards on the text and on its letters.
+    """
+    return F.length(letters) < 3
+
+
+def language_confidence(n_words: Column) -> Column:
+    """A tenth per word, at least 0.5 and at most 0.95; whole hundredths, so exact."""
+    return F.least(F.lit(95), F.greatest(F.lit(50), F.lit(10) * n_words)).cast("double") / F.lit(100.0)
+
+
+def blank_words(letters: Column) -> Column:
+    """Number of words of a text whose words are split by single blanks."""
+    gaps = F.length(letters) - F.length(F.replace(letters, F.lit(" "), F.lit("")))
+    return F.when(letters == "", 0).otherwise(gaps + 1)
+
+
+def grams(letters: Column) -> Column:
+    """All trigrams of the text, with a blank before the first and after the last word."""
+    return F.regexp_extract_all(F.concat(F.lit(" "), letters, F.lit(" ")), F.lit(GRAM), F.lit(1))
+
+
+def train_language_profiles(
+    df: DataFrame, text: str = "text", lang: str = "lang", top: int = 300
+) -> DataFrame:
+    """Profiles ``(lang, gram, weight, floor)`` from texts of known language.
+
+    ``weight`` is the smoothed log frequency of the gram in its language in
+    millionths, ``floor`` that of a gram never seen. Counting is a partial
+    aggregate over at most 27**3 grams per language, so neither a frequent
+    language nor a frequent gram makes a large group.
+    """
+    counts = (
+        df.where(F.col(lang).isNotNull())
+        .select(F.col(lang).alias("lang"), F.explode(grams(langid_text(F.col(text)))).alias("gram"))
+        .groupBy("lang", "gram")
+        .agg(F.count("*").alias("n"))
+    )
+    by_lang = Window.partitionBy("lang")
+    ranked = counts.withColumn("total", F.sum("n").over(by_lang)).withColumn(
+        "rank", F.row_number().over(by_lang.orderBy(F.desc("n"), "gram"))
+    )
+    log = lambda n: to_micro(F.ln(n / F.col("total").cast("double")))
+    return ranked.where(F.col("rank") <= top).select(
+        "lang", "gram", log(F.col("n") + F.lit(0.5)).alias("weight"), log(F.lit(0.5)).alias("floor")
+    )
+
+
+def detect_language(
+    df: DataFrame,
+    profiles: DataFrame,
+    text: str = "original_text",
+    id_col: str = "id_post",
+    max_keys: int = lookup.MAX_KEYS,
+) -> DataFrame:
+    """Add ``language`` and ``confidence`` by the profile with the highest score.
+
+    The score of a language adds, for every trigram of the whole text, its
+    weight or the floor; ties go to the first code. Profiles of up to
+    ``max_keys`` rows are read inside the row, larger ones are joined.
+    """
+    rows = lookup.bounded_rows(profiles, "gram", max_keys)
+    letters = df.withColumn("_letters", langid_text(F.col(text)))
+    scored = _best_by_join(letters, profiles, id_col) if rows is None else _best_in_row(letters, rows)
+    return scored.transform(_guarded).drop("_letters", "_best")
+
+
+def _guarded(df: DataFrame) -> DataFrame:
+    known = F.col("_best").isNotNull() & ~too_short(F.col("_letters"))
+    return df.withColumn("language", F.when(known, F.col("_best")).otherwise(UNKNOWN)).withColumn(
+        "confidence",
+        F.when(known, language_confidence(blank_words(F.col("_letters")))).otherwise(F.lit(0.0)),
+    )
+
+
+def _best_in_row(df: DataFrame, rows: list) -> DataFrame:
+    floors = {r["lang"]: r["floor"] for r in rows}
+    langs = sorted(floors)
+    if not langs:
+        return df.withColumn("_best", F.lit(None).cast("string"))
+    gains: dict[str, list[int]] = {}
+    hashes = {}
+    for r in rows:
+        gains.setdefault(r["gram"], [0] * len(langs))[langs.index(r["lang"])] = r["weight"] - r["floor"]
+        hashes[r["gram"]] = r["_hash"]
+    find = lookup.constant_lookup([(g, hashes[g], v) for g, v in gains.items()], "array<bigint>")
+    # A gram without an entry adds nothing; every gram of the text adds the
+    # floor of each language, and a text has as many grams as characters.
+    added = F.aggregate(
+        grams(F.col("_letters")),
+        F.array(*[F.lit(0).cast("bigint") for _ in langs]),
+        lambda acc, g: F.coalesce(F.zip_with(acc, find(g), lambda a, b: a + b), acc),
+    )
+    floor = F.array(*[F.lit(floors[x]).cast("bigint") for x in langs])
+    scores = F.zip_with("_gains", floor, lambda s, f: s + f * F.length("_letters"))
+    first = F.array_position("_scores", F.array_max("_scores")).cast("int")
+    return (
+        df.withColumn("_gains", added)
+        .withColumn("_scores", F.when(F.array_max("_gains") > 0, scores))
+        .withColumn("_best", F.get(F.array(*[F.lit(x) for x in langs]), first - 1))
+        .drop("_gains", "_scores")
+    )
+
+
+def _best_by_join(df: DataFrame, profiles: DataFrame, id_col: str, salts: int = lookup.SALTS) -> DataFrame:
+    """The same scores by a salted join of each row's distinct grams to the profiles."""
+    doc_grams = (
+        df.select(F.col(id_col).alias("_id"), F.explode(grams(F.col("_letters"))).alias("gram"))
+        .groupBy("_id", "gram")
+        .agg(F.count("*").alias("n"))
+    )
+    salted = profiles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    gained = (
+        doc_grams.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int"))
+        .join(salted, ["gram", "_salt"])
+        .groupBy("_id", "lang")
+        .agg(F.sum(F.col("n") * (F.col("weight") - F.col("floor"))).alias("gain"), F.max("floor").alias("floor"))
+    )
+    sizes = doc_grams.groupBy("_id").agg(F.sum("n").alias("n"))
+    # A language without a hit in a text scores its floors alone there. Only
+    # the one with the highest floor can win that way.
+    high = profiles.orderBy(F.desc("floor"), "lang").select("lang", "floor").first()
+    best = (
+        gained.join(sizes, "_id")
+        .groupBy("_id")
+        .agg(
+            F.min(F.struct((-(F.col("gain") + F.col("n") * F.col("floor"))).alias("loss"), "lang")).alias("hit"),
+            F.max("n").alias("n"),
+        )
+        .withColumn("rest", F.struct((-F.col("n") * F.lit(high["floor"])).alias("loss"), F.lit(high["lang"]).alias("lang")))
+        .select("_id", F.least("hit", "rest")["lang"].alias("_best"))
+    )
+    return df.join(best, F.col(id_col) == F.col("_id"), "left").drop("_id")
+
+
+def _hits(words: str, wanted: list[str]) -> Column:
+    return F.size(F.filter(words, lambda w: w.isin(wanted)))
+
+
+def detect_language_words(df: DataFrame, text: str = "original_text") -> DataFrame:
+    """Add ``language`` and ``confidence`` by the share of function words; needs no profile."""
+    langs = sorted(LANGUAGE_WORDS)
+    hits = F.array(*[_hits("_words", LANGUAGE_WORDS[x]) for x in langs])
+    first = F.array_position("_hits", F.array_max("_hits")).cast("int")
+    return (
+        df.withColumn("_letters", langid_text(F.col(text)))
+        .withColumn("_words", F.split("_letters", " "))
+        .withColumn("_hits", hits)
+        .withColumn(
+            "_best",
+            F.when(F.array_max("_hits") > 0, F.get(F.array(*[F.lit(x) for x in langs]), first - 1)),
+        )
+        .transform(_guarded)
+        .drop("_letters", "_words", "_hits", "_best")
+    )
