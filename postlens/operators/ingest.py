@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.text import strip_ws
 
 SOURCE = "kaggle_dataset"
 SEPARATOR = "\u0001"
+COPIES_PER_TASK = 100_000
 
 
 def has_text(text: Column) -> Column:
@@ -48,7 +48,7 @@ def make_posts(
     keyed = (
         rows.withColumn("id_post", F.col(id_col).cast("string"))
         if id_col
-        else content_ids(rows, ["source", "text", "label", "type"])
+        else content_ids(rows.select("source", "text", "label", "type"))
     )
     return keyed.select(
         "id_post", "text", "label", "type", created.cast("timestamp").alias("created_at"),
@@ -56,29 +56,25 @@ def make_posts(
     )
 
 
-def content_ids(df: DataFrame, columns: Sequence[str], out: str = "id_post") -> DataFrame:
-    """Add a stable unique id: a hash of the columns and the occurrence of that content.
+def content_ids(df: DataFrame, out: str = "id_post", chunk: int = COPIES_PER_TASK) -> DataFrame:
+    """Add a stable unique id: a hash of the whole row and of its number among its copies.
 
-    Copies are numbered in two steps, first inside each input partition, then
-    by the partitions' shares, because one text may make up a third of all rows:
-    no task ever numbers more copies than one input partition holds. Copies are
-    alike, so the set of ids does not depend on how the input was split.
+    Copies are alike, so it is enough to count them and to write them out
+    again. The count is a partial aggregate, and more than ``chunk`` copies are
+    written out by several tasks: one text may make up a third of all rows.
     """
-    rows = df.withColumn(
-        "_content", F.sha2(F.concat_ws(SEPARATOR, *[F.col(c).cast("string") for c in columns]), 256)
-    ).withColumn("_part", F.spark_partition_id())
-    local = Window.partitionBy("_content", "_part").orderBy("_content")
-    shares = rows.groupBy("_content", "_part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("_content").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # Only contents that occur in several partitions need an offset.
-    offsets = shares.withColumn("_offset", F.sum("_n").over(before)).where("_offset > 0").drop("_n")
-    return (
-        rows.withColumn("_seq", F.row_number().over(local))
-        .join(offsets, ["_content", "_part"], "left")
-        .withColumn("_seq", F.col("_seq") + F.coalesce("_offset", F.lit(0)))
-        .withColumn(out, F.sha2(F.concat_ws(SEPARATOR, "_content", F.col("_seq").cast("string")), 256))
-        .drop("_content", "_part", "_seq", "_offset")
+    columns = df.columns
+    grouped = df.groupBy(*columns).agg(F.count("*").alias("_n"))
+    few = grouped.where(F.col("_n") <= chunk).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
+    many = (
+        grouped.where(F.col("_n") > chunk)
+        .withColumn("_chunk", F.explode(F.expr(f"sequence(0L, (_n - 1) div {chunk})")))
+        .repartition(F.xxhash64(*columns), F.col("_chunk"))
+        .withColumn("_copy", F.explode(F.expr(f"sequence(_chunk * {chunk} + 1, least((_chunk + 1) * {chunk}, _n))")))
+        .drop("_chunk")
     )
+    content = F.sha2(F.concat_ws(SEPARATOR, *[F.col(c).cast("string") for c in columns], F.col("_copy").cast("string")), 256)
+    return few.unionByName(many).select(content.alias(out), *columns)
 
 
 def duplicate_ids(df: DataFrame, key: str = "id_post") -> DataFrame:
