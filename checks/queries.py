@@ -45,8 +45,17 @@ def enriched(spark, sf) -> DataFrame:
     return enrich.enrich(found, B.lexicon(spark), profiles(spark, sf))
 
 
+INDEXES: dict[tuple[str, str], str] = {}
+
+
 def flat(spark, sf) -> DataFrame:
-    return docs.flatten_docs(enriched(spark, sf))
+    """The published index, as the reports read it; written by the first report of a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in INDEXES:
+        root = incremental.shared_folder(spark)
+        store.publish(docs.flatten_docs(enriched(spark, sf)), root)
+        INDEXES[key] = root
+    return store.read_published(spark, INDEXES[key])
 
 
 def flat_results(df: DataFrame) -> DataFrame:
@@ -208,7 +217,8 @@ def reset_nlp(spark, sf):
 
 @query
 def flatten_docs(spark, sf):
-    return flat(spark, sf).withColumns({c: F.col(c).cast("bigint") for c in ("longueur_texte", "nb_mots")})
+    rows = docs.flatten_docs(enriched(spark, sf))
+    return rows.withColumns({c: F.col(c).cast("bigint") for c in ("longueur_texte", "nb_mots")})
 
 
 @query
@@ -380,20 +390,20 @@ def train_language_profiles(spark, sf):
 @query
 def detect_language(spark, sf):
     rows = language.detect_language(B.documents(spark, sf, "text"), profiles(spark, sf), "text")
-    return rows.select("id_post", "language", "confidence")
+    return rows.select("id_post", "language_detection.language", "language_detection.confidence")
 
 
 @query
 def detect_language_joined(spark, sf):
     """The same by the join that serves profiles of any size."""
     rows = language.detect_language(B.documents(spark, sf, "text"), profiles(spark, sf), "text", max_keys=0)
-    return rows.select("id_post", "language", "confidence")
+    return rows.select("id_post", "language_detection.language", "language_detection.confidence")
 
 
 @query
 def detect_language_words(spark, sf):
     rows = language.detect_language_words(B.documents(spark, sf, "text"), "text")
-    return rows.select("id_post", "language", "confidence")
+    return rows.select("id_post", "language_detection.language", "language_detection.confidence")
 
 
 # --- sentiment ----------------------------------------------------------------
@@ -401,9 +411,9 @@ def detect_language_words(spark, sf):
 
 @query
 def exact_round(spark, sf):
-    x = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) / F.lit(97.0)
+    x = "l_extendedprice * (1D - l_discount) / 97D"
     return B.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", numbers.exact_round(x).alias("rounded"), numbers.exact_round(-x, 2).alias("negative")
+        "l_orderkey", "l_linenumber", numbers.exact_round(x).alias("rounded"), numbers.exact_round(f"-({x})", 2).alias("negative")
     )
 
 
@@ -441,9 +451,11 @@ def valence_scores_joined(spark, sf):
 
 @query
 def sentiment_labels(spark, sf):
-    x = F.col("value") / F.lit(100.0) - F.lit(0.2)
+    x = "(value / 100D - 0.2D)"
     return B.table(spark, sf, "events").select(
-        "event_id", sentiment.polarity_label(x).alias("polarity_label"), sentiment.valence_label(x).alias("valence_label")
+        "event_id",
+        F.expr(sentiment.polarity_label(x)).alias("polarity_label"),
+        F.expr(sentiment.valence_label(x)).alias("valence_label"),
     )
 
 

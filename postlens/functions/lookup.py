@@ -11,14 +11,14 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 MAX_KEYS = 50_000
 SALTS = 32
 SET_TEST_KEYS = 5_000
 
-Lookup = Callable[[Column], Column]
+Lookup = Callable[[str], str]
 EntryAdder = Callable[[DataFrame, str, str, str], DataFrame]
 
 
@@ -31,11 +31,17 @@ def bounded_rows(table: DataFrame, key: str, max_rows: int) -> list[Row] | None:
     return rows if len(rows) <= max_rows else None
 
 
+def literal(text: str) -> str:
+    """``text`` as a SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def constant_lookup(entries: Sequence[tuple[str, int, object]], entry_type: str) -> Lookup:
     """Lookup in a constant built from ``(key, xxhash64 of the key, entry)`` triples.
 
     The constant is an array of small maps, indexed by the hash of the key, so
-    a lookup costs one hash and one short scan whatever the number of keys.
+    a lookup costs one hash and one short scan whatever the number of keys. The
+    result is a function from the SQL text of a word to that of its entry.
     """
     size = 1
     while size < len(entries):
@@ -43,13 +49,13 @@ def constant_lookup(entries: Sequence[tuple[str, int, object]], entry_type: str)
     buckets: list[dict] = [{} for _ in range(size)]
     for key, hashed, entry in entries:
         buckets[hashed % size][key] = entry
-    keys = [key for key, _, _ in entries]
-    constant = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{entry_type}>>")
+    constant = f"from_json({literal(json.dumps(buckets))}, {literal(f'array<map<string,{entry_type}>>')})"
+    keys = ", ".join(literal(key) for key, _, _ in entries)
 
-    def find(word: Column) -> Column:
-        entry = F.get(constant, F.pmod(F.xxhash64(word), F.lit(size)).cast("int"))[word]
+    def find(word: str) -> str:
+        entry = f"element_at(get({constant}, int(pmod(xxhash64({word}), {size}L))), {word})"
         # A set test skips the words without an entry, which are most of them.
-        return F.when(word.isin(keys), entry) if len(keys) <= SET_TEST_KEYS else entry
+        return f"CASE WHEN {word} IN ({keys}) THEN {entry} END" if 0 < len(entries) <= SET_TEST_KEYS else entry
 
     return find
 
@@ -67,7 +73,7 @@ def entry_adder(table: DataFrame, key: str, max_keys: int = MAX_KEYS) -> EntryAd
     values = [f for f in table.schema.fields if f.name != key]
     entry_type = "struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in values) + ">"
     find = constant_lookup([(r[key], r["_hash"], {f.name: r[f.name] for f in values}) for r in rows], entry_type)
-    return lambda df, id_col, elements, out: df.withColumn(out, F.transform(elements, find))
+    return lambda df, id_col, elements, out: df.withColumn(out, F.expr(f"transform({elements}, w -> {find('w')})"))
 
 
 def join_entries(

@@ -20,18 +20,12 @@ CLEAN_COLUMNS = ["original_text", "cleaned_text", "tokens", "processed_text", "w
 def clean_text(df: DataFrame, text: str = "text") -> DataFrame:
     """Add ``original_text`` (the text in lower case) and ``cleaned_text``.
 
-    Markup, entities and links are looked for only in rows that can hold them.
-    Each step is a projection of its own: Spark keeps them apart because the
-    next one reads them more than once, so every expression runs once per row.
+    Special characters, punctuation and digits go in one pass: together the
+    three steps leave exactly the letters and the whitespace.
     """
-    c = F.col("cleaned_text")
-    return (
-        df.withColumn("original_text", F.lower(F.coalesce(F.col(text), F.lit(""))))
-        .withColumn("cleaned_text", F.col("original_text"))
-        .withColumn("cleaned_text", F.when(F.contains(c, F.lit("<")), X.strip_markup(c)).otherwise(c))
-        .withColumn("cleaned_text", F.when(F.contains(c, F.lit("&")), X.decode_entities(c)).otherwise(c))
-        .withColumn("cleaned_text", F.when(F.contains(c, F.lit("http")), X.strip_urls(c)).otherwise(c))
-        .withColumn("cleaned_text", X.collapse_ws(X.letters_only(c)))
+    bare = X.strip_urls(X.strip_html(F.col("original_text")))
+    return df.withColumn("original_text", F.lower(F.coalesce(F.col(text), F.lit("")))).withColumn(
+        "cleaned_text", X.collapse_ws(X.letters_only(bare))
     )
 
 

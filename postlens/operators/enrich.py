@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from postlens.functions import lookup
 from postlens.operators import language, sentiment
@@ -27,9 +26,5 @@ def enrich(
     if profiles is None:
         found = language.detect_language_words(df)
     else:
-        found = language.detect_language(df, profiles, "original_text", id_col, max_keys)
-    return (
-        found.withColumn("language_detection", F.struct("language", "confidence"))
-        .drop("language", "confidence")
-        .transform(sentiment.score_sentiment, terms, id_col, max_keys)
-    )
+        found = language.detect_language(df, profiles, id_col=id_col, max_keys=max_keys)
+    return found.transform(sentiment.score_sentiment, terms, id_col, max_keys)

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions import lookup, text as X
+from postlens.functions.binding import let_sql
 from postlens.functions.numbers import to_micro
 from postlens.functions.wordlists import LANGUAGE_WORDS
 
 UNKNOWN = "unknown"
+MIN_LETTERS = 3
 GRAM = r"(?=([a-z ]{3}))"
 
 
@@ -24,7 +26,7 @@ def too_short(letters: Column) -> Column:
     A stripped text of fewer than three characters cannot leave three either,
     so this one test stands for the guards on the text and on its letters.
     """
-    return F.length(letters) < 3
+    return F.length(letters) < MIN_LETTERS
 
 
 def language_confidence(n_words: Column) -> Column:
@@ -38,9 +40,9 @@ def blank_words(letters: Column) -> Column:
     return F.when(letters == "", 0).otherwise(gaps + 1)
 
 
-def grams(letters: Column) -> Column:
+def _grams(letters: str) -> str:
     """All trigrams of the text, with a blank before the first and after the last word."""
-    return F.regexp_extract_all(F.concat(F.lit(" "), letters, F.lit(" ")), F.lit(GRAM), F.lit(1))
+    return f"regexp_extract_all(concat(' ', {letters}, ' '), {lookup.literal(GRAM)}, 1)"
 
 
 def train_language_profiles(
@@ -55,7 +57,8 @@ def train_language_profiles(
     """
     counts = (
         df.where(F.col(lang).isNotNull())
-        .select(F.col(lang).alias("lang"), F.explode(grams(langid_text(F.col(text)))).alias("gram"))
+        .select(F.col(lang).alias("lang"), langid_text(F.col(text)).alias("letters"))
+        .select("lang", F.expr(f"explode({_grams('letters')})").alias("gram"))
         .groupBy("lang", "gram")
         .agg(F.count("*").alias("n"))
     )
@@ -74,61 +77,68 @@ def detect_language(
     profiles: DataFrame,
     text: str = "original_text",
     id_col: str = "id_post",
+    out: str = "language_detection",
     max_keys: int = lookup.MAX_KEYS,
 ) -> DataFrame:
-    """Add ``language`` and ``confidence`` by the profile with the highest score.
+    """Add the struct ``out`` of ``language`` and ``confidence``: the profile with the highest score.
 
     The score of a language adds, for every trigram of the whole text, its
     weight or the floor; ties go to the first code. Profiles of up to
     ``max_keys`` rows are read inside the row, larger ones are joined.
     """
     rows = lookup.bounded_rows(profiles, "gram", max_keys)
-    letters = df.withColumn("_letters", langid_text(F.col(text)))
-    scored = _best_by_join(letters, profiles, id_col) if rows is None else _best_in_row(letters, rows)
-    return scored.transform(_guarded).drop("_letters", "_best")
+    letters = langid_text(F.col(text))
+    if rows is None:
+        found = _best_by_join(df.withColumn("_letters", letters), profiles, id_col)
+        return found.withColumn(out, F.expr(_result("_letters", "_best"))).drop("_letters", "_best")
+    result = let_sql("l", "_letters", _result("l", _best_in_row(rows, "l")))
+    return df.withColumn("_letters", letters).withColumn(out, F.expr(result)).drop("_letters")
+
+
+def _result(letters: str, best: str) -> str:
+    """Language and confidence, after the guards, for the best language of a text."""
+    known = f"b IS NOT NULL AND length({letters}) >= {MIN_LETTERS}"
+    words = f"(CASE WHEN {letters} = '' THEN 0 ELSE length({letters}) - length(replace({letters}, ' ', '')) + 1 END)"
+    return let_sql(
+        "b", best,
+        f"named_struct('language', CASE WHEN {known} THEN b ELSE '{UNKNOWN}' END, "
+        f"'confidence', CASE WHEN {known} THEN double(least(95, greatest(50, 10 * {words}))) / 100D ELSE 0D END)",
+    )
 
 
-def _guarded(df: DataFrame) -> DataFrame:
-    known = F.col("_best").isNotNull() & ~too_short(F.col("_letters"))
-    return df.withColumn("language", F.when(known, F.col("_best")).otherwise(UNKNOWN)).withColumn(
-        "confidence",
-        F.when(known, language_confidence(blank_words(F.col("_letters")))).otherwise(F.lit(0.0)),
-    )
+def _first_best(langs: list[str], scores: str) -> str:
+    """The language with the highest of the scores; the first one of several."""
+    names = ", ".join(lookup.literal(x) for x in langs)
+    return let_sql("s", scores, f"get(array({names}), int(array_position(s, array_max(s))) - 1)")
 
 
-def _best_in_row(df: DataFrame, rows: list) -> DataFrame:
+def _best_in_row(rows: list, letters: str) -> str:
+    """The language of a text by its letters, null without a known gram."""
     floors = {r["lang"]: r["floor"] for r in rows}
     langs = sorted(floors)
     if not langs:
-        return df.withColumn("_best", F.lit(None).cast("string"))
+        return "string(NULL)"
     gains: dict[str, list[int]] = {}
     hashes = {}
     for r in rows:
         gains.setdefault(r["gram"], [0] * len(langs))[langs.index(r["lang"])] = r["weight"] - r["floor"]
         hashes[r["gram"]] = r["_hash"]
     find = lookup.constant_lookup([(g, hashes[g], v) for g, v in gains.items()], "array<bigint>")
+    bigints = lambda values: "array(" + ", ".join(f"{v}L" for v in values) + ")"
     # A gram without an entry adds nothing; every gram of the text adds the
     # floor of each language, and a text has as many grams as characters.
-    added = F.aggregate(
-        grams(F.col("_letters")),
-        F.array(*[F.lit(0).cast("bigint") for _ in langs]),
-        lambda acc, g: F.coalesce(F.zip_with(acc, find(g), lambda a, b: a + b), acc),
-    )
-    floor = F.array(*[F.lit(floors[x]).cast("bigint") for x in langs])
-    scores = F.zip_with("_gains", floor, lambda s, f: s + f * F.length("_letters"))
-    first = F.array_position("_scores", F.array_max("_scores")).cast("int")
-    return (
-        df.withColumn("_gains", added)
-        .withColumn("_scores", F.when(F.array_max("_gains") > 0, scores))
-        .withColumn("_best", F.get(F.array(*[F.lit(x) for x in langs]), first - 1))
-        .drop("_gains", "_scores")
+    added = (
+        f"aggregate({_grams(letters)}, {bigints([0] * len(langs))}, "
+        f"(acc, g) -> coalesce(zip_with(acc, {find('g')}, (a, b) -> a + b), acc))"
     )
+    scores = f"zip_with(gained, {bigints(floors[x] for x in langs)}, (g, f) -> g + f * length({letters}))"
+    return let_sql("gained", added, f"CASE WHEN array_max(gained) > 0 THEN {_first_best(langs, scores)} END")
 
 
 def _best_by_join(df: DataFrame, profiles: DataFrame, id_col: str, salts: int = lookup.SALTS) -> DataFrame:
     """The same scores by a salted join of each row's distinct grams to the profiles."""
     doc_grams = (
-        df.select(F.col(id_col).alias("_id"), F.explode(grams(F.col("_letters"))).alias("gram"))
+        df.select(F.col(id_col).alias("_id"), F.expr(f"explode({_grams('_letters')})").alias("gram"))
         .groupBy("_id", "gram")
         .agg(F.count("*").alias("n"))
     )
@@ -156,23 +166,12 @@ def _best_by_join(df: DataFrame, profiles: DataFrame, id_col: str, salts: int =
     return df.join(best, F.col(id_col) == F.col("_id"), "left").drop("_id")
 
 
-def _hits(words: str, wanted: list[str]) -> Column:
-    return F.size(F.filter(words, lambda w: w.isin(wanted)))
-
-
-def detect_language_words(df: DataFrame, text: str = "original_text") -> DataFrame:
-    """Add ``language`` and ``confidence`` by the share of function words; needs no profile."""
+def detect_language_words(df: DataFrame, text: str = "original_text", out: str = "language_detection") -> DataFrame:
+    """Add the struct ``out`` by the share of function words; needs no profile."""
     langs = sorted(LANGUAGE_WORDS)
-    hits = F.array(*[_hits("_words", LANGUAGE_WORDS[x]) for x in langs])
-    first = F.array_position("_hits", F.array_max("_hits")).cast("int")
-    return (
-        df.withColumn("_letters", langid_text(F.col(text)))
-        .withColumn("_words", F.split("_letters", " "))
-        .withColumn("_hits", hits)
-        .withColumn(
-            "_best",
-            F.when(F.array_max("_hits") > 0, F.get(F.array(*[F.lit(x) for x in langs]), first - 1)),
-        )
-        .transform(_guarded)
-        .drop("_letters", "_words", "_hits", "_best")
-    )
+    listed = {x: ", ".join(lookup.literal(w) for w in LANGUAGE_WORDS[x]) for x in langs}
+    hits = ", ".join(f"size(filter(words, w -> w IN ({listed[x]})))" for x in langs)
+    counted = let_sql("words", "split(l, ' ')", f"array({hits})")
+    best = let_sql("h", counted, f"CASE WHEN array_max(h) > 0 THEN {_first_best(langs, 'h')} END")
+    result = let_sql("l", "_letters", _result("l", best))
+    return df.withColumn("_letters", langid_text(F.col(text))).withColumn(out, F.expr(result)).drop("_letters")

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from postlens.functions import lookup, text as X
 from postlens.functions import wordlists as L
-from postlens.functions.numbers import MICRO, clamp, exact_round, to_micro
+from postlens.functions.binding import let_sql
+from postlens.functions.numbers import MICRO, clamp_sql, exact_round_sql, micro_sql
 
 # Fixed values of the valence rules.
 NEGATED = -0.74
@@ -56,26 +57,27 @@ def merge_terms(valence_terms: DataFrame, polarity_terms: DataFrame) -> DataFram
 
 
 # --- labels and consensus -------------------------------------------------
+#
+# Expressions are SQL text here: a rule of a few hundred terms is parsed once
+# instead of being built by thousands of calls.
 
 
-def polarity_label(polarity: Column) -> Column:
-    return (
-        F.when(polarity > POLARITY_EDGE, "positive").when(polarity < -POLARITY_EDGE, "negative").otherwise("neutral")
-    )
+def polarity_label(x: str) -> str:
+    edge = POLARITY_EDGE
+    return f"CASE WHEN {x} > {edge}D THEN 'positive' WHEN {x} < -{edge}D THEN 'negative' ELSE 'neutral' END"
 
 
-def valence_label(compound: Column) -> Column:
-    return (
-        F.when(compound >= VALENCE_EDGE, "positive").when(compound <= -VALENCE_EDGE, "negative").otherwise("neutral")
-    )
+def valence_label(x: str) -> str:
+    edge = VALENCE_EDGE
+    return f"CASE WHEN {x} >= {edge}D THEN 'positive' WHEN {x} <= -{edge}D THEN 'negative' ELSE 'neutral' END"
 
 
-def consensus(polarity: Column, polarity_lab: Column, compound: Column, valence_lab: Column) -> Column:
+def consensus(polarity: str, polarity_lab: str, compound: str, valence_lab: str) -> str:
     """Agreement keeps the label with 0.8; otherwise the valence label holds with 0.6."""
-    return F.struct(
-        valence_lab.alias("final_sentiment"),
-        F.when(polarity_lab == valence_lab, F.lit(0.8)).otherwise(F.lit(0.6)).alias("confidence"),
-        exact_round((polarity + compound) / F.lit(2.0)).alias("final_score"),
+    return (
+        f"named_struct('final_sentiment', {valence_lab}, "
+        f"'confidence', CASE WHEN {polarity_lab} = {valence_lab} THEN 0.8D ELSE 0.6D END, "
+        f"'final_score', {exact_round_sql(f'({polarity} + {compound}) / 2D')})"
     )
 
 
@@ -96,168 +98,143 @@ def polarity_words(text: Column) -> Column:
 
 
 # --- valence --------------------------------------------------------------
+#
+# In the rules ``e`` is the array of entries, ``i`` the position of a word,
+# ``c`` its entry, and ``v`` its valence so far.
 
 
-def _token_valence(entries: Column, entry: Column, at: Column, capitals: Column | None) -> Column:
-    """Valence of one word after the look-back rules."""
-    before = {d: F.get(entries, at - d) for d in DECAY}
-    after = F.get(entries, at + 1)
-    role = {d: F.coalesce(before[d]["role"], F.lit("")) for d in DECAY}
-    own = F.when((entry["role"] == "no") & after["valence"].isNotNull(), F.lit(0.0)).otherwise(entry["valence"])
-    no_before = (role[1] == "no") | (role[2] == "no") | ((role[3] == "no") & (role[1] == "or"))
-    v = F.when(no_before, entry["valence"] * F.lit(NEGATED)).otherwise(own)
-    toward = lambda x, amount: x + F.when(x < 0, -amount).otherwise(amount)
-    if capitals is not None:
-        v = F.when(F.get(capitals, at), toward(v, F.lit(CAPITALS))).otherwise(v)
-    for d, decay in DECAY.items():
-        near = {1: F.lit(False), 2: role[1] == "doubt", 3: (role[2] == "doubt") | (role[1] == "doubt")}[d]
-        so = {
-            1: F.lit(False),
-            2: (role[2] == "never") & (role[1] == "so"),
-            3: ((role[3] == "never") & (role[2] == "so")) | (role[1] == "so"),
-        }[d]
-        boost = F.coalesce(before[d]["boost"], F.lit(0.0))
-        if capitals is not None:
-            loud = before[d]["boost"].isNotNull() & F.get(capitals, at - d)
-            boost = F.when(loud, boost + F.lit(CAPITALS)).otherwise(boost)
-        factor = (
-            F.when(so, F.lit(NEVER_SO))
-            .when((role[d] == "without") & near, F.lit(1.0))
-            .when(before[d]["negation"], F.lit(NEGATED))
-            .otherwise(F.lit(1.0))
-        )
-        applies = (at >= d) & before[d]["valence"].isNull()
-        v = F.when(applies, toward(v, boost * F.lit(decay)) * factor).otherwise(v)
-    least = (role[1] == "least") & before[1]["valence"].isNull() & (role[2] != "at")
-    return F.when(least, v * F.lit(NEGATED)).otherwise(v)
-
-
-def valence_of_entries(
-    df: DataFrame, entries: str, text: str, out: str = "vader_sentiment", capitals: str | None = None
-) -> DataFrame:
-    """Add the valence struct ``out`` from the dictionary entries of a row's words.
+def _near(d: int, field: str) -> str:
+    """A field of the entry ``d`` words before."""
+    return f"get(e, i - {d}).{field}"
 
-    ``text`` is read for exclamation and question marks. ``capitals`` names a
-    boolean array that marks the words written in capitals.
-    """
-    e = F.col(entries)
-    loud = F.col(capitals) if capitals else None
-    but = F.col("_but")
-
-    def token(entry: Column, at: Column) -> Column:
-        weight = (
-            F.when((but == 0) | (at + 1 == but), F.lit(1.0))
-            .when(at + 1 < but, F.lit(BEFORE_BUT))
-            .otherwise(F.lit(AFTER_BUT))
-        )
-        following = F.get(e, at + 1)["role"]
-        kind_of = (F.coalesce(entry["role"], F.lit("")) == "kind") & (F.coalesce(following, F.lit("")) == "of")
-        scored = entry["valence"].isNotNull() & entry["boost"].isNull() & ~kind_of
-        return F.when(scored, to_micro(_token_valence(e, entry, at, loud) * weight))
-
-    zero = F.lit(0).cast("bigint")
-    add = lambda test: F.aggregate("_scores", zero, lambda a, x: F.when(test(x), a + x).otherwise(a))
-    count = lambda test: F.size(F.filter("_scores", test)).cast("bigint")
-    marks = lambda mark: F.length(F.col(text)) - F.length(F.replace(F.col(text), F.lit(mark), F.lit("")))
-    loudness = F.least(marks("!"), F.lit(MAX_EXCLAMATIONS)) * EXCLAMATION + F.when(
-        marks("?") > 1, F.when(marks("?") <= 3, marks("?") * QUESTION).otherwise(MAX_QUESTION)
-    ).otherwise(0)
-    up, down, loudness_col = F.col("_up"), F.col("_down"), F.col("_loud")
-    total = up - down
-    summed = (total + F.signum(total).cast("bigint") * loudness_col).cast("double") / F.lit(float(MICRO))
-    positive = up + count(lambda x: x > 0) * MICRO + F.when(F.col("_tilt") > 0, loudness_col).otherwise(0)
-    negative = down + count(lambda x: x < 0) * MICRO + F.when(F.col("_tilt") < 0, loudness_col).otherwise(0)
-    neutral = (F.size(e) - F.size("_scores")).cast("bigint") * MICRO
-    share = lambda part: exact_round(part.cast("double") / F.col("_all").cast("double"))
-    compound4 = exact_round(
-        clamp(F.col("_sum") / F.sqrt(F.col("_sum") * F.col("_sum") + F.lit(NORMALISER)), -1.0, 1.0), 4
+
+def _role(d: int, *roles: str) -> str:
+    """Test of the role of the word ``d`` before; false where there is none."""
+    return f"coalesce({_near(d, 'role')} IN ({', '.join(repr(r) for r in roles)}), false)"
+
+
+def _raise(v: str, amount: str) -> str:
+    """``v`` moved away from zero, or towards it by a negative amount."""
+    return f"{v} + CASE WHEN {v} < 0D THEN -({amount}) ELSE {amount} END"
+
+
+def _look_back(d: int, capitals: str | None) -> str:
+    """The effect on ``v`` of the word ``d`` before, unless that has a valence of its own."""
+    so = {
+        1: "false",
+        2: f"{_role(2, 'never')} AND {_role(1, 'so')}",
+        3: f"({_role(3, 'never')} AND {_role(2, 'so')}) OR {_role(1, 'so')}",
+    }[d]
+    doubt = {1: "false", 2: _role(1, "doubt"), 3: f"({_role(2, 'doubt')} OR {_role(1, 'doubt')})"}[d]
+    boost = f"coalesce({_near(d, 'boost')}, 0D)"
+    if capitals:
+        loud = f"{_near(d, 'boost')} IS NOT NULL AND get({capitals}, i - {d})"
+        boost = f"({boost} + CASE WHEN {loud} THEN {CAPITALS}D ELSE 0D END)"
+    factor = (
+        f"CASE WHEN {so} THEN {NEVER_SO}D WHEN {_role(d, 'without')} AND {doubt} THEN 1D "
+        f"WHEN {_near(d, 'negation')} THEN {NEGATED}D ELSE 1D END"
     )
-    scratch = ["_but", "_scores", "_up", "_down", "_loud", "_tilt", "_sum", "_positive", "_negative",
-               "_neutral", "_all", "_compound"]
-    return (
-        df.withColumn("_but", F.array_position(F.transform(e, lambda x: x["role"]), "but"))
-        .withColumn("_scores", F.filter(F.transform(e, token), lambda x: x != 0))
-        .withColumns({"_up": add(lambda x: x > 0), "_down": -add(lambda x: x < 0), "_loud": loudness.cast("bigint")})
-        .withColumn("_tilt", (up + count(lambda x: x > 0) * MICRO) - (down + count(lambda x: x < 0) * MICRO))
-        .withColumns({"_sum": summed, "_positive": positive, "_negative": negative, "_neutral": neutral})
-        .withColumn("_all", F.col("_positive") + F.col("_negative") + F.col("_neutral"))
-        .withColumn("_compound", compound4)
-        .withColumn(
-            out,
-            # Only a blank text has no words at all.
-            F.when(
-                F.col("_all") == 0,
-                _valence_struct(F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(0.0)),
-            ).otherwise(
-                _valence_struct(
-                    F.col("_compound"), share(F.col("_positive")), share(F.col("_neutral")), share(F.col("_negative"))
-                )
-            ),
-        )
-        .drop(*scratch)
+    raised = let_sql("b", f"{boost} * {DECAY[d]}D", _raise("v", "b"))
+    return f"CASE WHEN i >= {d} AND {_near(d, 'valence')} IS NULL THEN ({raised}) * {factor} ELSE v END"
+
+
+def _token_valence(capitals: str | None) -> str:
+    """Valence of one word after all rules but that of ``but``."""
+    own = (
+        f"CASE WHEN {_role(1, 'no')} OR {_role(2, 'no')} OR ({_role(3, 'no')} AND {_role(1, 'or')}) "
+        f"THEN c.valence * {NEGATED}D WHEN c.role = 'no' AND get(e, i + 1).valence IS NOT NULL THEN 0D ELSE c.valence END"
+    )
+    steps = [own]
+    if capitals:
+        steps.append(f"CASE WHEN get({capitals}, i) THEN {_raise('v', f'{CAPITALS}D')} ELSE v END")
+    steps += [_look_back(d, capitals) for d in DECAY]
+    value = steps[0]
+    for step in steps[1:]:
+        value = let_sql("v", value, step)
+    least = f"{_role(1, 'least')} AND {_near(1, 'valence')} IS NULL AND NOT {_role(2, 'at')}"
+    return let_sql("v", value, f"CASE WHEN {least} THEN v * {NEGATED}D ELSE v END")
+
+
+def _word_scores(capitals: str | None) -> str:
+    """The scores of the words of ``e`` that are not zero, in millionths."""
+    weight = f"CASE WHEN k = 0 OR i + 1 = k THEN 1D WHEN i + 1 < k THEN {BEFORE_BUT}D ELSE {AFTER_BUT}D END"
+    kind_of = "coalesce(c.role = 'kind' AND get(e, i + 1).role = 'of', false)"
+    score = (
+        f"CASE WHEN c.valence IS NOT NULL AND c.boost IS NULL AND NOT {kind_of} "
+        f"THEN {micro_sql(f'{_token_valence(capitals)} * {weight}')} END"
     )
+    scores = f"filter(transform(e, (c, i) -> {score}), x -> x <> 0L)"
+    return let_sql("k", "array_position(transform(e, c -> c.role), 'but')", scores)
 
 
-def _valence_struct(compound: Column, positive: Column, neutral: Column, negative: Column) -> Column:
-    return F.struct(
-        exact_round(compound).alias("compound"),
-        positive.alias("positive"),
-        neutral.alias("neutral"),
-        negative.alias("negative"),
-        valence_label(compound).alias("sentiment_label"),
+def valence_of_entries(entries: str, text: str, capitals: str | None = None) -> str:
+    """The valence struct from the dictionary entries of a text's words.
+
+    ``text`` is read for exclamation and question marks. ``capitals`` marks the
+    words that are written in capitals where others are not.
+    """
+    add = lambda test: f"aggregate(s, 0L, (a, x) -> a + CASE WHEN {test} THEN abs(x) ELSE 0L END)"
+    marks = lambda mark: f"(length({text}) - length(replace({text}, '{mark}', '')))"
+    questions = f"CASE WHEN n > 3 THEN {MAX_QUESTION} WHEN n > 1 THEN n * {QUESTION} ELSE 0 END"
+    sums = (
+        f"named_struct('up', {add('x > 0')}, 'down', {add('x < 0')}, "
+        "'n_up', bigint(size(filter(s, x -> x > 0))), 'n_down', bigint(size(filter(s, x -> x < 0))), "
+        "'n_zero', bigint(size(e) - size(s)), "
+        f"'loud', bigint(least({marks('!')}, {MAX_EXCLAMATIONS}) * {EXCLAMATION} + {let_sql('n', marks('?'), questions)}))"
+    )
+    up, down = f"(t.up + t.n_up * {MICRO}L)", f"(t.down + t.n_down * {MICRO}L)"
+    parts = (
+        f"named_struct('total', double(t.up - t.down + bigint(signum(t.up - t.down)) * t.loud) / {MICRO}D, "
+        f"'up', {up} + CASE WHEN {up} > {down} THEN t.loud ELSE 0L END, "
+        f"'down', {down} + CASE WHEN {down} > {up} THEN t.loud ELSE 0L END, "
+        f"'zero', t.n_zero * {MICRO}L)"
+    )
+    compound = exact_round_sql(clamp_sql(f"p.total / sqrt(p.total * p.total + {NORMALISER}D)"), 4)
+    share = lambda part: exact_round_sql(f"double(p.{part}) / double(whole)")
+    struct = lambda compound, positive, neutral, negative: (
+        f"named_struct('compound', {exact_round_sql(compound)}, 'positive', {positive}, 'neutral', {neutral}, "
+        f"'negative', {negative}, 'sentiment_label', {valence_label(compound)})"
+    )
+    scored = let_sql(
+        "whole", "p.up + p.down + p.zero",
+        let_sql("compound", compound, struct("compound", share("up"), share("zero"), share("down"))),
     )
+    # Only a blank text has no words at all.
+    result = f"CASE WHEN size(e) = 0 THEN {struct('0D', '0D', '1D', '0D')} ELSE {scored} END"
+    return let_sql("e", entries, let_sql("s", _word_scores(capitals), let_sql("t", sums, let_sql("p", parts, result))))
 
 
 # --- polarity -------------------------------------------------------------
 
 
-def polarity_of_entries(df: DataFrame, entries: str, text: str, out: str = "textblob_sentiment") -> DataFrame:
-    """Add the polarity struct ``out`` from the dictionary entries of a row's words."""
-    e = F.col(entries)
-
-    def token(entry: Column, at: Column) -> Column:
-        before, second, after = F.get(e, at - 1), F.get(e, at - 2), F.get(e, at + 1)
-        flag = lambda c: F.coalesce(c, F.lit(False))
-        modified = flag(before["modifier"]) & before["polarity"].isNotNull()
-        negated_modifier = modified & flag(second["negator"])
-        intensity = (
-            F.when(negated_modifier, F.lit(1.0) / before["intensity"])
-            .when(modified, before["intensity"])
-            .otherwise(F.lit(1.0))
-        )
-        turned = F.when(flag(before["negator"]) | negated_modifier, F.lit(-0.5)).otherwise(F.lit(1.0))
-        merged = flag(entry["modifier"]) & after["polarity"].isNotNull()
-        return F.when(
-            entry["polarity"].isNotNull() & ~merged,
-            F.struct(
-                to_micro(clamp(entry["polarity"] * intensity, -1.0, 1.0) * turned).alias("p"),
-                to_micro(clamp(entry["subjectivity"] * intensity, -1.0, 1.0)).alias("s"),
-            ),
-        )
-
-    zero = F.lit(0).cast("bigint")
-    mean = lambda f: F.when(
-        F.size("_found") > 0,
-        F.aggregate("_found", zero, lambda a, x: a + x[f]).cast("double")
-        / F.lit(float(MICRO))
-        / F.size("_found").cast("double"),
-    ).otherwise(F.lit(0.0))
-    return (
-        df.withColumn("_found", F.filter(F.transform(e, token), lambda x: x.isNotNull()))
-        .withColumns({"_polarity": mean("p"), "_subjectivity": mean("s")})
-        .withColumn(
-            out,
-            F.struct(
-                exact_round(F.col("_polarity")).alias("polarity"),
-                exact_round(F.col("_subjectivity")).alias("subjectivity"),
-                polarity_label(F.col("_polarity")).alias("sentiment_label"),
-            ),
-        )
-        .drop("_found", "_polarity", "_subjectivity")
+def polarity_of_entries(entries: str) -> str:
+    """The polarity struct from the dictionary entries of a text's words."""
+    modified = f"(coalesce({_near(1, 'modifier')}, false) AND {_near(1, 'polarity')} IS NOT NULL)"
+    turned_modifier = f"({modified} AND coalesce({_near(2, 'negator')}, false))"
+    intensity = (
+        f"CASE WHEN {turned_modifier} THEN 1D / {_near(1, 'intensity')} "
+        f"WHEN {modified} THEN {_near(1, 'intensity')} ELSE 1D END"
+    )
+    turned = f"CASE WHEN coalesce({_near(1, 'negator')}, false) OR {turned_modifier} THEN -0.5D ELSE 1D END"
+    merged = "(coalesce(c.modifier, false) AND get(e, i + 1).polarity IS NOT NULL)"
+    pair = let_sql(
+        "w", intensity,
+        f"named_struct('p', {micro_sql(f'{clamp_sql("c.polarity * w")} * {turned}')}, "
+        f"'s', {micro_sql(clamp_sql('c.subjectivity * w'))})",
+    )
+    found = f"filter(transform(e, (c, i) -> CASE WHEN c.polarity IS NOT NULL AND NOT {merged} THEN {pair} END), x -> x IS NOT NULL)"
+    mean = lambda f: (
+        f"CASE WHEN size(s) = 0 THEN 0D ELSE double(aggregate(s, 0L, (a, x) -> a + x.{f})) / {MICRO}D / double(size(s)) END"
     )
+    result = (
+        f"named_struct('polarity', {exact_round_sql('m.p')}, 'subjectivity', {exact_round_sql('m.s')}, "
+        f"'sentiment_label', {polarity_label('m.p')})"
+    )
+    means = f"named_struct('p', {mean('p')}, 's', {mean('s')})"
+    return let_sql("e", entries, let_sql("s", found, let_sql("m", means, result)))
 
 
-# --- public scorers on a text column --------------------------------------
+# --- scorers on a text column -----------------------------------------------
 
 
 def valence_scores(
@@ -269,17 +246,17 @@ def valence_scores(
     max_keys: int = lookup.MAX_KEYS,
 ) -> DataFrame:
     """Add the valence struct of any text, capitals included."""
-    shouted = lambda w: (F.upper(w) == w) & (F.lower(w) != w)
-    n_loud = F.size(F.filter("_shout", lambda x: x))
-    mixed = (n_loud > 0) & (n_loud < F.size("_shout"))
+    shouted = "transform(_raw, w -> upper(w) = w AND lower(w) <> w)"
+    mixed = "exists(l, x -> x) AND exists(l, x -> NOT x)"
+    loud = let_sql("l", shouted, f"CASE WHEN {mixed} THEN l END")
+    scores = valence_of_entries("_entries", "_text", "loud")
     return (
-        df.withColumn("_raw", valence_words(F.coalesce(F.col(text), F.lit(""))))
-        .withColumn("_shout", F.transform("_raw", shouted))
-        .withColumn("_capitals", F.transform("_shout", lambda x: x & mixed))
+        df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+        .withColumn("_raw", valence_words(F.col("_text")))
         .withColumn("_words", F.transform("_raw", F.lower))
         .transform(lookup.entry_adder(terms, "term", max_keys), id_col, "_words", "_entries")
-        .transform(valence_of_entries, "_entries", text, out, "_capitals")
-        .drop("_raw", "_shout", "_capitals", "_words", "_entries")
+        .withColumn(out, F.expr(let_sql("loud", loud, scores)))
+        .drop("_text", "_raw", "_words", "_entries")
     )
 
 
@@ -295,7 +272,7 @@ def polarity_scores(
     return (
         df.withColumn("_words", polarity_words(F.coalesce(F.col(text), F.lit(""))))
         .transform(lookup.entry_adder(terms, "term", max_keys), id_col, "_words", "_entries")
-        .transform(polarity_of_entries, "_entries", text, out)
+        .withColumn(out, F.expr(polarity_of_entries("_entries")))
         .drop("_words", "_entries")
     )
 
@@ -310,28 +287,31 @@ def score_sentiment(
     fall back to the original text are split a second time for polarity.
     """
     add = lookup.entry_adder(terms, "term", max_keys)
-    processed = F.col("processed_text")
+    processed, original = F.col("processed_text"), F.coalesce("original_text", F.lit(""))
     left = F.coalesce(processed, F.lit("")) != ""
     empty = F.array().cast("array<string>")
-    joined = df.withColumn("_text", X.first_text(processed, F.col("original_text")))
     scored = (
-        joined.withColumn("_words", F.when(left, F.split(processed, " ")).otherwise(valence_words(F.col("_text"))))
-        .withColumn("_other", F.when(left, empty).otherwise(polarity_words(F.col("_text"))))
+        df.withColumn("_text", X.first_text(processed, original))
+        .withColumn("_words", F.when(left, F.split(processed, " ")).otherwise(valence_words(original)))
+        .withColumn("_other", F.when(left, empty).otherwise(polarity_words(original)))
         .transform(add, id_col, "_words", "_entries")
         .transform(add, id_col, "_other", "_other_entries")
         .withColumn("_polarity_entries", F.when(left, F.col("_entries")).otherwise(F.col("_other_entries")))
-        .transform(polarity_of_entries, "_polarity_entries", "_text")
-        .transform(valence_of_entries, "_entries", "_text")
-        .drop("_words", "_other", "_entries", "_other_entries", "_polarity_entries")
+        .withColumn("_sentiment", F.expr(sentiment_of_entries("_entries", "_polarity_entries", "_text")))
     )
-    agreed = consensus(
-        F.col("textblob_sentiment.polarity"), F.col("textblob_sentiment.sentiment_label"),
-        F.col("vader_sentiment.compound"), F.col("vader_sentiment.sentiment_label"),
+    parts = ["textblob_sentiment", "vader_sentiment", "sentiment_consensus"]
+    return scored.withColumns({p: F.col(f"_sentiment.{p}") for p in parts}).drop(
+        "_text", "_words", "_other", "_entries", "_other_entries", "_polarity_entries", "_sentiment"
     )
+
+
+def sentiment_of_entries(valence_entries: str, polarity_entries: str, text: str) -> str:
+    """Both scores and their consensus as one struct."""
+    agreed = consensus("tb.polarity", "tb.sentiment_label", "vd.compound", "vd.sentiment_label")
     # Without any text there is no opinion to agree on: confidence is zero.
-    nothing = F.struct(
-        F.lit("neutral").alias("final_sentiment"), F.lit(0.0).alias("confidence"), F.lit(0.0).alias("final_score")
+    nothing = "named_struct('final_sentiment', 'neutral', 'confidence', 0D, 'final_score', 0D)"
+    both = (
+        f"named_struct('textblob_sentiment', tb, 'vader_sentiment', vd, "
+        f"'sentiment_consensus', CASE WHEN {text} = '' THEN {nothing} ELSE {agreed} END)"
     )
-    return scored.withColumn(
-        "sentiment_consensus", F.when(F.col("_text") == "", nothing).otherwise(agreed)
-    ).drop("_text")
+    return let_sql("tb", polarity_of_entries(polarity_entries), let_sql("vd", valence_of_entries(valence_entries, text), both))

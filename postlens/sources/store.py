@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from postlens.schema import INDEX_SCHEMA, schema_differences
 
-POINTER = "_current"
+POINTER = "CURRENT"
 
 
 class EmptyTable(ValueError):
