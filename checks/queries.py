@@ -171,13 +171,13 @@ def clean_rows(spark, sf):
 
 @query
 def make_posts(spark, sf):
-    raw = B.table(spark, sf, "documents").select("doc_id", "text", F.nullif("lang", F.lit("es")).alias("label"), F.col("source").alias("type"))
+    raw = B.spread(B.table(spark, sf, "documents")).select("doc_id", "text", F.nullif("lang", F.lit("es")).alias("label"), F.col("source").alias("type"))
     return ingest.make_posts(raw, RUN_TS, id_col="doc_id").drop("created_at")
 
 
 @query
 def post_ids(spark, sf):
-    raw = B.table(spark, sf, "documents").select("text", F.col("lang").alias("label"), F.col("lang").alias("type"))
+    raw = B.spread(B.table(spark, sf, "documents").select("text", "lang")).select("text", F.col("lang").alias("label"), F.col("lang").alias("type"))
     return ingest.make_posts(raw, RUN_TS).select("id_post", "label")
 
 

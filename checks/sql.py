@@ -257,15 +257,17 @@ def polarity_cte(words: str = "w", name: str = "polar") -> str:
     {polarity_label('p')} AS polarity_label FROM {name}4)"""
 
 
-GRAM_LIST = "list_transform(range(1, length({x}) + 1), lambda i: substring(' ' || {x} || ' ', i, 3))"
+# All trigrams of a padded text, as those that start at every third character, three times.
+GRAM_LIST = "(regexp_extract_all({x}, '...') || regexp_extract_all({x}[2:], '...') || regexp_extract_all({x}[3:], '...'))"
 
 
 def profile_cte(source: str, text: str, lang: str, top: int = 300) -> str:
-    grams = GRAM_LIST.format(x="l")
+    grams = GRAM_LIST.format(x="p")
     log = lambda n: micro(f"ln({n} / CAST(total AS DOUBLE))")
     return f"""pl AS (SELECT {lang} AS lang, {letters(text)} AS l FROM {source} WHERE {lang} IS NOT NULL),
-pg AS (SELECT lang, unnest({grams}) AS gram FROM pl WHERE l <> ''),
-pc AS (SELECT lang, gram, count(*) AS n FROM pg WHERE length(gram) = 3 GROUP BY lang, gram),
+pp AS MATERIALIZED (SELECT lang, ' ' || l || ' ' AS p FROM pl WHERE l <> ''),
+pg AS (SELECT lang, unnest({grams}) AS gram FROM pp),
+pc AS (SELECT lang, gram, count(*) AS n FROM pg GROUP BY lang, gram),
 pr AS (SELECT *, sum(n) OVER (PARTITION BY lang) AS total,
        row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS rank FROM pc),
 profiles AS MATERIALIZED (SELECT lang, gram, {log('(n + 0.5e0)')} AS weight, {log('0.5e0')} AS floor FROM pr WHERE rank <= {top})"""
@@ -278,9 +280,10 @@ def confidence(l: str) -> str:
 
 def detect_cte(source: str, text: str, name: str = "detected") -> str:
     """Language and confidence of ``source(id_post, text)`` by the ``profiles`` CTE."""
-    grams = GRAM_LIST.format(x="l")
+    grams = GRAM_LIST.format(x="p")
     return f"""dl AS MATERIALIZED (SELECT id_post, {letters(text)} AS l FROM {source}),
-dg AS (SELECT id_post, unnest({grams}) AS gram FROM dl WHERE l <> ''),
+dp AS MATERIALIZED (SELECT id_post, ' ' || l || ' ' AS p FROM dl WHERE l <> ''),
+dg AS (SELECT id_post, unnest({grams}) AS gram FROM dp),
 dc AS (SELECT id_post, gram, count(*) AS n FROM dg GROUP BY id_post, gram),
 dn AS (SELECT id_post, sum(n) AS n FROM dc GROUP BY id_post),
 floors AS (SELECT lang, max(floor) AS floor FROM profiles GROUP BY lang),

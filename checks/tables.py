@@ -73,18 +73,18 @@ def posts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     occur: ``processed`` from the quality label, ``nlp_processed`` from the
     language.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", *({"text"} & {*(columns or ["text"])})))
     labels = table(spark, sf_dir, "labels")
     rows = docs.join(labels, "doc_id", "left").select(
         F.col("doc_id").cast("string").alias("id_post"),
-        "text",
+        *[c for c in docs.columns if c == "text"],
         F.when(F.col("toxic") == 1, "harassment").when(F.col("toxic") == 0, "not_harassment").otherwise("unknown").alias("label"),
         F.col("source").alias("type"),
         "lang",
         (F.col("quality") == 1).alias("processed"),
         F.when(F.col("lang") == "en", True).when(F.col("lang").isin("fr", "de"), False).alias("nlp_processed"),
     )
-    return spread(rows.select("id_post", *columns)) if columns else spread(rows)
+    return rows.select("id_post", *columns) if columns else rows
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:

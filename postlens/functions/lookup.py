@@ -36,12 +36,15 @@ def literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def constant_lookup(entries: Sequence[tuple[str, int, object]], entry_type: str) -> Lookup:
+def constant_lookup(
+    entries: Sequence[tuple[str, int, object]], entry_type: str, mostly_misses: bool = True
+) -> Lookup:
     """Lookup in a constant built from ``(key, xxhash64 of the key, entry)`` triples.
 
     The constant is an array of small maps, indexed by the hash of the key, so
     a lookup costs one hash and one short scan whatever the number of keys. The
     result is a function from the SQL text of a word to that of its entry.
+    Where few words have an entry, a set test in front skips the others.
     """
     size = 1
     while size < len(entries):
@@ -51,11 +54,11 @@ def constant_lookup(entries: Sequence[tuple[str, int, object]], entry_type: str)
         buckets[hashed % size][key] = entry
     constant = f"from_json({literal(json.dumps(buckets))}, {literal(f'array<map<string,{entry_type}>>')})"
     keys = ", ".join(literal(key) for key, _, _ in entries)
+    set_test = mostly_misses and 0 < len(entries) <= SET_TEST_KEYS
 
     def find(word: str) -> str:
         entry = f"element_at(get({constant}, int(pmod(xxhash64({word}), {size}L))), {word})"
-        # A set test skips the words without an entry, which are most of them.
-        return f"CASE WHEN {word} IN ({keys}) THEN {entry} END" if 0 < len(entries) <= SET_TEST_KEYS else entry
+        return f"CASE WHEN {word} IN ({keys}) THEN {entry} END" if set_test else entry
 
     return find
 

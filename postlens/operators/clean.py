@@ -20,12 +20,17 @@ CLEAN_COLUMNS = ["original_text", "cleaned_text", "tokens", "processed_text", "w
 def clean_text(df: DataFrame, text: str = "text") -> DataFrame:
     """Add ``original_text`` (the text in lower case) and ``cleaned_text``.
 
+    Markup and entities are looked for only in texts that can hold them.
     Special characters, punctuation and digits go in one pass: together the
     three steps leave exactly the letters and the whitespace.
     """
-    bare = X.strip_urls(X.strip_html(F.col("original_text")))
-    return df.withColumn("original_text", F.lower(F.coalesce(F.col(text), F.lit("")))).withColumn(
-        "cleaned_text", X.collapse_ws(X.letters_only(bare))
+    original, bare = F.col("original_text"), F.col("cleaned_text")
+    without_markup = F.when(F.contains(original, F.lit("<")), X.strip_markup(original)).otherwise(original)
+    decoded = F.when(F.contains(bare, F.lit("&")), X.decode_entities(bare)).otherwise(bare)
+    return (
+        df.withColumn("original_text", F.lower(F.coalesce(F.col(text), F.lit(""))))
+        .withColumn("cleaned_text", without_markup)
+        .withColumn("cleaned_text", X.collapse_ws(X.letters_only(X.strip_urls(decoded))))
     )
 
 

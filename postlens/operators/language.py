@@ -123,7 +123,7 @@ def _best_in_row(rows: list, letters: str) -> str:
     for r in rows:
         gains.setdefault(r["gram"], [0] * len(langs))[langs.index(r["lang"])] = r["weight"] - r["floor"]
         hashes[r["gram"]] = r["_hash"]
-    find = lookup.constant_lookup([(g, hashes[g], v) for g, v in gains.items()], "array<bigint>")
+    find = lookup.constant_lookup([(g, hashes[g], v) for g, v in gains.items()], "array<bigint>", mostly_misses=False)
     bigints = lambda values: "array(" + ", ".join(f"{v}L" for v in values) + ")"
     # A gram without an entry adds nothing; every gram of the text adds the
     # floor of each language, and a text has as many grams as characters.
