@@ -32,9 +32,21 @@ CONTRACTION = (
 )
 
 
+# The same characters one by one.
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_ws(c: Column) -> Column:
-    """Remove leading and trailing Unicode whitespace (``trim`` takes blanks only)."""
-    return F.regexp_replace(c, f"^[{WS}]+|[{WS}]+$", "")
+    """Remove leading and trailing Unicode whitespace (a plain ``trim`` takes blanks only)."""
+    return F.btrim(c, F.lit(WS_CHARS))
+
+
+def has_words(c: Column) -> Column:
+    """True if the text holds anything but whitespace; null for a null."""
+    return c.rlike(f"[^{WS}]")
 
 
 def collapse_ws(c: Column) -> Column:

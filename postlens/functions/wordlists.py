@@ -115,6 +115,13 @@ VALENCE_ROLES = {
     "or": "or", "nor": "or", "kind": "kind", "of": "of",
 }
 
+# Phrases with a valence of their own, and phrases that lower a neighbour's.
+IDIOMS = {
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "bus stop": 0.0, "yeah right": -2.0,
+    "kiss of death": -1.5, "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9,
+}
+LOWERING_PHRASES = ["kind of", "sort of", "just enough"]
+
 # Seed of polarity terms as (polarity, subjectivity, intensity).
 POLARITY = {
     "love": (0.5, 0.6, 1.0), "loved": (0.7, 0.8, 1.0), "lovely": (0.5, 0.75, 1.0),

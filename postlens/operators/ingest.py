@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.functions.text import strip_ws
+from postlens.functions.text import has_words, strip_ws
 
 SOURCE = "kaggle_dataset"
 SEPARATOR = "\u0001"
@@ -16,7 +16,7 @@ COPIES_PER_TASK = 100_000
 
 def has_text(text: Column) -> Column:
     """True unless the text is null or blank."""
-    return text.isNotNull() & (F.length(strip_ws(text)) > 0)
+    return text.isNotNull() & has_words(text)
 
 
 def clean_rows(df: DataFrame, text: str = "text") -> DataFrame:

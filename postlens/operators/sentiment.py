@@ -99,8 +99,8 @@ def polarity_words(text: Column) -> Column:
 
 # --- valence --------------------------------------------------------------
 #
-# In the rules ``e`` is the array of entries, ``i`` the position of a word,
-# ``c`` its entry, and ``v`` its valence so far.
+# In the rules ``e`` is the array of entries, ``w`` that of the words, ``i`` the
+# position of a word, ``c`` its entry, and ``v`` its valence so far.
 
 
 def _near(d: int, field: str) -> str:
@@ -138,6 +138,18 @@ def _look_back(d: int, capitals: str | None) -> str:
     return f"CASE WHEN i >= {d} AND {_near(d, 'valence')} IS NULL THEN ({raised}) * {factor} ELSE v END"
 
 
+def _phrases() -> str:
+    """The effect on ``v`` of phrases around a word that has three words before it."""
+    span = lambda first, last: "concat_ws(' ', " + ", ".join(f"get(w, i + {k})" for k in range(first, last + 1)) + ")"
+    idioms = "map(" + ", ".join(f"{lookup.literal(p)}, {x}D" for p, x in L.IDIOMS.items()) + ")"
+    own = lambda first, last: f"element_at({idioms}, {span(first, last)})"
+    spans = [(0, 2), (0, 1), (-1, 0), (-2, 0), (-2, -1), (-3, -1), (-3, -2)]
+    idiom = f"coalesce({', '.join(own(*s) for s in spans)}, v)"
+    lowering = ", ".join(lookup.literal(p) for p in L.LOWERING_PHRASES)
+    lowered = " ".join(f"- CASE WHEN {span(*s)} IN ({lowering}) THEN {L.BOOST}D ELSE 0D END" for s in spans[-3:])
+    return f"CASE WHEN i >= 3 AND {_near(3, 'valence')} IS NULL THEN {idiom} {lowered} ELSE v END"
+
+
 def _token_valence(capitals: str | None) -> str:
     """Valence of one word after all rules but that of ``but``."""
     own = (
@@ -147,7 +159,7 @@ def _token_valence(capitals: str | None) -> str:
     steps = [own]
     if capitals:
         steps.append(f"CASE WHEN get({capitals}, i) THEN {_raise('v', f'{CAPITALS}D')} ELSE v END")
-    steps += [_look_back(d, capitals) for d in DECAY]
+    steps += [*(_look_back(d, capitals) for d in DECAY), _phrases()]
     value = steps[0]
     for step in steps[1:]:
         value = let_sql("v", value, step)
@@ -167,8 +179,8 @@ def _word_scores(capitals: str | None) -> str:
     return let_sql("k", "array_position(transform(e, c -> c.role), 'but')", scores)
 
 
-def valence_of_entries(entries: str, text: str, capitals: str | None = None) -> str:
-    """The valence struct from the dictionary entries of a text's words.
+def valence_of_entries(entries: str, words: str, text: str, capitals: str | None = None) -> str:
+    """The valence struct from the dictionary entries of a text's lower-cased words.
 
     ``text`` is read for exclamation and question marks. ``capitals`` marks the
     words that are written in capitals where others are not.
@@ -201,7 +213,8 @@ def valence_of_entries(entries: str, text: str, capitals: str | None = None) ->
     )
     # Only a blank text has no words at all.
     result = f"CASE WHEN size(e) = 0 THEN {struct('0D', '0D', '1D', '0D')} ELSE {scored} END"
-    return let_sql("e", entries, let_sql("s", _word_scores(capitals), let_sql("t", sums, let_sql("p", parts, result))))
+    scored = let_sql("s", _word_scores(capitals), let_sql("t", sums, let_sql("p", parts, result)))
+    return let_sql("w", words, let_sql("e", entries, scored))
 
 
 # --- polarity -------------------------------------------------------------
@@ -218,9 +231,9 @@ def polarity_of_entries(entries: str) -> str:
     turned = f"CASE WHEN coalesce({_near(1, 'negator')}, false) OR {turned_modifier} THEN -0.5D ELSE 1D END"
     merged = "(coalesce(c.modifier, false) AND get(e, i + 1).polarity IS NOT NULL)"
     pair = let_sql(
-        "w", intensity,
-        f"named_struct('p', {micro_sql(f'{clamp_sql("c.polarity * w")} * {turned}')}, "
-        f"'s', {micro_sql(clamp_sql('c.subjectivity * w'))})",
+        "m", intensity,
+        f"named_struct('p', {micro_sql(f'{clamp_sql("c.polarity * m")} * {turned}')}, "
+        f"'s', {micro_sql(clamp_sql('c.subjectivity * m'))})",
     )
     found = f"filter(transform(e, (c, i) -> CASE WHEN c.polarity IS NOT NULL AND NOT {merged} THEN {pair} END), x -> x IS NOT NULL)"
     mean = lambda f: (
@@ -249,7 +262,7 @@ def valence_scores(
     shouted = "transform(_raw, w -> upper(w) = w AND lower(w) <> w)"
     mixed = "exists(l, x -> x) AND exists(l, x -> NOT x)"
     loud = let_sql("l", shouted, f"CASE WHEN {mixed} THEN l END")
-    scores = valence_of_entries("_entries", "_text", "loud")
+    scores = valence_of_entries("_entries", "_words", "_text", "loud")
     return (
         df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
         .withColumn("_raw", valence_words(F.col("_text")))
@@ -297,7 +310,7 @@ def score_sentiment(
         .transform(add, id_col, "_words", "_entries")
         .transform(add, id_col, "_other", "_other_entries")
         .withColumn("_polarity_entries", F.when(left, F.col("_entries")).otherwise(F.col("_other_entries")))
-        .withColumn("_sentiment", F.expr(sentiment_of_entries("_entries", "_polarity_entries", "_text")))
+        .withColumn("_sentiment", F.expr(sentiment_of_entries("_entries", "_words", "_polarity_entries", "_text")))
     )
     parts = ["textblob_sentiment", "vader_sentiment", "sentiment_consensus"]
     return scored.withColumns({p: F.col(f"_sentiment.{p}") for p in parts}).drop(
@@ -305,7 +318,7 @@ def score_sentiment(
     )
 
 
-def sentiment_of_entries(valence_entries: str, polarity_entries: str, text: str) -> str:
+def sentiment_of_entries(valence_entries: str, words: str, polarity_entries: str, text: str) -> str:
     """Both scores and their consensus as one struct."""
     agreed = consensus("tb.polarity", "tb.sentiment_label", "vd.compound", "vd.sentiment_label")
     # Without any text there is no opinion to agree on: confidence is zero.
@@ -314,4 +327,5 @@ def sentiment_of_entries(valence_entries: str, polarity_entries: str, text: str)
         f"named_struct('textblob_sentiment', tb, 'vader_sentiment', vd, "
         f"'sentiment_consensus', CASE WHEN {text} = '' THEN {nothing} ELSE {agreed} END)"
     )
-    return let_sql("tb", polarity_of_entries(polarity_entries), let_sql("vd", valence_of_entries(valence_entries, text), both))
+    valence = valence_of_entries(valence_entries, words, text)
+    return let_sql("tb", polarity_of_entries(polarity_entries), let_sql("vd", valence, both))

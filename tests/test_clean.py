@@ -36,6 +36,14 @@ def test_scalar(spark, function, given, expected):
     assert df.select(function(F.col("t"))).first()[0] == expected
 
 
+def test_strip_every_whitespace(spark):
+    blanks = [chr(i) for i in range(0x3100) if chr(i).isspace()]
+    assert sorted(X.WS_CHARS) == blanks
+    df = spark.createDataFrame([(b + "a" + b + "b" + b * 2,) for b in blanks] + [("".join(blanks),)], "t string")
+    for r in df.select("t", X.strip_ws(F.col("t")).alias("s"), X.has_words(F.col("t")).alias("w")).collect():
+        assert r.s == r.t.strip() and r.w == bool(r.s)
+
+
 def test_token_operators(spark):
     df = spark.createDataFrame([(["this", "Is", "a", "test", "message", "test"],)], "t array<string>")
     assert df.select(X.drop_words(F.col("t"), STOP_WORDS)).first()[0] == ["test", "message", "test"]

@@ -110,7 +110,8 @@ def test_clear_sentences(spark, texts):
     ("good", 0.4404), ("very good", 0.4927), ("not good", -0.3412), ("not very good", -0.3865), ("good!", 0.4926),
     ("good!!!!!!", 0.6209), ("good but bad", -0.5859), ("GOOD day", 0.5622), ("kind of day", 0.0), ("never so good", 0.5777),
     ("at least good", 0.4404), ("least good", -0.3412), ("without doubt good", 0.4404), ("no good", -0.3412),
-    ("is it good??", 0.504),
+    ("is it good??", 0.504), ("we are all bad ass", 0.3612), ("i would say to die for", -0.5994),
+    ("it was just enough fun", 0.4601), ("we had just enough more fun", 0.5106), ("a bad ass", -0.5423),
 ])
 def test_valence_rules(spark, texts, text, compound):
     terms = sentiment.seed_terms(spark)
