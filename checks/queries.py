@@ -573,9 +573,11 @@ def incremental_clean(spark, sf):
 def incremental_nlp(spark, sf):
     folder = incremental.shared_folder(spark)
     cleaned(spark, sf).write.parquet(f"{folder}/clean")
+    profiles(spark, sf).write.parquet(f"{folder}/profiles")
     schema = spark.read.parquet(f"{folder}/clean").schema
     incremental.incremental_nlp(
-        spark, f"{folder}/clean", schema, f"{folder}/out", f"{folder}/checkpoint", B.lexicon(spark), profiles(spark, sf)
+        spark, f"{folder}/clean", schema, f"{folder}/out", f"{folder}/checkpoint",
+        B.lexicon(spark), spark.read.parquet(f"{folder}/profiles"),
     )
     return flat_results(incremental.read_results(spark, f"{folder}/out"))
 

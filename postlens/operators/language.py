@@ -12,6 +12,7 @@ from postlens.functions.wordlists import LANGUAGE_WORDS
 
 UNKNOWN = "unknown"
 MIN_LETTERS = 3
+CHUNK = 50_000
 GRAM = r"(?=([a-z ]{3}))"
 
 
@@ -40,9 +41,26 @@ def blank_words(letters: Column) -> Column:
     return F.when(letters == "", 0).otherwise(gaps + 1)
 
 
-def _grams(letters: str) -> str:
-    """All trigrams of the text, with a blank before the first and after the last word."""
-    return f"regexp_extract_all(concat(' ', {letters}, ' '), {lookup.literal(GRAM)}, 1)"
+def _chunks(letters: str) -> str:
+    """SQL text of the padded text in overlapping parts, so that no task holds all trigrams of a huge one.
+
+    There is a blank before the first and after the last word. Each trigram of
+    the padded text is in exactly one part.
+    """
+    last = f"greatest(0, int((length({letters}) - 1) div {CHUNK}))"
+    part = f"substring(padded, k * {CHUNK} + 1, {CHUNK + 2})"
+    return let_sql("padded", f"concat(' ', {letters}, ' ')", f"transform(sequence(0, {last}), k -> {part})")
+
+
+def _grams(chunk: str) -> str:
+    return f"regexp_extract_all({chunk}, {lookup.literal(GRAM)}, 1)"
+
+
+def _with_grams(df: DataFrame, letters: str, *kept: str) -> DataFrame:
+    """One row per trigram of ``letters``, with the columns ``kept``."""
+    return df.select(*kept, F.expr(f"explode({_chunks(letters)})").alias("chunk")).select(
+        *kept, F.expr(f"explode({_grams('chunk')})").alias("gram")
+    )
 
 
 def train_language_profiles(
@@ -55,13 +73,9 @@ def train_language_profiles(
     aggregate over at most 27**3 grams per language, so neither a frequent
     language nor a frequent gram makes a large group.
     """
-    counts = (
-        df.where(F.col(lang).isNotNull())
-        .select(F.col(lang).alias("lang"), langid_text(F.col(text)).alias("letters"))
-        .select("lang", F.expr(f"explode({_grams('letters')})").alias("gram"))
-        .groupBy("lang", "gram")
-        .agg(F.count("*").alias("n"))
-    )
+    known = df.where(F.col(lang).isNotNull())
+    letters = known.select(F.col(lang).alias("lang"), langid_text(F.col(text)).alias("letters"))
+    counts = _with_grams(letters, "letters", "lang").groupBy("lang", "gram").agg(F.count("*").alias("n"))
     by_lang = Window.partitionBy("lang")
     ranked = counts.withColumn("total", F.sum("n").over(by_lang)).withColumn(
         "rank", F.row_number().over(by_lang.orderBy(F.desc("n"), "gram"))
@@ -127,9 +141,10 @@ def _best_in_row(rows: list, letters: str) -> str:
     bigints = lambda values: "array(" + ", ".join(f"{v}L" for v in values) + ")"
     # A gram without an entry adds nothing; every gram of the text adds the
     # floor of each language, and a text has as many grams as characters.
+    add = f"coalesce(zip_with(acc, {find('g')}, (a, b) -> a + b), acc)"
     added = (
-        f"aggregate({_grams(letters)}, {bigints([0] * len(langs))}, "
-        f"(acc, g) -> coalesce(zip_with(acc, {find('g')}, (a, b) -> a + b), acc))"
+        f"aggregate({_chunks(letters)}, {bigints([0] * len(langs))}, "
+        f"(sums, chunk) -> aggregate({_grams('chunk')}, sums, (acc, g) -> {add}))"
     )
     scores = f"zip_with(gained, {bigints(floors[x] for x in langs)}, (g, f) -> g + f * length({letters}))"
     return let_sql("gained", added, f"CASE WHEN array_max(gained) > 0 THEN {_first_best(langs, scores)} END")
@@ -137,11 +152,8 @@ def _best_in_row(rows: list, letters: str) -> str:
 
 def _best_by_join(df: DataFrame, profiles: DataFrame, id_col: str, salts: int = lookup.SALTS) -> DataFrame:
     """The same scores by a salted join of each row's distinct grams to the profiles."""
-    doc_grams = (
-        df.select(F.col(id_col).alias("_id"), F.expr(f"explode({_grams('_letters')})").alias("gram"))
-        .groupBy("_id", "gram")
-        .agg(F.count("*").alias("n"))
-    )
+    ids = df.select(F.col(id_col).alias("_id"), "_letters")
+    doc_grams = _with_grams(ids, "_letters", "_id").groupBy("_id", "gram").agg(F.count("*").alias("n"))
     salted = profiles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     gained = (
         doc_grams.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int"))

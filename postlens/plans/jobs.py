@@ -61,6 +61,16 @@ def enrich_run(
     )
 
 
-def index_run(enriched: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write the finished posts as search documents, replacing the index."""
-    return store.publish_index(docs.flatten_docs(state.ready_docs(enriched)), root, partition_by)
+def index_run(
+    enriched: DataFrame, root: str, rejected_path: str | None = None, partition_by: list[str] | None = None
+) -> str:
+    """Write the finished posts as search documents, replacing the index.
+
+    Rows without an id are left out; ``rejected_path`` receives them with the
+    reason. ``report`` and ``store.store_stats`` read the result.
+    """
+    checked = docs.check_docs(docs.flatten_docs(state.ready_docs(enriched)), "id_post", {})
+    version = store.publish_index(docs.valid_docs(checked), root, partition_by)
+    if rejected_path:
+        docs.quarantine(checked, "id_post").write.mode("overwrite").parquet(rejected_path)
+    return version

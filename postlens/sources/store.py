@@ -91,6 +91,16 @@ def publish_posts(df: DataFrame, root: str) -> str:
     return publish(df, root, sort_by=["label", "type"])
 
 
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Save ``df`` as a catalog table bucketed and sorted by ``key``.
+
+    Updates and anti-joins on the key between tables with the same number of
+    buckets need no shuffle.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast the columns of ``schema``."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from postlens.functions import lookup
 from postlens.operators import clean, enrich, state
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -41,18 +42,24 @@ def run_stream(
     out: str,
     checkpoint: str,
     max_files: int | None = None,
+    per_batch: bool = False,
 ) -> None:
-    """Process the files under ``source`` that no earlier run has seen, then stop."""
+    """Process the files under ``source`` that no earlier run has seen, then stop.
+
+    The stage is planned once for the whole stream, or for each micro-batch if
+    it is not row by row.
+    """
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/{BATCH}={number}")
+        rows = batch.transform(stage) if per_batch else batch
+        rows.write.mode("overwrite").parquet(f"{out}/{BATCH}={number}")
 
+    arriving = reader.parquet(source)
     query = (
-        reader.parquet(source)
-        .transform(stage)
+        (arriving if per_batch else arriving.transform(stage))
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -82,6 +89,14 @@ def incremental_nlp(
     terms: DataFrame,
     profiles: DataFrame | None = None,
     max_files: int | None = None,
+    max_keys: int = lookup.MAX_KEYS,
 ) -> None:
-    """Enrich the cleaned posts in files that arrived since the last run."""
-    run_stream(spark, source, schema, lambda df: enrich.enrich(df, terms, profiles), out, checkpoint, max_files)
+    """Enrich the cleaned posts in files that arrived since the last run.
+
+    ``terms`` and ``profiles`` are stored tables. One that is too large to be
+    read inside the row is joined, which needs a plan per micro-batch.
+    """
+    tables = [(terms, "term"), *([(profiles, "gram")] if profiles is not None else [])]
+    joined = any(lookup.bounded_rows(table, key, max_keys) is None for table, key in tables)
+    stage = lambda df: enrich.enrich(df, terms, profiles, max_keys=max_keys)
+    run_stream(spark, source, schema, stage, out, checkpoint, max_files, per_batch=joined)

@@ -70,6 +70,18 @@ def test_profiles_and_detection_agree_with_brute_force(spark, texts):
         assert {k: v[0] for k, v in got.items()} == want
 
 
+def test_parts_of_a_long_text_give_the_same_result(spark, texts, monkeypatch):
+    profiles = language.train_language_profiles(sample(spark))
+    given = ["aab abb " * n + "ccc bcc " * (n // 2) for n in range(1, 30)] + ["", "aab", "aabb"]
+    whole = results(language.detect_language(texts(given), profiles, "text"))
+    counts = lambda: {tuple(r) for r in language.train_language_profiles(sample(spark)).collect()}
+    expected = counts()
+    for size in (1, 2, 7, 64):
+        monkeypatch.setattr(language, "CHUNK", size)
+        assert results(language.detect_language(texts(given), profiles, "text")) == whole
+        assert counts() == expected
+
+
 def test_detection_in_row_has_no_shuffle(spark, texts):
     profiles = language.train_language_profiles(sample(spark))
     shown = plan(language.detect_language(texts(["aab"]), profiles, "text"))

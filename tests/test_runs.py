@@ -2,7 +2,7 @@ from datetime import datetime
 from types import SimpleNamespace
 
 import pytest
-from postlens.operators import sentiment
+from postlens.operators import clean, sentiment
 from postlens.plans import jobs
 from postlens.schema import INDEX_SCHEMA
 from postlens.sources import store
@@ -27,7 +27,8 @@ def test_batch_runs(spark, tmp_path):
     assert spark.read.parquet(at("clean")).count() == 1
     jobs.clean_run(posts, at("clean"), RUN)
     assert spark.read.parquet(at("clean")).count() == 2
-    jobs.index_run(spark.read.parquet(at("nlp")), at("index"))
+    jobs.index_run(spark.read.parquet(at("nlp")), at("index"), at("rejected"))
+    assert spark.read.parquet(at("rejected")).count() == 0
     index = store.check_schema(store.read_published(spark, at("index")), INDEX_SCHEMA)
     assert {(r.label, r.sentiment) for r in index.collect()} == {("ok", "positive"), ("bad", "negative")}
 
@@ -48,6 +49,17 @@ def test_stream_takes_only_new_files(spark, texts, tmp_path):
     assert after == {"0": "good day", "1": "changed", "9": "new"}
 
 
+@pytest.mark.parametrize("max_keys", [1000, 0])
+def test_stream_of_cleaned_posts(spark, texts, tmp_path, max_keys):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    clean.preprocess(texts(["a good day", "a bad day", ""])).write.parquet(source)
+    schema = spark.read.parquet(source).schema
+    terms = sentiment.seed_terms(spark)
+    incremental.incremental_nlp(spark, source, schema, out, checkpoint, terms, max_keys=max_keys)
+    got = {r.id_post: r.sentiment_consensus.final_sentiment for r in incremental.read_results(spark, out).collect()}
+    assert got == {"0": "positive", "1": "negative", "2": "neutral"}
+
+
 def test_replayed_batch_overwrites_itself(spark, texts, tmp_path):
     out = str(tmp_path / "out")
     batch = texts(["a", "b"])

@@ -1,8 +1,10 @@
 from datetime import datetime
 
+from conftest import plan
 from pyspark.sql import functions as F
 
 from postlens.operators import clean, enrich, report, sentiment, state
+from postlens.sources import store
 
 FLAGS = "_id int, processed boolean, nlp_processed boolean"
 ROWS = [(1, True, None), (2, True, None), (3, False, None), (4, True, False), (5, True, True), (6, None, None)]
@@ -32,6 +34,22 @@ def test_upsert(spark):
     assert {r.id_post: (r.x, r.y, r.z) for r in again.collect()} == got
 
 
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    rows = spark.range(100).selectExpr("string(id) id_post", "id x")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("posts_b", "updates_b"):
+            store.save_bucketed(rows, name, "id_post", 4, str(tmp_path / name))
+        posts, updates = spark.table("posts_b"), spark.table("updates_b")
+        for df in (state.upsert(posts, updates), state.not_done(posts, updates)):
+            assert "Exchange" not in plan(df)
+        assert state.not_done(posts, updates).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS posts_b")
+        spark.sql("DROP TABLE IF EXISTS updates_b")
+
+
 def test_last_write_wins(spark):
     rows = [("hot", i, f"v{i}") for i in range(1000)] + [("a", 1, "x"), ("a", 1, "y"), ("b", None, "n")]
     df = spark.createDataFrame(rows, "id_post string, version int, v string").repartition(8)
