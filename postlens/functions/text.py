@@ -16,11 +16,11 @@ WS = r"\s\x1c-\x1f\x85\p{Z}"
 # possessive group keeps matching iterative, so that one very long broken tag
 # cannot exhaust the stack of an executor thread.
 MARKUP = (
-    r"(?is)<!--.*?-->"
-    r"|<script[^>]*>.*?</script>"
-    r"|<style[^>]*>.*?</style>"
-    r"|<![a-z][^>]*>"
-    r"|</?[a-z](?:\"[^\"]*\"|'[^']*'|[^'\">]+)*+>"
+    r"(?is)<(?:!--.*?--"
+    r"|script[^>]*>.*?</script"
+    r"|style[^>]*>.*?</style"
+    r"|![a-z][^>]*"
+    r"|/?[a-z](?:\"[^\"]*\"|'[^']*'|[^'\">]+)*+)>"
 )
 
 # A link runs over "!", "$" to "_" and the lower-case letters.
@@ -66,11 +66,11 @@ def strip_markup(c: Column) -> Column:
 def decode_entities(c: Column) -> Column:
     """Decode the common entities; ``&amp;`` goes last so nothing decodes twice."""
     for pattern, text in (
-        (r"(?i)&nbsp;|&#160;|&#xa0;", " "),
+        (r"(?i)&(?:nbsp|#160|#xa0);", " "),
         (r"(?i)&lt;", "<"),
         (r"(?i)&gt;", ">"),
         (r"(?i)&quot;", '"'),
-        (r"(?i)&apos;|&#39;|&#x27;", "'"),
+        (r"(?i)&(?:apos|#39|#x27);", "'"),
         (r"(?i)&#x?[0-9a-f]+;", ""),
         (r"(?i)&amp;", "&"),
     ):

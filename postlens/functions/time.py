@@ -12,8 +12,16 @@ ISO = (
 
 
 def iso_timestamp(c: Column) -> Column:
-    """Timestamp of an ISO 8601 text, null if it is none; a text without zone is UTC."""
-    return F.when(c.rlike(ISO), c.try_cast("timestamp"))
+    """Timestamp of an ISO 8601 text, null if it is none.
+
+    A text without zone is UTC, whatever the zone of the session.
+    """
+    # A time of day without seconds gets them, a date its midnight, a text without zone "Z".
+    full = F.when(F.length(c) == 10, F.concat(c, F.lit("T00:00:00"))).otherwise(
+        F.regexp_replace(c, r"^(.{13}:\d{2})(?!:\d)", "$1:00")
+    )
+    zoned = F.when(full.rlike(r"(Z|[+-]\d{2}:\d{2})$"), full).otherwise(F.concat(full, F.lit("Z")))
+    return F.when(c.rlike(ISO), zoned.try_cast("timestamp"))
 
 
 def safe_timestamp(c: Column, run_ts: Column) -> Column:

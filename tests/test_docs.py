@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,14 +52,22 @@ def test_quarantine(spark):
     assert docs.first_failures(bad.where("id IS NOT NULL"), 1).collect()[0][:] == ("2", "bad_number:score", "bad_number")
 
 
-def test_safe_timestamp(spark):
-    run = datetime(2024, 6, 1)
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_safe_timestamp(spark, zone):
+    run = F.lit("2024-06-01T00:00:00Z").cast("timestamp")
     given = {"2024-01-02T03:04:05Z": (2024, 1, 2, 3), "2024-01-02T03:04:05+02:00": (2024, 1, 2, 1),
-             "2024-01-02 03:04:05": (2024, 1, 2, 3), "2024-01-02": (2024, 1, 2, 0),
+             "2024-01-02 03:04:05": (2024, 1, 2, 3), "2024-01-02": (2024, 1, 2, 0), "2024-01-02T03:04": (2024, 1, 2, 3), "2024-01-02T03:04:05.123": (2024, 1, 2, 3),
              "nonsense": (2024, 6, 1, 0), "2024-13-45": (2024, 6, 1, 0), "": (2024, 6, 1, 0), "2024": (2024, 6, 1, 0)}
     df = spark.createDataFrame([(k,) for k in given], "t string")
-    for r in df.select("t", time.safe_timestamp(F.col("t"), F.lit(run)).alias("at"), time.is_bad_timestamp(F.col("t")).alias("bad")).collect():
-        assert (r.at.year, r.at.month, r.at.day, r.at.hour) == given[r.t]
+    at = F.unix_seconds(time.safe_timestamp(F.col("t"), run)).alias("at")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = df.select("t", at, time.is_bad_timestamp(F.col("t")).alias("bad")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for r in rows:
+        when = datetime.fromtimestamp(r.at, timezone.utc)
+        assert (when.year, when.month, when.day, when.hour) == given[r.t]
         assert r.bad == (r.t in ("nonsense", "2024-13-45", "2024"))
 
 
