@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import bpe, packing, pii, quality, secret_scan, substring_dedup
+from postlens.llm import bpe, group_join, packing, pii, quality, secret_scan, substring_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -46,6 +46,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = group_join.similarity_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -84,7 +89,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_secret_scan, op2_pii, op5_quality, op8_packing, op9_substring_dedup, op10_bpe)
+    f.__name__: f
+    for f in (
+        op1_secret_scan, op2_pii, op4_group_join, op5_quality, op8_packing, op9_substring_dedup, op10_bpe,
+    )
 }
 
 ORACLE: dict[str, str] = {}
