@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import bpe, group_join, packing, pii, quality, secret_scan, substring_dedup
+from postlens.llm import bpe, chat, group_join, matrix_join, packing, pii, pivot_index, quality, secret_scan, substring_dedup
 
-TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+TOKENIZER = corpus_pipeline.TOKENIZER
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,9 +46,28 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    rows = rows.union(spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema))
+    found = chat.format_trees(chat.chains(rows, "conv_id", "turn", "role", "text"))
+    turns = found.select(
+        F.col("tree").alias("conv_id"), "formatted", chat.parsed(F.col("formatted")).alias("_turns"),
+        chat.loss_text(F.col("formatted"), F.col("loss")).alias("_loss"),
+    )
+    said_by = F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return turns.select(
+        "conv_id",
+        F.size("_turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said_by, ""), 256).alias("turns_sha256"),
+        F.length("_loss").cast("long").alias("loss_chars"),
+        F.sha2("_loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op4_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = group_join.similarity_components(table(spark, sf_dir, "documents"), words=3, percent=90)
-    return found.select("doc_id", "n_shingles", "component_id")
+    return group_join.similarity_components(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +82,14 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op7_matrix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix_join.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -88,11 +115,36 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_sql() -> str:
+    return """
+WITH v AS (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+def op7_sql() -> str:
+    return """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_secret_scan, op2_pii, op4_group_join, op5_quality, op8_packing, op9_substring_dedup, op10_bpe,
+        op1_secret_scan, op2_pii, op3_reply_trees, op4_group_join, op5_quality, op6_pivot_index, op7_matrix_join,
+        op8_packing, op9_substring_dedup, op10_bpe,
     )
 }
+QUERIES["pipeline"] = corpus_pipeline.run
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_pivot_index": op6_sql(), "op7_matrix_join": op7_sql()}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
