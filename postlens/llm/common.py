@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -64,7 +65,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     read the rows several times.
     """
     path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -76,5 +77,10 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_or_joined(keys: DataFrame, limit: int) -> DataFrame:
+    """``keys``, which are stored, with a broadcast hint if they are ``limit`` rows at most; else as they are."""
+    return F.broadcast(keys) if keys.count() <= limit else keys
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
