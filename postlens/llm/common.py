@@ -77,6 +77,22 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class Scratch:
+    """Stored tables that go together, when what is made of them is stored."""
+
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(stored(df, name))
+        return self.tables[-1]
+
+    def drop(self) -> None:
+        for table in self.tables:
+            drop_stored(table)
+        self.tables.clear()
+
+
 def small_or_joined(keys: DataFrame, limit: int) -> DataFrame:
     """``keys``, which are stored, with a broadcast hint if they are ``limit`` rows at most; else as they are."""
     return F.broadcast(keys) if keys.count() <= limit else keys
