@@ -68,7 +68,8 @@ WHERE reason IS NOT NULL AND page_id IS NOT NULL ORDER BY page_id LIMIT 5""",
 FROM documents WHERE length({S.strip_ws('text')}) > 0""",
     "post_ids": f"""WITH r AS (SELECT {S.strip_ws('text')} AS text, lang AS label FROM documents WHERE length({S.strip_ws('text')}) > 0),
 n AS (SELECT *, row_number() OVER (PARTITION BY text, label ORDER BY text) AS copy FROM r)
-SELECT sha256(concat_ws(chr(1), 'kaggle_dataset', text, label, label, CAST(copy AS VARCHAR))) AS id_post, label FROM n""",
+SELECT sha256(list_aggregate(list_transform(['kaggle_dataset', text, label, label, CAST(copy AS VARCHAR)],
+  lambda x: coalesce(length(x) || ':' || x, '-')), 'string_agg', '')) AS id_post, label FROM n""",
     "pending_clean": f"WITH {S.POSTS} SELECT id_post, label, processed FROM posts WHERE processed = FALSE",
     "pending_nlp": f"""WITH {S.POSTS} SELECT id_post, label, processed, nlp_processed FROM posts
 WHERE processed AND nlp_processed IS DISTINCT FROM TRUE""",

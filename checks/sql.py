@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from checks.tables import LEXICON
 from postlens.functions.wordlists import (
     IRREGULAR_NOUNS, LANGUAGE_WORDS, SEARCH_STOP_WORDS, STOP_WORDS,
@@ -9,8 +11,8 @@ from postlens.functions.wordlists import (
 
 WS = r"\s\x{0B}\x1c-\x1f\x{85}\p{Z}"
 MARKUP = (
-    r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<![a-z][^>]*>"
-    r"""|</?[a-z](?:"[^"]*"|'[^']*'|[^'">])*>"""
+    r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<![a-z][^>]*>|<\?[^>]*>"
+    r"""|</?[a-z](?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*?>"""
 )
 URL = r"https?://[!$-_a-zA-Z]+"
 
@@ -39,16 +41,20 @@ def strip_ws(x: str) -> str:
 
 
 def entities(x: str) -> str:
-    for pattern, to in (
-        (r"(?i)&nbsp;|&#160;|&#xa0;", " "), (r"(?i)&lt;", "<"), (r"(?i)&gt;", ">"), (r"(?i)&quot;", '"'),
-        (r"(?i)&apos;|&#39;|&#x27;", "'"), (r"(?i)&#x?[0-9a-f]+;", ""), (r"(?i)&amp;", "&"),
-    ):
-        x = sub(x, pattern, to)
-    return x
+    """Each ampersand starts a piece; the piece before its semicolon names a character, or stays."""
+    names = "MAP {" + ", ".join(f"{q(n)}: {i}" for n, i in {**name2codepoint, "apos": 39}.items()) + "}"
+    head = "split_part(p, ';', 1)"
+    number = (
+        f"CASE WHEN NOT contains(p, ';') THEN NULL WHEN regexp_full_match({head}, '#[0-9]+') THEN TRY_CAST(substr({head}, 2) AS INTEGER) "
+        f"WHEN regexp_full_match({head}, '#[xX][0-9a-fA-F]+') THEN TRY_CAST('0x' || substr({head}, 3) AS INTEGER) ELSE {names}[{head}] END"
+    )
+    letter = "CASE WHEN c = 160 THEN ' ' WHEN c BETWEEN 1 AND 55295 OR c BETWEEN 57344 AND 1114111 THEN chr(c) ELSE chr(65533) END"
+    piece = f"list_transform([{number}], lambda c: CASE WHEN c IS NULL THEN '&' || p ELSE {letter} || substr(p, strpos(p, ';') + 1) END)[1]"
+    return f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: CASE WHEN i = 1 THEN p ELSE {piece} END), '')"
 
 
 def html(x: str) -> str:
-    return entities(sub(x, MARKUP))
+    return entities(sub(sub(x, r"(?s)<!\[CDATA\[(.*?)\]\]>", r"\1"), MARKUP))
 
 
 def collapse(x: str) -> str:

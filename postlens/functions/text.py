@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from postlens.functions.binding import let
+
 # Body of a character class that matches the whitespace of Unicode text:
 # the ASCII blanks, U+001C..U+001F, U+0085 and every Unicode separator.
 WS = r"\s\x1c-\x1f\x85\p{Z}"
 
 # Everything that is markup, in one leftmost-first pass: comments, script and
-# style with their bodies, declarations, tags with quoted attributes. The
+# style with their bodies, declarations, processing instructions, tags with
+# quoted attributes; a quote opens a value only after an equals sign. The
 # possessive group keeps matching iterative, so that one very long broken tag
 # cannot exhaust the stack of an executor thread.
 MARKUP = (
@@ -20,9 +24,15 @@ MARKUP = (
     r"|script[^>]*>.*?</script"
     r"|style[^>]*>.*?</style"
     r"|![a-z][^>]*"
-    r"|/?[a-z](?:\"[^\"]*\"|'[^']*'|[^'\">]+)*+)>"
+    r"|\?[^>]*"
+    r"|/?[a-z](?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>"
 )
 
+# Names of characters in HTML 4, as the standard library lists them.
+ENTITIES = {**name2codepoint, "apos": 39}
+# Those of them that stand for white space; no other one stands for a letter of ASCII.
+BLANK_ENTITIES = {n: i for n, i in ENTITIES.items() if chr(i).isspace()}
+
 # A link runs over "!", "$" to "_" and the lower-case letters.
 URL = r"https?://[!$-_a-zA-Z]+"
 
@@ -60,22 +70,41 @@ def first_text(*columns: Column) -> Column:
 
 
 def strip_markup(c: Column) -> Column:
-    return F.regexp_replace(c, MARKUP, "")
-
-
-def decode_entities(c: Column) -> Column:
-    """Decode the common entities; ``&amp;`` goes last so nothing decodes twice."""
-    for pattern, text in (
-        (r"(?i)&(?:nbsp|#160|#xa0);", " "),
-        (r"(?i)&lt;", "<"),
-        (r"(?i)&gt;", ">"),
-        (r"(?i)&quot;", '"'),
-        (r"(?i)&(?:apos|#39|#x27);", "'"),
-        (r"(?i)&#x?[0-9a-f]+;", ""),
-        (r"(?i)&amp;", "&"),
-    ):
-        c = F.regexp_replace(c, pattern, text)
-    return c
+    """Drop markup; the text of a CDATA section stays."""
+    return F.regexp_replace(F.regexp_replace(c, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1"), MARKUP, "")
+
+
+def decode_entities(c: Column, entities: dict[str, int] = ENTITIES, other: int | None = None) -> Column:
+    """Decode numeric references and the names of HTML 4; nothing is decoded twice.
+
+    A number that is no character gives U+FFFD; an unknown name stays as it is;
+    a no-break space becomes a blank. With ``other``, any other name stands for
+    that character, which keeps the list of names out of a plan.
+    Texts without an ampersand are not taken apart.
+    """
+    names = F.str_to_map(F.lit(",".join(f"{n}:{i}" for n, i in entities.items())), F.lit(","), F.lit(":"))
+
+    def decoded(piece: Column) -> Column:
+        hexadecimal = F.conv(F.regexp_extract(piece, "^#[xX]0*([0-9a-fA-F]{1,6});", 1), 16, 10)
+        decimal = F.regexp_extract(piece, "^#0*([0-9]{1,7});", 1)
+        name = F.regexp_extract(piece, "^([a-zA-Z][a-zA-Z0-9]*);", 1)
+        named = F.element_at(names, name)
+        if other is not None:
+            named = F.coalesce(named, F.when(name != "", str(other)))
+        number = F.coalesce(F.nullif(hexadecimal, F.lit("")), F.nullif(decimal, F.lit("")), named).cast("int")
+        return let(number, lambda n: F.when(n.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+            F.concat(character(n), F.regexp_replace(piece, "^#?[a-zA-Z0-9]+;", ""))
+        ))
+
+    def character(n: Column) -> Column:
+        valid = ((n > 0) & (n < 0xD800)) | ((n > 0xDFFF) & (n < 0x110000))
+        code = F.when(n == 0xA0, 0x20).when(valid, n).otherwise(0xFFFD)
+        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+    def joined(pieces: Column) -> Column:
+        return F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(decoded(p))), "")
+
+    return let(c, lambda x: F.when(x.contains("&"), joined(F.split(x, "&", -1))).otherwise(x))
 
 
 def strip_html(c: Column) -> Column:

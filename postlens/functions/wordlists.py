@@ -58,7 +58,7 @@ LANGUAGE_WORDS = {
     "es": "el la de que y en los se del las por un para con una su al lo como pero "
           "sus le ya o este porque esta entre cuando muy sin sobre".split(),
     "fr": "le la les de des du un une et est en que qui dans ce pour pas sur au il "
-          "avec ne se plus par je ceci cette vous nous sont mais langue".split(),
+          "avec ne se plus par je ceci cette vous nous sont mais".split(),
     "it": "il di che e la per un in non sono una mi con si ho lo ma ha cosa le ti "
           "della del questo anche come da al gli".split(),
 }

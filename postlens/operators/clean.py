@@ -26,7 +26,8 @@ def clean_text(df: DataFrame, text: str = "text") -> DataFrame:
     """
     original, bare = F.col("original_text"), F.col("cleaned_text")
     without_markup = F.when(F.contains(original, F.lit("<")), X.strip_markup(original)).otherwise(original)
-    decoded = F.when(F.contains(bare, F.lit("&")), X.decode_entities(bare)).otherwise(bare)
+    # Only ASCII letters are left below, so that names of other characters need not be told apart.
+    decoded = X.decode_entities(bare, {**X.BLANK_ENTITIES, "amp": 38, "lt": 60, "gt": 62}, other=0xFFFD)
     return (
         df.withColumn("original_text", F.lower(F.coalesce(F.col(text), F.lit(""))))
         .withColumn("cleaned_text", without_markup)

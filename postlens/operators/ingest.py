@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from postlens.functions.text import has_words, strip_ws
 
 SOURCE = "kaggle_dataset"
-SEPARATOR = "\u0001"
 COPIES_PER_TASK = 100_000
 
 
@@ -73,7 +72,9 @@ def content_ids(df: DataFrame, out: str = "id_post", chunk: int = COPIES_PER_TAS
         .withColumn("_copy", F.explode(F.expr(f"sequence(_chunk * {chunk} + 1, least((_chunk + 1) * {chunk}, _n))")))
         .drop("_chunk")
     )
-    content = F.sha2(F.concat_ws(SEPARATOR, *[F.col(c).cast("string") for c in columns], F.col("_copy").cast("string")), 256)
+    # Each part with its length, so that no two rows are written alike.
+    parts = [F.col(c).cast("string") for c in [*columns, "_copy"]]
+    content = F.sha2(F.concat(*[F.coalesce(F.concat(F.length(p), F.lit(":"), p), F.lit("-")) for p in parts]), 256)
     return few.unionByName(many).select(content.alias(out), *columns)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlens.functions.numbers import exact_round
 from postlens.functions.text import shorten
 
 SENTIMENTS = ["negative", "neutral", "positive"]
@@ -55,7 +56,7 @@ def word_stats(df: DataFrame) -> DataFrame:
             F.max("word_count").alias("max_word_count"),
         )
         .where(F.col("avg_word_count").isNotNull())
-        .withColumn("avg_display", F.format_string("%.2f", "avg_word_count"))
+        .withColumn("avg_display", F.format_string("%.2f", exact_round("avg_word_count", 2)))
     )
 
 
@@ -96,12 +97,13 @@ def share_with_other(df: DataFrame, field: str, top: int, other: str = "other")
     """Counts and shares of the ``top`` most frequent values and of all others together."""
     grouped = counts(df, field)
     # The kept values are at most ``top`` rows, the table after relabelling one more.
-    kept = F.broadcast(grouped.orderBy(F.desc("count"), F.asc(field)).limit(top).select(F.col(field).alias("_kept")))
+    kept = F.broadcast(grouped.orderBy(F.desc("count"), F.asc(field)).limit(top).select(F.col(field).alias("_value"), F.lit(True).alias("_kept")))
     relabelled = (
-        grouped.join(kept, F.col(field).eqNullSafe(F.col("_kept")), "left")
-        .withColumn(field, F.when(F.col("_kept").isNotNull(), F.col(field)).otherwise(other))
-        .groupBy(field)
+        grouped.join(kept, F.col(field).eqNullSafe(F.col("_value")), "left")
+        .withColumn(field, F.when(F.col("_kept"), F.col(field)).otherwise(other))
+        .groupBy(field, "_kept")
         .agg(F.sum("count").alias("count"))
+        .drop("_kept")
     )
     return with_share(relabelled)
 

@@ -158,7 +158,8 @@ def _token_valence(capitals: str | None) -> str:
     )
     steps = [own]
     if capitals:
-        steps.append(f"CASE WHEN get({capitals}, i) THEN {_raise('v', f'{CAPITALS}D')} ELSE v END")
+        # At zero, as after a negating "no", a word in capitals counts as negative.
+        steps.append(f"CASE WHEN get({capitals}, i) THEN v + CASE WHEN v > 0D THEN {CAPITALS}D ELSE -{CAPITALS}D END ELSE v END")
     steps += [*(_look_back(d, capitals) for d in DECAY), _phrases()]
     value = steps[0]
     for step in steps[1:]:

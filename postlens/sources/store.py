@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from postlens.functions.numbers import exact_round
 from postlens.schema import INDEX_SCHEMA, schema_differences
 
 POINTER = "CURRENT"
@@ -131,5 +132,4 @@ def store_stats(df: DataFrame) -> DataFrame:
     return files.agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_documents"),
         size.alias("index_size"),
-        F.round(size / F.lit(1024.0 * 1024.0), 2).alias("index_size_mb"),
-    )
+    ).withColumn("index_size_mb", exact_round("index_size / 1048576D", 2))

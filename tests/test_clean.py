@@ -16,6 +16,10 @@ CASES = [
     (X.strip_html, '<a title="x>y">z</a>', "z"),
     (X.strip_html, "x<!-- c > d -->y", "xy"),
     (X.strip_html, "i <3 you", "i <3 you"),
+    (X.strip_html, "caf&eacute; &#65;&#x42;C &hellip;", "café ABC …"),
+    (X.strip_html, "&unknown; &#xD800;&#0;&#1114112; a & b", "&unknown; ��� a & b"),
+    (X.strip_html, "<?xml version='1'?>hi <![CDATA[data]]>z", "hi dataz"),
+    (X.strip_html, "<b it's>hello</b> he's <i title='a > b'>x</i>", "hello he's x"),
     (X.strip_html, "&amp;lt;", "&lt;"),
     (X.strip_html, "a&nbsp;b", "a b"),
     (X.strip_html, '<script>var t="</p>";</script>x<STYLE>p{}</STYLE>', "x"),

@@ -81,3 +81,9 @@ def test_accounting(spark):
     df = spark.createDataFrame([("a",), (" ",), (None,)], "text string")
     assert tuple(ingest.ingest_accounting(df).first()) == (3, 2, 1, 1)
     assert tuple(ingest.ingest_accounting(df.where(F.lit(False))).first()) == (0, 0, 0, 0)
+
+
+def test_ids_of_rows_that_read_alike(spark):
+    rows = [("a\x01b", "c"), ("a", "b\x01c"), (None, "x"), ("x", None), ("a1:", "b"), ("a", "1:b")]
+    df = spark.createDataFrame(rows, "text string, label string")
+    assert ingest.content_ids(df).select("id_post").distinct().count() == len(rows)

@@ -8,7 +8,7 @@ from postlens.operators import language
 
 GIVEN = [
     ("This is a test message in English language", "en", 0.8),
-    ("Ceci est un message de test en langue française", "fr", 0.9),
+    ("Voici la maison de mes parents et le jardin avec les fleurs", "fr", 0.95),
     ("", "unknown", 0.0), (None, "unknown", 0.0), ("Hi", "unknown", 0.0), ("123 456 789", "unknown", 0.0),
     ("   ", "unknown", 0.0),
 ]

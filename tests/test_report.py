@@ -50,3 +50,10 @@ def test_preview_and_profile(spark):
     assert (profile["text"].present, profile["text"].missing, profile["text"].min_length, profile["text"].max_length) == (2, 1, 5, 90)
     assert profile["label"].type == "string"
     assert report.profile_fields(df.where("false")).count() == 3
+
+
+def test_a_null_group_is_not_other(spark):
+    df = spark.createDataFrame([(v,) for v in [None] * 5 + ["en"] * 3 + ["fr", "other"]], "v string")
+    assert sorted((r.v or "", r["count"]) for r in report.share_with_other(df, "v", 2).collect()) == [("", 5), ("en", 3), ("other", 2)]
+    words = spark.createDataFrame([(True, w) for w in (2, 2, 2, 2, 2, 2, 2, 3)], "processed boolean, word_count int")
+    assert report.word_stats(words).first().avg_display == "2.12"
