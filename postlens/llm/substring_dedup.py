@@ -12,7 +12,8 @@ digest that many documents hold is counted within the tasks first.
 
 Defined results: units of fewer than ``min_words`` words are always kept; a null
 or empty text stays as it is; rows that share an id rank as one document, and
-each keeps the units that this document keeps; rows without an id rank last;
+each keeps the units that this document keeps; rows without an id rank last
+(each loses what a row with an id holds, and none is owner of a unit);
 a document that loses all its units gets an empty text. Extra columns of
 ``mark_repeats``' input are not read.
 """
@@ -21,9 +22,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,29 +70,35 @@ def cut(text: str | None, unit: str, min_words: int, elsewhere: set[bytes]) -> t
     return left, spans
 
 
+def part_of(id_col: str, text_col: str) -> Column:
+    """What tells rows without an id apart: such rows need meet only rows with the same text."""
+    return F.when(F.col(f"`{id_col}`").isNull(), F.xxhash64(F.col(f"`{text_col}`")))
+
+
 def repeats(docs: DataFrame, unit: str, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """``(id_col, _digests, owners)``: the units that stand in an earlier document, and in which."""
+    """``(_id, _part, _digests, owners)``: the units that stand in an earlier document, and in which."""
 
     def start():
-        def apply(keys, texts):
+        def apply(keys, parts, texts):
             rows = [
-                (key, d)
-                for key, text in zip(keys, texts)
+                (key, part, d)
+                for key, part, text in zip(keys, parts, texts)
                 if text
                 for d in {d for _, _, d in units(text, unit, min_words) if d is not None}
             ]
-            return ([r[0] for r in rows], [r[1] for r in rows])
+            return ([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows])
 
         return apply
 
     kind = docs.schema[id_col].dataType.simpleString()
-    held = map_columns(docs.select(id_col, text_col), start, f"_id {kind}, _digest binary")
+    rows = docs.select(F.col(f"`{id_col}`"), part_of(id_col, text_col), F.col(f"`{text_col}`"))
+    held = map_columns(rows, start, f"_id {kind}, _part long, _digest binary")
     # The owner of a digest is the smallest id; rows without id come last and own nothing that others hold.
     shared = held.groupBy("_digest").agg(F.min("_id").alias("_owner"), F.count("*").alias("_n")).where("_n > 1")
     return (
         held.join(shared.select("_digest", "_owner"), "_digest")
         .where("_id IS NULL AND _owner IS NOT NULL OR _id > _owner")
-        .groupBy("_id")
+        .groupBy("_id", "_part")
         .agg(F.collect_set("_digest").alias("_digests"), F.sort_array(F.collect_set("_owner")).alias("owners"))
     )
 
@@ -105,9 +111,11 @@ def mark_repeats(
     ``owners`` lists other documents only.
     """
     found = repeats(docs, unit, min_words, id_col, text_col)
-    rows = docs.select(F.col(f"`{id_col}`").alias("_key"), F.col(f"`{text_col}`").alias("_text"))
-    # Every row goes through the shuffle once; null ids are salted since they need not meet anything but each other.
-    joined = rows.join(found, F.col("_key").eqNullSafe(F.col("_id")), "left").select("_key", "_text", "_digests", "owners")
+    rows = docs.select(
+        F.col(f"`{id_col}`").alias("_key"), part_of(id_col, text_col).alias("_key_part"), F.col(f"`{text_col}`").alias("_text")
+    )
+    same = F.col("_key").eqNullSafe(F.col("_id")) & F.col("_key_part").eqNullSafe(F.col("_part"))
+    joined = rows.join(found, same, "left").select("_key", "_text", "_digests", "owners")
 
     def start():
         def apply(keys, texts, digests, owners):
@@ -128,9 +136,10 @@ def drop_repeats(
 ) -> DataFrame:
     """``docs`` with the repeats cut out of ``text_col``; all rows and columns stay."""
     found = repeats(docs, unit, min_words, id_col, text_col)
-    extra = reduce(lambda name, _: f"_{name}", docs.columns, "digests")  # longer than any clashing name
-    keys = found.select(F.col("_id").alias(f"{extra}_id"), F.col("_digests").alias(extra))
-    joined = docs.join(keys, docs[id_col].eqNullSafe(F.col(f"{extra}_id")), "left")
+    extra = "_" * max(map(len, docs.columns)) + "digests"  # longer than any name there is
+    keys = found.select(F.col("_id").alias(f"{extra}_id"), F.col("_part").alias(f"{extra}_part"), F.col("_digests").alias(extra))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(f"{extra}_id")) & part_of(id_col, text_col).eqNullSafe(F.col(f"{extra}_part"))
+    joined = docs.join(keys, same, "left")
     cleaned = F.pandas_udf(
         lambda texts, digests: texts.combine(
             digests, lambda t, d: cut(t, unit, min_words, set() if d is None else set(map(bytes, d)))[0]

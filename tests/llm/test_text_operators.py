@@ -163,6 +163,16 @@ def test_lines(spark):
     assert substring_dedup.mark_repeats(docs.limit(0)).collect() == []
 
 
+def test_lines_of_rows_without_id(spark):
+    """Each loses what a row with an id holds, and only that, whatever other rows without id lose."""
+    other = LONG.replace("one", "eleven")
+    rows = [(None, f"{LONG}\nx"), (None, f"{other}\ny"), (None, f"{LONG}\nx"), (None, f"{other} z\ny"), (None, f"{other} z\ny"), (1, LONG), (2, f"{other}\n{LONG}")]
+    docs = spark.createDataFrame([(i, t, 0, 0) for i, t in rows], "doc_id long, text string, _digests int, ____digests int")
+    expected = sorted([(None, "x"), (None, "y"), (None, "x"), (None, f"{other} z\ny"), (None, f"{other} z\ny"), (1, LONG), (2, other)], key=str)
+    assert sorted(((r.doc_id, r.text) for r in substring_dedup.mark_repeats(docs).collect()), key=str) == expected
+    assert sorted(((r.doc_id, r.text) for r in substring_dedup.drop_repeats(docs).collect()), key=str) == expected
+
+
 # --- quality -------------------------------------------------------------------------
 
 
