@@ -2,7 +2,7 @@
 
 Each run is one plan from a stored table to a stored table. The clean and
 enrich runs take the rows not done yet, so a run after a failure continues
-where the last one ended, and a run without new rows writes nothing.
+where the last one ended, and a run without new rows adds none (its files are empty).
 """
 
 from __future__ import annotations
