@@ -4,8 +4,10 @@ A worklist starts with the text itself. Every layer is scanned for secrets and
 searched for encoded parts: URL escapes and Unicode escapes, which are decoded
 in place, and base64 runs, which become layers of their own, after inflating
 them if they hold compressed data. New layers go back on the worklist until no
-layer is left; a layer that was met before in the same text is not opened again,
-so data that unpack to themselves end. Every span is mapped back, layer by
+layer is left. A layer that was met before at the same place of the original is
+not opened again, so data that unpack to themselves end; at another place it is.
+All that a compressed part holds has the span of that part, so a part that
+stands in many places is unpacked once. Every span is mapped back, layer by
 layer, to code points of the original text.
 
 Kinds: ``assign`` (a keyword, ``=`` or ``:``, and a value of six characters or
@@ -168,29 +170,35 @@ def base64_bytes(run: str) -> bytes | None:
         return None
 
 
-def inner_layers(text: str) -> Iterator[tuple[str, str | None, Up, Callable[[int, int], bool] | None]]:
-    """The layers one step inside: ``(name, text, mapping of spans, which spans are new)``; text None: over the limit."""
+def inner_layers(text: str) -> Iterator[tuple[str, str | None, Up, Callable[[int, int], bool] | None, Span | None]]:
+    """The layers one step inside: ``(name, text, mapping of spans, which spans are new, part)``.
+
+    ``text`` None: over the limit. ``part``: the compressed part, to which all spans inside are mapped.
+    """
     for name, found in (
         ("url", url_escapes(text) if "%" in text else ()),
         ("unicode", unicode_escapes(text) if "\\" in text or "&#" in text else ()),
     ):
         if found:
             layer = Rewritten(text, found)
-            yield name, layer.text, layer.up, layer.touches
+            yield name, layer.text, layer.up, layer.touches, None
+    met = set()
     for m in BASE64.finditer(text):
+        a, b = m.span()
+        if m[0] in met:  # compressed, and its content is known
+            yield "base64>compressed", "", lambda s, e, a=a, b=b: (a, b), None, (a, b)
+            continue
         data = base64_bytes(m[0])
         if not data:
             continue
-        a, b = m.span()
         packed, over = inflate(data)
-        if over:
-            yield "base64>compressed", None, lambda s, e, a=a, b=b: (a, b), None
-        elif packed is not None:
-            inside = readable(packed)
-            if inside is None and any(inflate(packed)):  # compressed twice: one more layer, as a base64 run
-                inside = base64.b64encode(packed).decode()
-            if inside is not None:
-                yield "base64>compressed", inside, lambda s, e, a=a, b=b: (a, b), None
+        if over or packed is not None:
+            inside = None if over else readable(packed)
+            if not over and inside is None:
+                # Compressed twice: one more layer, as a base64 run.
+                inside = base64.b64encode(packed).decode() if any(inflate(packed)) else ""
+            met.add(m[0])
+            yield "base64>compressed", inside, lambda s, e, a=a, b=b: (a, b), None, (a, b)
         elif (inside := readable(data)) is not None:
 
             def up(s: int, e: int, a=a, b=b, inside=inside) -> Span:
@@ -198,7 +206,13 @@ def inner_layers(text: str) -> Iterator[tuple[str, str | None, Up, Callable[[int
                 last = first + len(inside[s:e].encode())
                 return a + first * 4 // 3, min(b, a - (-last * 4 // 3))
 
-            yield "base64", inside, up, None
+            yield "base64", inside, up, None, None
+
+
+def mapped(start: int, end: int, path: tuple[Up, ...]) -> Span:
+    for up in path:
+        start, end = up(start, end)
+    return start, end
 
 
 def find(text: str | None) -> tuple[list[tuple[str, int, int, str]], int]:
@@ -209,22 +223,48 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int, str]], int]:
     if not text:
         return [], 0
     spans: dict[tuple[str, int, int], str] = {}
-    work: list[tuple[str, str, tuple[Up, ...], Callable | None]] = [(text, "", (), None)]
-    seen, closed = {text}, 0
+    # Of each compressed part: kinds and layers inside, how many were left closed, and where the part stands.
+    inside_of: dict[str, dict[str, str]] = {}
+    closed_in: dict[str, int] = {}
+    places: dict[str, dict[tuple[int, int, str], None]] = {}
+    # The layer, its name, the way up, which spans are new, and the compressed part it is in.
+    work: list[tuple[str, str, tuple[Up, ...], Callable | None, str | None]] = [(text, "", (), None, None)]
+    seen: set[tuple] = {(text, 0, len(text))}
     while work:
-        layer, name, path, new = work.pop()
+        layer, name, path, new, part = work.pop()
         for kind, start, end in scan(layer):
-            if new and not new(start, end):
-                continue
-            for up in path:
-                start, end = up(start, end)
-            spans.setdefault((kind, start, end), name)
-        for step, inside, up, touches in inner_layers(layer):
-            if inside is None:
-                closed += 1
-            elif inside and inside not in seen:
-                seen.add(inside)
-                work.append((inside, f"{name}>{step}" if name else step, (up, *path), touches))
+            if part is not None:
+                inside_of[part].setdefault(kind, name)
+            elif not new or new(start, end):
+                spans.setdefault((kind, *mapped(start, end, path)), name)
+        for step, inside, up, touches, run in inner_layers(layer):
+            below = f"{name}>{step}" if name else step
+            if part is not None:
+                if inside is None:
+                    closed_in[part] += 1
+                elif inside and (part, inside) not in seen:
+                    seen.add((part, inside))
+                    work.append((inside, below, (), None, part))
+            elif run:
+                key = layer[run[0] : run[1]]
+                where = (*mapped(*run, path), below)
+                if key not in places:
+                    places[key], inside_of[key], closed_in[key] = {}, {}, int(inside is None)
+                    if inside:
+                        seen.add((key, inside))
+                        work.append((inside, "", (), None, key))
+                places[key][where] = None
+            elif inside:
+                way = (up, *path)
+                place = (inside, *mapped(0, len(inside), way))
+                if place not in seen:
+                    seen.add(place)
+                    work.append((inside, below, way, touches, None))
+    for key, kinds in inside_of.items():
+        for start, end, outer in places[key]:
+            for kind, inner in kinds.items():
+                spans.setdefault((kind, start, end), f"{outer}>{inner}" if inner else outer)
+    closed = sum(n * len(places[key]) for key, n in closed_in.items())
     order = sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
     return [(*s, spans[s]) for s in order], closed
 

@@ -84,6 +84,15 @@ def test_layers_end():
     assert secret_scan.find(bomb) == ([], 1)
 
 
+@pytest.mark.parametrize("pack", [lambda x: x, lambda x: gzip.compress(x, mtime=0), lambda x: zlib.compress(b64(zlib.compress(x)).encode())])
+def test_encoded_part_in_several_places(pack):
+    part = b64(pack(b"password=hunter2secret"))
+    text = f"{part} and {part}\n" * 500
+    spans, closed = secret_scan.find(text)
+    places = [m.start() for m in re.finditer(re.escape(part), text)]
+    assert [s[1] for s in spans if s[0] == "assign"] == places and len(places) == 1000 and closed == 0
+
+
 def test_secret_rows(odd):
     rows = secret_scan.scan_secrets(odd).collect()
     assert len(rows) == len(ODD) and sum(len(r.spans) for r in rows) == 2
