@@ -3,7 +3,9 @@
 A worklist starts with the text itself. Every layer is scanned for secrets and
 searched for encoded parts: URL escapes and Unicode escapes, which are decoded
 in place, and base64 runs, which become layers of their own, after inflating
-them if they hold compressed data. New layers go back on the worklist until no
+them if they hold compressed data, all streams that follow one another. A run is
+read line by line and over line breaks: all lines that touch, and blocks of lines
+of one width with the shorter line after them. New layers go back on the worklist until no
 layer is left. A layer that was met before at the same place of the original is
 not opened again, so data that unpack to themselves end; at another place it is.
 All that a compressed part holds has the span of that part, so a part that
@@ -17,7 +19,8 @@ Defined results: a null or empty text has no spans; repeated rows and null ids
 are rows like others; further columns are not read. A decoded span that covers
 the same characters as one found in the text itself is listed once, as the
 latter. A compressed layer that unpacks to more than ``LAYER_BYTES`` is not
-opened (a bomb); ``unopened`` counts such layers.
+opened (a bomb); ``unopened`` counts such layers, and compressed data that end
+early or are broken, of which what could be unpacked is scanned.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -39,6 +43,7 @@ from postlens.llm.common import map_columns
 
 KINDS = ("assign", "access", "hex")
 LAYER_BYTES = 1 << 26
+PIECE = 1 << 20  # bytes unpacked at a time
 SPANS = "array<struct<kind:string,start:int,end:int,layers:string>>"
 
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -50,6 +55,8 @@ UNICODE = re.compile(
     r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|\\u\{([0-9A-Fa-f]{1,6})\}|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
 )
 BASE64 = re.compile("(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t>]*+[A-Za-z0-9+/_-]++)++")
+LINE = re.compile("[A-Za-z0-9+/_-]+")
 CONTROL = re.compile("[\0-\x08\x0e-\x1f\x7f]")
 
 Span = tuple[int, int]
@@ -129,26 +136,74 @@ def unicode_escapes(text: str) -> list[tuple[int, int, str, int]]:
     return out
 
 
-def inflate(data: bytes) -> tuple[bytes | None, bool]:
-    """The content of compressed data (None if they aren't), and whether it is over ``LAYER_BYTES``."""
+def stream(data: bytes):
+    """Pieces of the content of the compressed stream at the start of ``data``.
+
+    Returns whether it came to its end, and what stands after it; (None, data) if no stream starts here.
+    """
+    if data[:4] == b"\x28\xb5\x2f\xfd":
+        d, at = zstandard.ZstdDecompressor().decompressobj(), 0
+        while at < len(data) and not d.eof:
+            yield d.decompress(data[at : at + 256])
+            at += 256
+        return d.eof, d.unused_data + data[at:]
+    if data[:3] == b"BZh" or data[:6] == b"\xfd7zXZ\0":
+        d = bz2.BZ2Decompressor() if data[:1] == b"B" else lzma.LZMADecompressor()
+        yield d.decompress(data, PIECE)
+        while not d.eof and not d.needs_input:
+            yield d.decompress(b"", PIECE)
+        return d.eof, d.unused_data
+    gzip = data[:2] == b"\x1f\x8b"
+    if gzip or data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
+        d, out, left = zlib.decompressobj(31 if gzip else 15), b"", data
+        while not d.eof and (out or left):
+            out = d.decompress(left, PIECE)
+            left = d.unconsumed_tail
+            yield out
+        return d.eof, d.unused_data
+    return None, data
+
+
+def streams(data: bytes):
+    """Pieces of the content of all streams in ``data``, and what stands after the last one.
+
+    Returns whether all came to their end; None if ``data`` are not compressed.
+    """
+    whole = None
+    while data:
+        some = False
+        try:
+            pieces = stream(data)
+            while True:
+                piece = next(pieces)
+                some = some or bool(piece)
+                yield piece
+        except StopIteration as e:
+            ended, rest = e.value
+        except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+            if not some and whole:
+                yield data
+            return False if some or whole else None
+        if ended is None:
+            if whole:
+                yield data
+            return whole
+        if not ended:
+            return False
+        whole, data = True, rest.lstrip(b"\0")
+    return whole
+
+
+def inflate(data: bytes) -> tuple[bytes | None, bool, bool]:
+    """The content of compressed data (None if they aren't), whether it is over ``LAYER_BYTES``, and whether it is whole."""
+    found, size, pieces = [], 0, streams(data)
     try:
-        if data[:2] == b"\x1f\x8b":
-            d = zlib.decompressobj(31)
-            out = d.decompress(data, LAYER_BYTES + 1)
-        elif data[:1] == b"\x78" and len(data) > 2 and (data[0] << 8 | data[1]) % 31 == 0:
-            d = zlib.decompressobj()
-            out = d.decompress(data, LAYER_BYTES + 1)
-        elif data[:3] == b"BZh":
-            out = bz2.BZ2Decompressor().decompress(data, LAYER_BYTES + 1)
-        elif data[:6] == b"\xfd7zXZ\0":
-            out = lzma.LZMADecompressor().decompress(data, LAYER_BYTES + 1)
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            out = zstandard.ZstdDecompressor().stream_reader(data).read(LAYER_BYTES + 1)
-        else:
-            return None, False
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
-        return None, False
-    return (None, True) if len(out) > LAYER_BYTES else (out, False)
+        while size <= LAYER_BYTES:
+            found.append(next(pieces))
+            size += len(found[-1])
+    except StopIteration as e:
+        return (None if e.value is None else b"".join(found)), False, bool(e.value)
+    return None, True, False
 
 
 def readable(data: bytes) -> str | None:
@@ -161,8 +216,7 @@ def readable(data: bytes) -> str | None:
 
 def base64_bytes(run: str) -> bytes | None:
     body = run.rstrip("=")
-    if len(body) % 4 == 1:
-        return None
+    body = body[: len(body) - (len(body) % 4 == 1)]  # six bits are no byte
     body = body.replace("-", "+").replace("_", "/")
     try:
         return base64.b64decode(body + "=" * (-len(body) % 4))
@@ -170,10 +224,77 @@ def base64_bytes(run: str) -> bytes | None:
         return None
 
 
-def inner_layers(text: str) -> Iterator[tuple[str, str | None, Up, Callable[[int, int], bool] | None, Span | None]]:
+class Run:
+    """A base64 run, in one piece or several, the spans of which are given."""
+
+    def __init__(self, text: str, pieces: list[Span]):
+        self.pieces = pieces
+        self.text = "".join(text[a:b] for a, b in pieces)
+        self.span = pieces[0][0], pieces[-1][1]
+        self.starts = [0]
+        for a, b in pieces[:-1]:
+            self.starts.append(self.starts[-1] + b - a)
+
+    def position(self, p: int) -> int:
+        i = bisect_right(self.starts, p) - 1
+        return self.pieces[i][0] + p - self.starts[i]
+
+    def up(self, first: int, last: int) -> Span:
+        """Where bytes ``first`` to ``last`` of the decoded data stand."""
+        return self.position(first * 4 // 3), self.position(min(len(self.text), -(-last * 4 // 3)) - 1) + 1
+
+
+def one_stream(run: str) -> bool:
+    """Whether a run is one compressed stream, from the first byte to the last."""
+    pieces = stream(base64_bytes(run) or b"")
+    try:
+        while True:
+            next(pieces)
+    except StopIteration as e:
+        return bool(e.value[0]) and not e.value[1]
+    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError):
+        return False
+
+
+def line_groups(text: str) -> Iterator[list[Span]]:
+    """Lines that touch and hold nothing but a run, the first and last one aside; a line that is one stream is no part."""
+    for m in WRAPPED.finditer(text):
+        group, known = [], {}
+        for x in LINE.finditer(text, *m.span()):
+            if x[0] not in known:
+                known[x[0]] = len(x[0]) >= 16 and one_stream(x[0])
+            if known[x[0]]:
+                yield group
+                group = []
+            else:
+                group.append(x.span())
+        yield group
+
+
+def wrapped_runs(text: str) -> Iterator[Run]:
+    """Runs over line breaks: blocks of lines of one width with the shorter one after them, then all lines that touch."""
+    for lines in line_groups(text):
+        widths = [b - a for a, b in lines]
+        if len(lines) < 2 or sum(widths) < 16:
+            continue
+        blocks, at = [], 0
+        while at < len(lines):
+            end = at + 1
+            while end < len(lines) and widths[end] == widths[at]:
+                end += 1
+            last = end + (end < len(lines) and widths[end] < widths[at])
+            if last - at > 1 and last - at < len(lines) and sum(widths[at:last]) >= 16:
+                blocks.append(lines[at:last])
+            at = end
+        for block in [*blocks, lines]:
+            yield Run(text, block)
+
+
+def inner_layers(text: str) -> Iterator[tuple[str, str | None, Up, Callable[[int, int], bool] | None, tuple[str, Span, int] | None]]:
     """The layers one step inside: ``(name, text, mapping of spans, which spans are new, part)``.
 
-    ``text`` None: over the limit. ``part``: the compressed part, to which all spans inside are mapped.
+    ``text`` None: nothing to be scanned. ``part``: the compressed part to which all spans
+    inside are mapped, as its characters, its span, and 1 if it was not opened to its end.
     """
     for name, found in (
         ("url", url_escapes(text) if "%" in text else ()),
@@ -182,31 +303,48 @@ def inner_layers(text: str) -> Iterator[tuple[str, str | None, Up, Callable[[int
         if found:
             layer = Rewritten(text, found)
             yield name, layer.text, layer.up, layer.touches, None
-    met = set()
-    for m in BASE64.finditer(text):
-        a, b = m.span()
-        if m[0] in met:  # compressed, and its content is known
-            yield "base64>compressed", "", lambda s, e, a=a, b=b: (a, b), None, (a, b)
-            continue
-        data = base64_bytes(m[0])
-        if not data:
+    met: dict[str, bool] = {}  # compressed runs, the content of which is known, and whether they are whole
+    whole: dict[int, int] = {}  # spans over line breaks that were unpacked to their end
+    short = set()  # where other runs start
+    lines = (Run(text, [m.span()]) for m in BASE64.finditer(text))
+    ends: list[Span] = []
+    for run in chain(wrapped_runs(text), lines):
+        (a, b), inside = run.span, None
+        data = None if run.text in met else base64_bytes(run.text)
+        if data:
+            packed, over, ended = inflate(data)
+            inside = readable(data) if packed is None and not over or not ended and not over else None
+            if inside is not None:  # a text, though it may start as compressed data do
+
+                def up(s: int, e: int, run=run, inside=inside) -> Span:
+                    first = len(inside[:s].encode())
+                    return run.up(first, first + len(inside[s:e].encode()))
+
+                yield "base64", inside, up, None, None
+                continue
+            if packed is None and not over:
+                continue
+            if packed:
+                inside = readable(packed)
+                if inside is None and (twice := inflate(packed))[0] is not None or packed and inside is None and twice[1]:
+                    inside = base64.b64encode(packed).decode()  # compressed twice: one more layer, as a base64 run
+            met[run.text] = ended
+        elif run.text not in met:
             continue
-        packed, over = inflate(data)
-        if over or packed is not None:
-            inside = None if over else readable(packed)
-            if not over and inside is None:
-                # Compressed twice: one more layer, as a base64 run.
-                inside = base64.b64encode(packed).decode() if any(inflate(packed)) else ""
-            met.add(m[0])
-            yield "base64>compressed", inside, lambda s, e, a=a, b=b: (a, b), None, (a, b)
-        elif (inside := readable(data)) is not None:
-
-            def up(s: int, e: int, a=a, b=b, inside=inside) -> Span:
-                first = len(inside[:s].encode())
-                last = first + len(inside[s:e].encode())
-                return a + first * 4 // 3, min(b, a - (-last * 4 // 3))
-
-            yield "base64", inside, up, None, None
+        closed = 0
+        if met[run.text]:
+            if len(run.pieces) > 1:
+                whole[a] = max(b, whole.get(a, 0))
+        elif len(run.pieces) > 1:
+            closed = int(a not in whole and a not in short)
+            short.add(a)
+        else:  # a line of data that were unpacked over line breaks is no loss
+            if len(ends) < len(whole):
+                for start in sorted(whole):
+                    ends.append((start, max(whole[start], ends[-1][1] if ends else 0)))
+            i = bisect_right(ends, (a, len(text))) - 1
+            closed = int(a not in short and not (i >= 0 and ends[i][1] >= b))
+        yield "base64>compressed", inside, lambda s, e, a=a, b=b: (a, b), None, (run.text, (a, b), closed)
 
 
 def mapped(start: int, end: int, path: tuple[Up, ...]) -> Span:
@@ -223,10 +361,11 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int, str]], int]:
     if not text:
         return [], 0
     spans: dict[tuple[str, int, int], str] = {}
-    # Of each compressed part: kinds and layers inside, how many were left closed, and where the part stands.
+    # Of each compressed part: kinds and layers inside, how many of these were left closed, and
+    # where the part stands, with 1 if it was itself left closed there.
     inside_of: dict[str, dict[str, str]] = {}
     closed_in: dict[str, int] = {}
-    places: dict[str, dict[tuple[int, int, str], None]] = {}
+    places: dict[str, dict[tuple[int, int, str], int]] = {}
     # The layer, its name, the way up, which spans are new, and the compressed part it is in.
     work: list[tuple[str, str, tuple[Up, ...], Callable | None, str | None]] = [(text, "", (), None, None)]
     seen: set[tuple] = {(text, 0, len(text))}
@@ -240,20 +379,19 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int, str]], int]:
         for step, inside, up, touches, run in inner_layers(layer):
             below = f"{name}>{step}" if name else step
             if part is not None:
-                if inside is None:
-                    closed_in[part] += 1
-                elif inside and (part, inside) not in seen:
+                closed_in[part] += run[2] if run else 0
+                if inside and (part, inside) not in seen:
                     seen.add((part, inside))
                     work.append((inside, below, (), None, part))
             elif run:
-                key = layer[run[0] : run[1]]
-                where = (*mapped(*run, path), below)
+                key, span, n = run
+                where = (*mapped(*span, path), below)
                 if key not in places:
-                    places[key], inside_of[key], closed_in[key] = {}, {}, int(inside is None)
+                    places[key], inside_of[key], closed_in[key] = {}, {}, 0
                     if inside:
                         seen.add((key, inside))
                         work.append((inside, "", (), None, key))
-                places[key][where] = None
+                places[key][where] = n
             elif inside:
                 way = (up, *path)
                 place = (inside, *mapped(0, len(inside), way))
@@ -264,7 +402,7 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int, str]], int]:
         for start, end, outer in places[key]:
             for kind, inner in kinds.items():
                 spans.setdefault((kind, start, end), f"{outer}>{inner}" if inner else outer)
-    closed = sum(n * len(places[key]) for key, n in closed_in.items())
+    closed = sum(n + closed_in[key] for key, found in places.items() for n in found.values())
     order = sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
     return [(*s, spans[s]) for s in order], closed
 

@@ -1,7 +1,9 @@
 """Secrets, personal data, line dedup, quality, packing and BPE against brute force."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import re
 import urllib.parse
 import zlib
@@ -9,6 +11,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -93,6 +96,37 @@ def test_encoded_part_in_several_places(pack):
     assert [s[1] for s in spans if s[0] == "assign"] == places and len(places) == 1000 and closed == 0
 
 
+def wrapped(data: bytes, width: int, end: str = "\n") -> str:
+    run = b64(data)
+    return end.join(run[i : i + width] for i in range(0, len(run), width))
+
+
+@pytest.mark.parametrize(("width", "end"), [(64, "\n"), (76, "\r\n"), (76, "\n> "), (61, "\n  ")])
+def test_encoded_part_over_line_breaks(width, end):
+    noise = np.random.default_rng(3).bytes(400).hex().encode().replace(b"a", b" ").replace(b"0", b"\n")
+    for packed in (gzip.compress(noise + b" password=hunter2secret", mtime=0), bz2.compress(noise + b" password=hunter2secret")):
+        part = wrapped(packed, width, end)
+        text = f"AttachmentInBase64Follows\n{part}\n\nend"
+        spans, closed = secret_scan.find(text)
+        assert ("assign", text.index(part), text.index(part) + len(part.rstrip("=")), "base64>compressed") in spans and closed == 0
+    plain = b"x" * 40 + b" password=hunter2secret " + b"y" * 40
+    text = "see:\n" + wrapped(plain, width, end) + "\nend of it"
+    spans, _ = secret_scan.find(text)
+    assert any("".join(re.findall(r"[\w+/]+", text[a:b])) in b64(plain) and end in text[a:b] for k, a, b, _ in spans if k == "assign")
+
+
+def test_all_streams_of_a_part():
+    for pack in (lambda x: gzip.compress(x, mtime=0), bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress, zlib.compress):
+        text = b64(pack(b"nothing here") + pack(b"password=hunter2secret"))
+        spans, closed = secret_scan.find(text)
+        assert [s[0] for s in spans] == ["assign"] and closed == 0
+    noise = np.random.default_rng(3).bytes(4000).hex().encode()
+    cut = gzip.compress(b"password=hunter2secret " + noise.replace(b"1", b" "), mtime=0)[:-500]
+    spans, closed = secret_scan.find(b64(cut))
+    assert "assign" in [s[0] for s in spans] and closed == 1
+    assert secret_scan.find(wrapped(cut, 76))[1] == 1
+
+
 def test_secret_rows(odd):
     rows = secret_scan.scan_secrets(odd).collect()
     assert len(rows) == len(ODD) and sum(len(r.spans) for r in rows) == 2
