@@ -18,9 +18,12 @@ more), ``access`` (an access key id) and ``hex`` (24 hexadecimal digits or more)
 Defined results: a null or empty text has no spans; repeated rows and null ids
 are rows like others; further columns are not read. A decoded span that covers
 the same characters as one found in the text itself is listed once, as the
-latter. A compressed layer that unpacks to more than ``LAYER_BYTES`` is not
-opened (a bomb); ``unopened`` counts such layers, and compressed data that end
-early or are broken, of which what could be unpacked is scanned.
+latter. Decoded data are read as UTF-8, or else as Latin-1, and where they hold
+16-bit characters also as UTF-16. A compressed layer that unpacks to more than
+``LAYER_BYTES`` is read as a stream, in windows that overlap; what is encoded
+inside it is opened if it lies within a window. ``unopened`` counts such layers,
+and compressed data that end early or are broken, of which what could be unpacked
+is scanned.
 """
 
 from __future__ import annotations
@@ -28,11 +31,12 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import hashlib
 import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import zstandard
@@ -44,6 +48,8 @@ from postlens.llm.common import map_columns
 KINDS = ("assign", "access", "hex")
 LAYER_BYTES = 1 << 26
 PIECE = 1 << 20  # bytes unpacked at a time
+WINDOW = 1 << 23  # bytes of a larger layer that are scanned at a time
+OVERLAP = 1 << 16  # bytes of a window that the next one has again
 SPANS = "array<struct<kind:string,start:int,end:int,layers:string>>"
 
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -57,6 +63,7 @@ UNICODE = re.compile(
 BASE64 = re.compile("(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t>]*+[A-Za-z0-9+/_-]++)++")
 LINE = re.compile("[A-Za-z0-9+/_-]+")
+WIDE = re.compile(rb"(?:[\t\n\r\x20-\x7e]\0){4,}")
 CONTROL = re.compile("[\0-\x08\x0e-\x1f\x7f]")
 
 Span = tuple[int, int]
@@ -194,19 +201,37 @@ def streams(data: bytes):
     return whole
 
 
-def inflate(data: bytes) -> tuple[bytes | None, bool, bool]:
-    """The content of compressed data (None if they aren't), whether it is over ``LAYER_BYTES``, and whether it is whole."""
+def inflate(data: bytes) -> tuple[bytes | Iterator[bytes] | None, bool]:
+    """The content of compressed data (None if they aren't), and whether it is whole and not over ``LAYER_BYTES``.
+
+    A larger content comes as windows that overlap.
+    """
     found, size, pieces = [], 0, streams(data)
     try:
         while size <= LAYER_BYTES:
             found.append(next(pieces))
             size += len(found[-1])
     except StopIteration as e:
-        return (None if e.value is None else b"".join(found)), False, bool(e.value)
-    return None, True, False
+        return (None if e.value is None else b"".join(found)), bool(e.value)
+    return windows(chain(found, pieces)), False
+
+
+def windows(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    held, size, last = [], 0, None
+    for piece in pieces:
+        held.append(piece)
+        size += len(piece)
+        if size >= WINDOW:
+            data = b"".join(held)
+            if data != last:  # long runs of one character are read once
+                yield data
+            last, held = data, [data[-OVERLAP:]]
+            size = OVERLAP
+    yield b"".join(held)
 
 
-def readable(data: bytes) -> str | None:
+def plain(data: bytes) -> str | None:
+    """The text that ``data`` are, if they are UTF-8 without control characters."""
     try:
         text = data.decode()
     except UnicodeDecodeError:
@@ -214,6 +239,40 @@ def readable(data: bytes) -> str | None:
     return None if CONTROL.search(text) else text
 
 
+def readings(data: bytes) -> Iterator[tuple[str, Callable[[int], int]]]:
+    """The texts that ``data`` may hold, each with a function from its characters to bytes of ``data``."""
+    if (text := plain(data)) is not None:
+        yield text, lambda i: len(text[:i].encode())
+        return
+    try:
+        some = data.decode()
+        yield some, lambda i: len(some[:i].encode())
+    except UnicodeDecodeError:
+        yield data.decode("latin-1"), lambda i: i
+    at: dict[int, int] = {}  # where characters of 16 bits begin, on even and odd bytes
+    for m in WIDE.finditer(data):
+        at.setdefault(m.start() & 1, m.start())
+        if len(at) == 2:
+            break
+    for odd, i in at.items():
+        code, skip = ("utf-16-be", 1 - odd) if i and data[i - 1] == 0 else ("utf-16-le", odd)
+        half = b"\0" * (len(data) - skip & 1)
+        wide = (data[skip:] + half).decode(code, "replace")
+        yield wide, lambda i, wide=wide, skip=skip: min(len(data), skip + len(wide[:i].encode("utf-16-le")))
+
+
+def texts(content: bytes | Iterator[bytes]) -> Iterator[str]:
+    """The layers that the content of a compressed part makes."""
+    if isinstance(content, bytes):
+        if inflate(content)[0] is not None:  # compressed twice: one more layer, as a base64 run
+            yield base64.b64encode(content).decode()
+            return
+        content = iter([content])
+    for data in content:
+        for text, _ in readings(data):
+            yield text
+
+
 def base64_bytes(run: str) -> bytes | None:
     body = run.rstrip("=")
     body = body[: len(body) - (len(body) % 4 == 1)]  # six bits are no byte
@@ -290,11 +349,14 @@ def wrapped_runs(text: str) -> Iterator[Run]:
             yield Run(text, block)
 
 
-def inner_layers(text: str) -> Iterator[tuple[str, str | None, Up, Callable[[int, int], bool] | None, tuple[str, Span, int] | None]]:
+def inner_layers(
+    text: str,
+) -> Iterator[tuple[str, str | Iterator[str] | None, Up, Callable[[int, int], bool] | None, tuple[str, Span, int] | None]]:
     """The layers one step inside: ``(name, text, mapping of spans, which spans are new, part)``.
 
-    ``text`` None: nothing to be scanned. ``part``: the compressed part to which all spans
-    inside are mapped, as its characters, its span, and 1 if it was not opened to its end.
+    ``part``: the compressed part to which all spans inside are mapped, as its characters,
+    its span, and 1 if it was not opened to its end. Such a part has several texts, or None
+    if it was met before.
     """
     for name, found in (
         ("url", url_escapes(text) if "%" in text else ()),
@@ -312,22 +374,14 @@ def inner_layers(text: str) -> Iterator[tuple[str, str | None, Up, Callable[[int
         (a, b), inside = run.span, None
         data = None if run.text in met else base64_bytes(run.text)
         if data:
-            packed, over, ended = inflate(data)
-            inside = readable(data) if packed is None and not over or not ended and not over else None
-            if inside is not None:  # a text, though it may start as compressed data do
-
-                def up(s: int, e: int, run=run, inside=inside) -> Span:
-                    first = len(inside[:s].encode())
-                    return run.up(first, first + len(inside[s:e].encode()))
-
-                yield "base64", inside, up, None, None
-                continue
-            if packed is None and not over:
+            packed, ended = inflate(data)
+            text_only = plain(data) is not None and not ended and not isinstance(packed, Iterator)
+            if packed is None or not ended and isinstance(packed, bytes):  # no compressed data, or they only start like some
+                for read, byte in readings(data):
+                    yield "base64", read, lambda s, e, run=run, byte=byte: run.up(byte(s), byte(e)), None, None
+            if packed is None or text_only:
                 continue
-            if packed:
-                inside = readable(packed)
-                if inside is None and (twice := inflate(packed))[0] is not None or packed and inside is None and twice[1]:
-                    inside = base64.b64encode(packed).decode()  # compressed twice: one more layer, as a base64 run
+            inside = texts(packed)
             met[run.text] = ended
         elif run.text not in met:
             continue
@@ -366,38 +420,53 @@ def find(text: str | None) -> tuple[list[tuple[str, int, int, str]], int]:
     inside_of: dict[str, dict[str, str]] = {}
     closed_in: dict[str, int] = {}
     places: dict[str, dict[tuple[int, int, str], int]] = {}
-    # The layer, its name, the way up, which spans are new, and the compressed part it is in.
-    work: list[tuple[str, str, tuple[Up, ...], Callable | None, str | None]] = [(text, "", (), None, None)]
-    seen: set[tuple] = {(text, 0, len(text))}
+    # The layer, or an iterator of layers, its name, the way up, which spans are new, and the compressed part it is in.
+    work: list[tuple[str | Iterator[str], str, tuple[Up, ...], Callable | None, str | None]] = [(text, "", (), None, None)]
+    seen: set[tuple] = set()
+
+    def unseen(place: str | Span, layer: str) -> bool:
+        """Whether a layer is new in its place, a span of the original or a compressed part."""
+        met = (place, layer if len(layer) < 64 else hashlib.blake2b(layer.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+        new = met not in seen
+        seen.add(met)
+        return new
+
+    unseen((0, len(text)), text)
     while work:
         layer, name, path, new, part = work.pop()
+        if not isinstance(layer, str):  # one text at a time, and what is in it
+            rest, layer = layer, next(layer, None)
+            if layer is None:
+                continue
+            work.append((rest, name, path, new, part))
+            if not layer or not unseen(part, layer):
+                continue
         for kind, start, end in scan(layer):
             if part is not None:
                 inside_of[part].setdefault(kind, name)
             elif not new or new(start, end):
                 spans.setdefault((kind, *mapped(start, end, path)), name)
         for step, inside, up, touches, run in inner_layers(layer):
-            below = f"{name}>{step}" if name else step
-            if part is not None:
-                closed_in[part] += run[2] if run else 0
-                if inside and (part, inside) not in seen:
-                    seen.add((part, inside))
-                    work.append((inside, below, (), None, part))
-            elif run:
+            below, way = f"{name}>{step}" if name else step, (up, *path)
+            if run:
                 key, span, n = run
-                where = (*mapped(*span, path), below)
+                if part is not None:
+                    closed_in[part] += n
+                    if inside is not None:
+                        work.append((inside, below, (), None, part))
+                    continue
                 if key not in places:
                     places[key], inside_of[key], closed_in[key] = {}, {}, 0
-                    if inside:
-                        seen.add((key, inside))
+                    if inside is not None:
                         work.append((inside, "", (), None, key))
-                places[key][where] = n
-            elif inside:
-                way = (up, *path)
-                place = (inside, *mapped(0, len(inside), way))
-                if place not in seen:
-                    seen.add(place)
-                    work.append((inside, below, way, touches, None))
+                places[key][(*mapped(*span, path), below)] = n
+            elif not inside:
+                continue
+            elif part is not None:
+                if unseen(part, inside):
+                    work.append((inside, below, (), None, part))
+            elif unseen(mapped(0, len(inside), way), inside):
+                work.append((inside, below, way, touches, None))
     for key, kinds in inside_of.items():
         for start, end, outer in places[key]:
             for kind, inner in kinds.items():

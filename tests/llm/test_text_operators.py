@@ -127,6 +127,37 @@ def test_all_streams_of_a_part():
     assert secret_scan.find(wrapped(cut, 76))[1] == 1
 
 
+SAID = "password=hunter2secret"
+
+
+@pytest.mark.parametrize("data", [
+    SAID.encode("utf-16"), SAID.encode("utf-16-be"), f"\u0416\u0436\u0434 {SAID}\u0416".encode("utf-16-be"), f"\u0416\u0436\u0434 {SAID}\u0416".encode("utf-16-le"),
+    f"é {SAID} é".encode("latin-1"), f"user\0{SAID}\0".encode(), b"\xff\x00\x01 " + f"é {SAID}".encode(), b"\x01" + SAID.encode("utf-16-le"),
+])
+def test_secrets_in_data_that_are_no_utf8(data):
+    text = "see " + b64(data)
+    spans, closed = secret_scan.find(text)
+    value = SAID.encode("utf-16-le") if b"p\0" in data else SAID.encode()
+    (start, end), *more = [s[1:3] for s in spans if s[0] == "assign"]
+    assert not more and closed == 0
+    at = base64.b64decode(text[4:]).find(b"p")
+    assert start in (4 + at * 4 // 3, 4 + (at - 1) * 4 // 3) and abs(end - start - len(value) * 4 / 3) < 4
+    spans, closed = secret_scan.find(b64(gzip.compress(data * 3)))
+    assert [s[0] for s in spans] == ["assign"] and closed == 0
+
+
+def test_secrets_in_large_layers(monkeypatch):
+    monkeypatch.setattr(secret_scan, "LAYER_BYTES", 5000)
+    monkeypatch.setattr(secret_scan, "PIECE", 100)
+    monkeypatch.setattr(secret_scan, "WINDOW", 1000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 200)
+    for at in (10, 990, 4995, 5985, 8900):
+        for said in (SAID, b64(SAID.encode())):
+            data = b"\xe9" * at + b" " + said.encode() + b" " + b"\xe9" * (9000 - at)
+            spans, closed = secret_scan.find(b64(zlib.compress(data)))
+            assert [s[0] for s in spans] == ["assign"] and closed == 1
+
+
 def test_secret_rows(odd):
     rows = secret_scan.scan_secrets(odd).collect()
     assert len(rows) == len(ODD) and sum(len(r.spans) for r in rows) == 2
