@@ -33,8 +33,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A line stays in the first document that holds it."""
-    return resized(substring_dedup.drop_repeats(docs))
+    """A passage stays in the first document that holds it."""
+    return resized(substring_dedup.drop_repeats(docs, "passage"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

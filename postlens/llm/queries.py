@@ -95,7 +95,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = substring_dedup.mark_repeats(table(spark, sf_dir, "documents"))
+    marked = substring_dedup.mark_repeats(table(spark, sf_dir, "documents"), "passage")
     return marked.select(
         "doc_id",
         "text",

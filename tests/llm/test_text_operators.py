@@ -247,6 +247,42 @@ def test_lines_of_rows_without_id(spark):
     assert sorted(((r.doc_id, r.text) for r in substring_dedup.drop_repeats(docs).collect()), key=str) == expected
 
 
+def test_passages(spark):
+    verse = [f"{a} {b} rose" for a in ("red", "white", "blue") for b in ("one", "two", "three", "four")]
+    said = ["The first of them was seen here by nobody at all.", "Then came rain.", "A second one went along the river until it was dark."]
+    plain = " ".join(f"w{i}" for i in range(400))
+    rows = [
+        (1, "title\n" + "\n".join(verse) + "\nend"), (2, "other\n\n" + "\n".join(verse).upper() + "\nlast"),
+        (3, " ".join(said)), (4, "Before it. " + " ".join([said[0], said[1].replace("rain", "snow"), said[2]]) + " After it.\nNext."),
+        (5, plain), (6, f"x y z {plain[:900]} changed {plain[900:]}"), (7, f"{said[0]} {said[1]}\n{said[0]} {said[1]}"), (8, "la la\n" * 20),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in substring_dedup.mark_repeats(docs, "passage").collect()}
+    assert [found[i].text for i in (1, 3, 5)] == [rows[i - 1][1] for i in (1, 3, 5)]
+    assert found[2].text == "other\n\nlast" and found[2].owners == [1]
+    assert found[4].text == "Before it. Then came snow. After it.\nNext." and found[7].text == ""
+    assert "changed" in found[6].text and len(found[6].text.split()) < 50
+    assert found[8].text == "la la\n" * 4 and not found[8].owners
+    for r in found.values():
+        text = rows[r.doc_id - 1][1]
+        left = "".join(text[a:b] for a, b in zip([0, *(s.end for s in r.removed)], [*(s.start for s in r.removed), len(text)]))
+        assert left.removesuffix("\n") == r.text.removesuffix("\n")
+    assert {r.doc_id: r.text for r in substring_dedup.drop_repeats(docs, "passage").collect()} == {i: r.text for i, r in found.items()}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a b c", "d e f g h", "i.", "one two three four five six seven eight nine.", "\n", "\n\n", " ", ". "]), max_size=30).map("".join))
+def test_passages_hold_the_lines(text):
+    """All that goes by whole lines goes by passages, and nothing goes that stands nowhere else."""
+    lines = {d for _, _, d in substring_dedup.units(text, "line", 8) if d}
+    if lines:
+        held = substring_dedup.digests(text, "passage", 8)
+        gone = substring_dedup.passages_gone(text, 8, held)
+        for a, b, d in substring_dedup.units(text, "line", 8):
+            assert d is None or any(x <= a and b <= y for x, y in gone)
+    assert substring_dedup.cut(text, "passage", 8, set())[0].split() or not text.split()
+
+
 # --- quality -------------------------------------------------------------------------
 
 
