@@ -37,15 +37,28 @@ SPANS = "array<struct<kind:string,start:int,end:int>>"
 SCHEMES = ("http://", "https://", "ftp://", "ssh://")
 ACCOUNT_CUES = ("account", "acct", "konto", "compte", "cuenta")
 STREET_CUES = ("street", "avenue", "road", "straße", "strasse", "rue ", "calle ")
+NAMED_CUES = (  # words of other uses, too: only with a name and in capitals
+    "lane", "drive", "boulevard", "court", "place", "square", "terrace", "highway", "parkway", "crescent", "close", "way", "circle",
+)
 
 LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?+[0-9])++")
 PHONE_RUN = re.compile(r"\+[0-9][\x20().0-9-]++")
-IBAN = re.compile(r"[:\x20]{0,3}([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Z0-9])")
+SAYS = r"(?i:\x20?(?:numbers?|no|nr|num|nummer|numéro|número)\b)?(?i:\x20?\b(?:is|ist|est|es)\b)?"
+IBAN = re.compile(SAYS + r"[.:=#\x20]{0,4}((?i:[A-Z]{2})[0-9]{2}(?:\x20?[A-Za-z0-9]){11,30})")
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18,
+    "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24,
+    "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23,
+    "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
 ACCOUNT = re.compile(r"(?i:\x20?(?:number|no|nr|num|nummer|numéro|número))?[.:#\x20]{1,4}([0-9](?:[\x20-]?[0-9]){5,16})(?![0-9])")
-SSN = re.compile(r"[:#\x20]{1,3}((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9])")
+SSN = re.compile(SAYS + r"[.:=#\x20]{1,4}((?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})(?![0-9])")
 AUTHORITY = re.compile(r"([^\s/?#@<>\"']{1,256})@([A-Za-z0-9.-]+)")
 NUMBER_BEFORE = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,5}[a-z]?,? (?:[A-Z][a-zäöüßéè]+ ){0,3}(?:[A-Z][a-zäöüßéè]*)?$")
 NUMBER_AFTER = re.compile(r" [0-9]{1,5}[a-z]?(?![0-9A-Za-z])")
@@ -56,12 +69,11 @@ WINDOW = 80  # of text that a street parser reads back
 def automaton() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     needles = {"@": "at", "+": "plus"} | {d: "digit" for d in "0123456789"} | dict.fromkeys(SCHEMES, "scheme")
-    words = dict.fromkeys(ACCOUNT_CUES, "account") | dict.fromkeys(STREET_CUES, "street") | {"iban": "iban", "ssn": "ssn", "social security": "ssn"}
+    words = dict.fromkeys(ACCOUNT_CUES, "account") | dict.fromkeys(STREET_CUES, "street") | dict.fromkeys(NAMED_CUES, "named") | {"iban": "iban", "ssn": "ssn", "social security": "ssn"}
     for needle, kind in needles.items():
         found.add_word(needle, (kind, len(needle)))
     for word, kind in words.items():
-        for form in {word, word.upper(), word.capitalize()}:
-            found.add_word(form, (kind, len(form)))
+        found.add_word(word, (kind, len(word)))  # in a text in lower case
     found.make_automaton()
     return found
 
@@ -124,8 +136,12 @@ class Parser:
         if start < self.done[kind] or start and text[start - 1].isalpha():
             return
         m = {"iban": IBAN, "account": ACCOUNT, "ssn": SSN}[kind].match(text, end)
-        if m:
-            self.take(kind, *m.span(1), kind != "iban" or iban_valid(m[1]))
+        if m and kind == "iban":
+            first, last = m.span(1)
+            if stop := iban_end(text, first, last):
+                self.take(kind, first, stop)
+        elif m:
+            self.take(kind, *m.span(1))
 
     def scheme(self, end: int) -> None:
         if end >= self.done["login"] and (m := AUTHORITY.match(self.text, end)):
@@ -155,6 +171,26 @@ class Parser:
             self.take("address", window + m.start(), end)
 
 
+    def named(self, start: int, end: int) -> None:
+        """A number, a name of one word or more, and a word for a street."""
+        text = self.text
+        if start < self.done["address"] or not text[start].isupper() or text[start - 1 : start] != " " or text[end : end + 1].isalpha():
+            return
+        window = max(self.done["address"], start - WINDOW)
+        if (m := NUMBER_BEFORE.search(text[window:start])) and any(c.isupper() for c in m[0]):
+            self.take("address", window + m.start(), end)
+
+
+def iban_end(text: str, first: int, last: int) -> int | None:
+    """Where the account number that starts at ``first`` ends: by its country, or else the longest that is valid."""
+    ends = [i + 1 for i in range(first, last) if text[i] != " "]  # by the number of characters
+    length = IBAN_LENGTHS.get(text[first : first + 2].upper())
+    for n in [length] if length else range(len(ends), 14, -1):
+        if n <= len(ends) and not text[ends[n - 1] : ends[n - 1] + 1].isalnum() and iban_valid(text[first : ends[n - 1]]):
+            return ends[n - 1]
+    return None
+
+
 def iban_valid(text: str) -> bool:
     body = text.replace(" ", "")
     return 15 <= len(body) <= 34 and int("".join(str(int(c, 36)) for c in body[4:] + body[:4])) % 97 == 1
@@ -165,7 +201,8 @@ def find(text: str | None, anchors: ahocorasick.Automaton) -> list[tuple[str, in
     if not text:
         return []
     parser = Parser(text)
-    for last, (kind, length) in anchors.iter(text):
+    lower = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # ASCII letters only: the length stays
+    for last, (kind, length) in anchors.iter(lower):
         if kind == "digit":
             parser.digit(last)
         elif kind == "at":
@@ -176,6 +213,8 @@ def find(text: str | None, anchors: ahocorasick.Automaton) -> list[tuple[str, in
             parser.scheme(last + 1)
         elif kind == "street":
             parser.street(last + 1 - length, last + 1)
+        elif kind == "named":
+            parser.named(last + 1 - length, last + 1)
         else:
             parser.cue(kind, last + 1 - length, last + 1)
     return sorted(parser.spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))

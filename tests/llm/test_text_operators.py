@@ -204,6 +204,20 @@ def test_announced_personal_data(text, kind, covered):
     assert found == ([(kind, covered)] if kind else [])
 
 
+@pytest.mark.parametrize(("text", "found"), [
+    ("IBAN: DE89 3704 0044 0532 0130 00 BIC: COBADEFFXXX", ["iban:DE89 3704 0044 0532 0130 00"]),
+    ("IBAN: DE89 3704 0044 0532 0130 00 USD 500", ["iban:DE89 3704 0044 0532 0130 00"]),
+    ("IBAN: DE88 3704 0044 0532 0130 00 IBAN is DE89370400440532013000.", ["iban:DE89370400440532013000"]),
+    ("IBAN: DE89 3704 0044 0532 0130 00X", []),
+    ("Social security number: 123-45-6789", ["ssn:123-45-6789"]), ("Social Security No. 123-45-6789", ["ssn:123-45-6789"]),
+    ("SSN is 123-45-6789, ssn=123-45-6780", ["ssn:123-45-6789", "ssn:123-45-6780"]),
+    ("12 Old Mill Lane, 7 Park Place", ["address:12 Old Mill Lane", "address:7 Park Place"]),
+    ("100 square feet, 5 place, lane 3, 12 Place, drive 2", []),
+])
+def test_announced_in_more_forms(text, found):
+    assert [f"{k}:{text[a:b]}" for k, a, b in pii.find(text, pii.anchors())] == found
+
+
 def test_masking(odd):
     rows = pii.mask_pii(odd)
     assert rows.columns == odd.columns
