@@ -8,7 +8,9 @@ import corpus_pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm import bpe, chat, group_join, matrix_join, packing, pii, pivot_index, quality, secret_scan, substring_dedup
+from postlens.llm import (
+    bpe, chat, group_join, matrix_join, packing, pii, pivot_index, quality, secret_scan, spelling, substring_dedup,
+)
 
 TOKENIZER = corpus_pipeline.TOKENIZER
 
@@ -115,6 +117,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op6_sql() -> str:
     return """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
@@ -140,7 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_pii, op3_reply_trees, op4_group_join, op5_quality, op6_pivot_index, op7_matrix_join,
-        op8_packing, op9_substring_dedup, op10_bpe,
+        op8_packing, op9_substring_dedup, op10_bpe, op13_spelling,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
