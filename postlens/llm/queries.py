@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from postlens.llm import (
     bpe, chat, group_join, matrix_join, packing, pii, pivot_index, quality, secret_scan, spelling, substring_dedup,
+    suffix_dedup,
 )
 
 TOKENIZER = corpus_pipeline.TOKENIZER
@@ -117,6 +118,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+    lengths = F.transform("removed", lambda s: s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -146,7 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_pii, op3_reply_trees, op4_group_join, op5_quality, op6_pivot_index, op7_matrix_join,
-        op8_packing, op9_substring_dedup, op10_bpe, op13_spelling,
+        op8_packing, op9_substring_dedup, op10_bpe, op12_suffix_dedup, op13_spelling,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
