@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlens.llm import (
-    bpe, chat, group_join, matrix_join, packing, pii, pivot_index, quality, secret_scan, spelling, substring_dedup,
-    suffix_dedup,
+    bpe, chat, group_join, matrix_join, packing, pair_alignment, pii, pivot_index, quality, secret_scan, spelling,
+    substring_dedup, suffix_dedup,
 )
 
 TOKENIZER = corpus_pipeline.TOKENIZER
+BYTE_BPE, PIECE_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,6 +120,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pair_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE, digest=True)
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
     lengths = F.transform("removed", lambda s: s["end"] - s["start"])
@@ -159,7 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_pii, op3_reply_trees, op4_group_join, op5_quality, op6_pivot_index, op7_matrix_join,
-        op8_packing, op9_substring_dedup, op10_bpe, op12_suffix_dedup, op13_spelling,
+        op8_packing, op9_substring_dedup, op10_bpe, op11_pair_alignment, op12_suffix_dedup, op13_spelling,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run

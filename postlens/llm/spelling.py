@@ -110,15 +110,16 @@ def meetings(blocks: DataFrame, sizes: DataFrame) -> DataFrame:
         "cell", F.zip_with("cell", "d", lambda a, b: (a + b).cast("int")).alias("near")
     )
     near = sizes.select(F.col("cell").alias("near"), F.col("blocks").alias("others"))
-    reach = reach.join(near, "near")
+    # Spark takes the table for as small as it was before it was exploded, so it must be told not to broadcast it.
+    reach = reach.hint("merge").join(near, "near")
     most = reach.groupBy("cell").agg(F.max("others").alias("others"))  # at least one: a cell meets itself
     own = blocks.join(most, "cell").select(
         "cell", "block", F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("other"), F.lit(0).alias("kind"), "words", "ns"
     )
     # A block meets all blocks of a cell that reaches its own.
     met = (
-        reach.join(sizes, "cell").select(F.col("cell").alias("home"), F.col("near").alias("cell"), "blocks")
-        .join(blocks, "cell")
+        reach.hint("merge").join(sizes, "cell").select(F.col("cell").alias("home"), F.col("near").alias("cell"), "blocks")
+        .hint("merge").join(blocks, "cell")
         .select(
             F.col("home").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_b"), F.col("block").alias("other"),
             F.when(F.col("home") == F.col("cell"), 1).otherwise(2).alias("kind"), "words", "ns",
