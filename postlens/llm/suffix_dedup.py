@@ -8,8 +8,9 @@ Where to look. Each window of ``length`` bytes is named by the smallest hash of
 its ``GRAM``-byte strings, its anchor. Equal windows have equal anchors, so a
 window whose anchor stands once stands only once and is left out. Windows
 in a row with one anchor make up a segment, the bytes from the first to the last.
-Segments that are the same byte for byte are sorted once and weigh as many as
-there are.
+Segments that are the same byte for byte are held once and weigh as many as
+there are: if two or more, all their windows repeat. Sorted are the segments of
+the anchors that have others besides.
 
 Sorting. Segments are dealt to shards by their anchor, so all places of a string
 meet in a shard. A shard is a suffix array: ranks by eight bytes, then by
@@ -47,7 +48,8 @@ LENGTH = 400
 GRAM = 128
 SEGMENT = 512  # windows in a segment at most; a text of one letter has one anchor throughout
 BLOCK = 1 << 20  # bytes of texts that are hashed together, if a text is no longer
-SHARD = 1 << 22  # bytes of segments in a shard, about
+SHARD = 1 << 21  # bytes of segments in a shard, about
+ROWS = 256  # rows that a task turns into Python objects at a time
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 RANGES = "array<struct<at:int,n:int>>"
@@ -132,25 +134,26 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     eight = np.empty(n, "u8")
     for k in range(min(8, n)):
         eight[k::8] = np.frombuffer(padded, ">u8", len(range(k, n, 8)), k)
-    order = np.argsort(eight, kind="stable")
+    order = np.argsort(eight, kind="stable").astype("i4")
     ordered = eight[order]
     new = np.ones(n, bool)
     new[1:] = ordered[1:] != ordered[:-1]
-    place = np.arange(n)
-    rank = np.empty(n, "i8")
+    place = np.arange(n, dtype="i4")
+    rank = np.empty(n, "i4")
     rank[order] = np.maximum.accumulate(np.where(new, place, 0))
-    single = new & np.append(new[1:], True)
-    open_, have = order[~single], 8
+    open_, have = order[~(new & np.append(new[1:], True))], 8
     while len(open_):
         held, next_ = rank[open_], open_ + have
-        key = held << 32 | (np.where(next_ < n, rank[np.minimum(next_, n - 1)], n - 1 - next_) + (1 << 31))
+        # Past the end the nearer place is the greater: of equal bytes the shorter suffix comes first.
+        after = np.where(next_ < n, rank[np.minimum(next_, n - 1)], n - 1 - next_)
+        key = held.astype("i8") << 32 | (after.astype("i8") + (1 << 31))
         by = np.argsort(key, kind="stable")
         open_, key, held = open_[by], key[by], held[by]
         new = np.ones(len(open_), bool)
         new[1:] = key[1:] != key[:-1]
         group = np.ones(len(open_), bool)
         group[1:] = held[1:] != held[:-1]
-        place = np.arange(len(open_))
+        place = np.arange(len(open_), dtype="i4")
         first = np.maximum.accumulate(np.where(group, place, 0))
         order[held + place - first] = open_
         rank[open_] = held + np.maximum.accumulate(np.where(new, place, 0)) - first
@@ -159,24 +162,27 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, eight
 
 
-def shared_prefixes(order: np.ndarray, eight: np.ndarray, begins: np.ndarray, sizes: np.ndarray, length: int) -> np.ndarray:
-    """How many bytes the suffix at each place of ``order`` shares with the one before it, ``length`` at most.
+def shared_prefixes(order: np.ndarray, eight: np.ndarray, begins: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
+    """How many bytes the window at each place of ``order`` shares with the one before it, ``length`` at most.
 
-    By Kasai's rule along each segment, all segments in step.
+    ``order`` holds the windows of all segments: ``windows`` in a row from each of ``begins``. By Kasai's rule along
+    each segment, all segments in step; where the neighbour has no next window, counting begins anew.
     """
-    n = len(order)
-    before = np.full(n, -1)
+    n = len(eight)
+    before = np.full(n + 1, -1, "i4")
     before[order[1:]] = order[:-1]
+    held = np.zeros(n + 1, bool)
+    held[order] = True
     value = np.concatenate([eight, np.zeros(length + 8, "u8")])
     out = np.zeros(n, "i4")
-    lanes = np.argsort(-sizes, kind="stable")
-    begins, sizes = begins[lanes], sizes[lanes]
-    have = np.zeros(len(lanes), "i8")
-    for step in range(int(sizes[0]) if len(sizes) else 0):
-        active = np.searchsorted(-sizes, -step, "left")
+    lanes = np.argsort(-windows, kind="stable")
+    begins, windows = begins[lanes], windows[lanes]
+    have, last = np.zeros(len(lanes), "i8"), np.full(len(lanes), -1)
+    for step in range(int(windows[0]) if len(windows) else 0):
+        active = np.searchsorted(-windows, -step, "left")
         i = begins[:active] + step
         j = before[i]
-        h = np.maximum(have[:active] - 1, 0)
+        h = np.where((last[:active] >= 0) & held[last[:active] + 1], np.maximum(have[:active] - 1, 0), 0)
         h[j < 0] = 0
         going = np.flatnonzero((h < length) & (j >= 0))
         while len(going):
@@ -189,6 +195,7 @@ def shared_prefixes(order: np.ndarray, eight: np.ndarray, begins: np.ndarray, si
             h[going] += 8
             going = going[h[going] < length]
         out[i] = have[:active] = np.minimum(h, length)
+        last[:active] = j
     return out[order]
 
 
@@ -200,13 +207,16 @@ def classes(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(p) for p in parts])
     data = np.frombuffer(b"".join(parts), "u1")
     begins = np.cumsum(sizes) - sizes
-    order, eight = suffix_array(data)
-    of = np.empty(len(data), "i8")
-    of[order] = np.cumsum(shared_prefixes(order, eight, begins, sizes, length) < length)
     windows = sizes - length + 1
     last = np.cumsum(windows)
     at = np.repeat(begins - (last - windows), windows) + np.arange(last[-1])
-    return np.unique(of[at], return_inverse=True)[1], windows
+    order, eight = suffix_array(data)
+    held = np.zeros(len(data), bool)
+    held[at] = True
+    order = order[held[order]]
+    of = np.empty(len(data), "i4")
+    of[order] = np.cumsum(shared_prefixes(order, eight, begins, windows, length) < length) - 1
+    return of[at], windows
 
 
 def spans_of(flags: np.ndarray) -> list[dict]:
@@ -218,6 +228,12 @@ def spans_of(flags: np.ndarray) -> list[dict]:
 # --- over the corpus ---------------------------------------------------------------
 
 
+def in_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def in_blocks(texts: list, size: int = BLOCK) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``size`` bytes."""
     at = held = 0
@@ -235,7 +251,7 @@ def places(rows: DataFrame, length: int, gram: int) -> DataFrame:
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = batch.column(2).to_pylist()
             for a, b in in_blocks(texts):
                 text, anchor, start, n, times = segments(texts[a:b], length, gram)
@@ -255,7 +271,7 @@ def packed(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = [press.compress(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary())], names=["id", "mark", "packed"])
 
@@ -271,30 +287,31 @@ def same_row(a: str, b: str) -> Column:
 
 
 def named_segments(touched: DataFrame) -> DataFrame:
-    """``(id, mark, start, n, anchor, c1, c2)`` of the segments listed in ``touched``; the digest of its bytes names a segment."""
+    """``(id, mark, start, n, times, anchor, c1, c2)`` of the segments listed in ``touched``; the digest of its bytes names a segment."""
     kind = touched.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            of, start, n, anchor, digest = [], [], [], [], []
+        for batch in in_slices(batches):
+            of, start, n, times, anchor, digest = [], [], [], [], [], []
             for k, (data, found) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 text = opened(data)
                 for s in found:
                     of.append(k)
                     start.append(s["start"])
                     n.append(s["n"])
+                    times.append(s["times"])
                     anchor.append(s["anchor"])
                     digest.append(xxhash.xxh3_128_digest(text[s["start"] : s["start"] + s["n"]]))
             halves = np.frombuffer(b"".join(digest), "i8").reshape(-1, 2)
             took = pa.array(of, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(took), batch.column(1).take(took), pa.array(start, pa.int32()), pa.array(n, pa.int32()),
-                 pa.array(anchor, pa.int64()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())],
-                names=["id", "mark", "start", "n", "anchor", "c1", "c2"],
+                 pa.array(times, pa.int32()), pa.array(anchor, pa.int64()), pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy())],
+                names=["id", "mark", "start", "n", "times", "anchor", "c1", "c2"],
             )
 
     return touched.select("id", "mark", "packed", "found").mapInArrow(
-        run, f"id {kind}, mark long, start int, n int, anchor long, c1 long, c2 long"
+        run, f"id {kind}, mark long, start int, n int, times int, anchor long, c1 long, c2 long"
     )
 
 
@@ -304,7 +321,7 @@ def segment_bytes(listed: DataFrame) -> DataFrame:
     names = ["shard", "salt", "split", "anchor", "c1", "c2", "weight"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             for data, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = opened(data)
                 columns = [[s[f] for s in found] for f in names]
@@ -325,7 +342,7 @@ def sort_shards(parts: DataFrame, length: int) -> DataFrame:
 
     Kind 0: the windows of a segment that repeat, as ``spans``. Of a shard that is
     one of several, too, kind 1: the classes of the windows of a segment as
-    ``numbers``; kind 2: the digests of the classes in range ``part``, sorted, and their numbers.
+    ``numbers`` (both only of segments that stand once, as the others repeat anyway); kind 2: the digests of the classes in range ``part``, sorted, and their numbers.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -337,7 +354,9 @@ def sort_shards(parts: DataFrame, length: int) -> DataFrame:
         of, windows = classes(data, length)
         repeated = np.bincount(of, np.repeat(weight, windows)) >= 2
         ends, out = np.cumsum(windows), []
-        for k, a, b in zip(took, ends - windows, ends):
+        for k, a, b, w in zip(took, ends - windows, ends, weight):
+            if w > 1:
+                continue
             if spans := spans_of(repeated[of[a:b]]):
                 out.append((0, shard, salt, split, 0, *keys[k], spans, None, None))
             if split > 1:
@@ -404,18 +423,26 @@ def repeated_windows(touched: DataFrame, length: int, shard_bytes: int, scratch:
     """``(id, mark, spans)``: runs of windows of ``touched`` that stand elsewhere too."""
     named = scratch.stored(named_segments(touched), "segments")
     kinds = named.groupBy("anchor", "c1", "c2").agg(
-        F.count("*").alias("weight"), F.min(F.struct("id", "mark", "start", "n")).alias("r")
+        F.count("*").alias("weight"), F.max("times").alias("times"), F.min(F.struct("id", "mark", "start", "n")).alias("r")
+    )
+    kinds = scratch.stored(kinds.select("anchor", "c1", "c2", "weight", "times", "r.*"), "kinds")
+    whole = kinds.where("weight > 1").select(
+        "anchor", "c1", "c2",
+        F.array(F.struct(F.lit(0).alias("at"), (F.col("n") - (length - 1)).cast("int").alias("n"))).cast(RANGES).alias("spans"),
     )
-    kinds = scratch.stored(kinds.select("anchor", "c1", "c2", "weight", "r.*"), "kinds")
-    # Large anchors are few: each holds a good part of a shard.
+    # To be sorted: anchors with a segment that stands once, and another one or a second place within it.
     size = F.sum(F.col("n").cast("long"))
-    large = kinds.groupBy("anchor").agg(size.alias("bytes")).where(F.col("bytes") > shard_bytes)
-    large = scratch.stored(large.select("anchor", F.ceil(F.col("bytes") / shard_bytes).cast("int").alias("split")), "large")
-    total = kinds.agg(size).first()[0] or 0
+    open_ = kinds.groupBy("anchor").agg(
+        F.min("weight").alias("least"), F.count("*").alias("several"), F.max("times").alias("most"), size.alias("bytes")
+    ).where("least = 1 AND (several > 1 OR most > 1)")
+    open_ = scratch.stored(
+        open_.select("anchor", "bytes", F.when(F.col("bytes") > shard_bytes, F.ceil(F.col("bytes") / shard_bytes)).otherwise(1).cast("int").alias("split")),
+        "open",
+    )
+    total = open_.agg(F.sum("bytes")).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     dealt = (
-        kinds.join(large, "anchor", "left")
-        .withColumn("split", F.coalesce("split", F.lit(1)))
+        kinds.join(open_, "anchor")
         # A split anchor has shards of its own.
         .withColumn("shard", F.when(F.col("split") > 1, F.col("anchor")).otherwise(F.pmod("anchor", F.lit(shards))).cast("long"))
         .withColumn("salt", F.pmod(F.xxhash64("c1", "c2"), "split").cast("int"))
@@ -425,7 +452,7 @@ def repeated_windows(touched: DataFrame, length: int, shard_bytes: int, scratch:
     once = touched.dropDuplicates(["id", "mark"])
     listed = once.alias("t").join(dealt.alias("d"), same_row("t", "d")).select("t.packed", "d.found")
     found = scratch.stored(sort_shards(segment_bytes(listed), length), "sorted")
-    verdicts = found.where("kind = 0").select("anchor", "c1", "c2", "spans").union(across_shards(found))
+    verdicts = whole.union(found.where("kind = 0").select("anchor", "c1", "c2", "spans")).union(across_shards(found))
     spans = named.join(verdicts, ["anchor", "c1", "c2"]).select("id", "mark", "start", "spans")
     return spans.groupBy("id", "mark").agg(F.collect_set(F.struct("start", "spans")).alias("runs"))
 
@@ -436,7 +463,7 @@ def removed(touched: DataFrame, length: int, id_col: str) -> DataFrame:
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             sizes, spans, kept = [], [], []
             for data, runs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 text = opened(data)
@@ -478,7 +505,7 @@ def remove_repeats(
     common = all_places.groupBy("anchor").agg(F.sum("times").alias("_n")).where("_n > 1").select("anchor")
     lists = (
         all_places.join(common, "anchor").groupBy("id", "mark")
-        .agg(F.collect_set(F.struct("start", "n", "anchor")).alias("found"))
+        .agg(F.collect_set(F.struct("start", "n", "anchor", "times")).alias("found"))
     )
     touched = packed(long).alias("t").join(lists.alias("l"), same_row("t", "l")).select("t.id", "t.mark", "t.packed", "l.found")
     touched = stored(touched, "touched")
