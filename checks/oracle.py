@@ -3,10 +3,19 @@
 from __future__ import annotations
 
 from checks import sql as S
+from postlens.functions.wordlists import STOP_WORDS
 
 DOCS = "docs AS (SELECT CAST(doc_id AS VARCHAR) AS id_post, text FROM documents)"
 CLEAN = f"WITH {DOCS},\n{S.clean_cte('docs')}\n"
 TOKENS = f"WITH {DOCS},\ntoks AS MATERIALIZED (SELECT id_post, {S.token_list(S.clean('lower(text)'))} AS tokens FROM docs)\n"
+LEMMAS = TOKENS + f""", nouns AS (SELECT DISTINCT unnest(string_split({S.clean('lower(text)')}, ' ')) AS noun FROM benchmark),
+tw AS (SELECT id_post, unnest(tokens) AS form, unnest(range(1, len(tokens) + 1)) AS pos FROM toks),
+endings(ending, replacement) AS (VALUES ('', ''), ('s', ''), ('ses', 's'), ('ves', 'f'), ('xes', 'x'), ('zes', 'z'),
+  ('ches', 'ch'), ('shes', 'sh'), ('men', 'man'), ('ies', 'y')),
+cand AS (SELECT DISTINCT form, left(form, length(form) - length(ending)) || replacement AS lemma
+  FROM (SELECT DISTINCT form FROM tw) JOIN endings ON form LIKE '%' || ending),
+best AS (SELECT form, lemma FROM cand WHERE lemma IN (SELECT noun FROM nouns)
+  QUALIFY row_number() OVER (PARTITION BY form ORDER BY length(lemma), lemma) = 1)"""
 SCORED = f"WITH {DOCS},\n{S.clean_cte('docs')},\n{S.words_cte('clean', 'processed_text')},\n"
 PROFILES = f"WITH {DOCS},\n{S.profile_cte('documents', 'text', 'lang')}"
 ENRICHED = "WITH " + S.enriched_with(S.POSTS, "posts") + "\n"
@@ -15,6 +24,8 @@ CHECKED = f"""WITH {S.PAGES}, checked AS (
   SELECT *, CASE WHEN page_id IS NULL THEN 'missing_id'
                  WHEN TRY_CAST(score AS DOUBLE) IS NULL THEN 'bad_number:score' END AS reason FROM raw_pages)
 """
+PREVIEW = """left('{' || CASE WHEN page_id IS NULL THEN '' ELSE '"page_id":' || page_id || ',' END
+  || '"url":"' || url || '","score":"' || score || '"}', 200)"""
 RESULTS = """id_post, language, confidence, polarity, subjectivity, polarity_label, compound, positive, neutral,
   negative, valence_label, final_sentiment, sentiment_confidence, final_score"""
 VALENCE = """SELECT id_post, coalesce(compound, 0e0) AS compound, coalesce(positive, 0e0) AS positive,
@@ -48,14 +59,12 @@ SELECT id_post, processed, CASE WHEN processed THEN processed_text ELSE '' END A
   CASE WHEN processed THEN final_score END AS final_score FROM enriched""",
     "last_write_wins": """SELECT conv_id, turn, role, text FROM conversations
 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) = 1""",
-    "quarantine": CHECKED + """SELECT page_id AS id, reason,
-  left('{' || CASE WHEN page_id IS NULL THEN '' ELSE '"page_id":' || page_id || ',' END
-       || '"url":"' || url || '","score":"' || score || '"}', 200) AS preview FROM checked WHERE reason IS NOT NULL""",
+    "quarantine": CHECKED + f"SELECT page_id AS id, reason, {PREVIEW} AS preview FROM checked WHERE reason IS NOT NULL",
     "index_accounting": CHECKED + """SELECT count(*) FILTER (WHERE reason IS NULL) AS indexed,
   count(*) FILTER (WHERE reason IS NOT NULL) AS failed FROM checked""",
     "failure_breakdown": CHECKED + "SELECT reason, count(*) AS n FROM checked WHERE reason IS NOT NULL GROUP BY reason",
-    "first_failures": CHECKED + """SELECT page_id AS id, reason, string_split(reason, ':')[1] AS error_type FROM checked
-WHERE reason IS NOT NULL AND page_id IS NOT NULL ORDER BY page_id LIMIT 5""",
+    "first_failures": CHECKED + f"""SELECT page_id AS id, reason, string_split(reason, ':')[1] AS error_type, {PREVIEW} AS preview FROM checked
+WHERE reason IS NOT NULL ORDER BY page_id NULLS FIRST, reason, preview LIMIT 5""",
     "preview": f"""WITH {S.POSTS} SELECT id_post, label, type, coalesce(CAST(nlp_processed AS VARCHAR), 'N/A') AS nlp_processed,
   {S.shorten('text', 80)} AS text FROM posts ORDER BY id_post LIMIT 3""",
     "profile_fields": f"WITH {S.POSTS} " + " UNION ALL ".join(profile_row(n) for n in NAMES),
@@ -104,20 +113,19 @@ SELECT {RESULTS} FROM enriched""",
     "strip_html": f"WITH {S.FRAGMENTS} SELECT page_id, {S.html('text')} AS stripped FROM fragments",
     "strip_urls": f"WITH {S.FRAGMENTS} SELECT page_id, {S.sub('text', S.URL)} AS stripped FROM fragments",
     "clean_text": f"WITH {S.FRAGMENTS} SELECT page_id, {S.clean('lower(text)')} AS cleaned_text FROM fragments",
+    "clean_entities": f"""WITH e AS (SELECT CAST(doc_id AS VARCHAR) AS id_post, replace(replace(replace(replace(text, ' the ', ' AT&T; '),
+  ' of ', ' &copy of&nbsp;'), ' de ', ' &#x41;&#66;d&eacute; &amp;lt; '), '. ', ' R&D; &fjlig;&notin; &copyx &#9 ') AS text FROM documents)
+SELECT id_post, {S.clean('lower(text)')} AS cleaned_text FROM e""",
     "tokenize": TOKENS + f"SELECT id_post, {S.joined('tokens')} AS tokens FROM toks",
     "remove_stopwords": TOKENS + f"SELECT id_post, {S.joined(S.no_stop('tokens'))} AS tokens FROM toks",
     "lemmatize_rules": TOKENS + f"SELECT id_post, {S.joined(S.lemmas('tokens'))} AS tokens FROM toks",
-    "lemmatize_dict": TOKENS + f""", nouns AS (SELECT DISTINCT unnest(string_split({S.clean('lower(text)')}, ' ')) AS noun FROM benchmark),
-tw AS (SELECT id_post, unnest(tokens) AS form, unnest(range(1, len(tokens) + 1)) AS pos FROM toks),
-endings(ending, replacement) AS (VALUES ('', ''), ('s', ''), ('ses', 's'), ('ves', 'f'), ('xes', 'x'), ('zes', 'z'),
-  ('ches', 'ch'), ('shes', 'sh'), ('men', 'man'), ('ies', 'y')),
-cand AS (SELECT DISTINCT form, left(form, length(form) - length(ending)) || replacement AS lemma
-  FROM (SELECT DISTINCT form FROM tw) JOIN endings ON form LIKE '%' || ending),
-best AS (SELECT form, lemma FROM cand WHERE lemma IN (SELECT noun FROM nouns)
-  QUALIFY row_number() OVER (PARTITION BY form ORDER BY length(lemma), lemma) = 1),
-done AS (SELECT id_post, string_agg(coalesce(lemma, tw.form), ' ' ORDER BY pos) AS tokens
+    "lemmatize_dict": LEMMAS + """, done AS (SELECT id_post, string_agg(coalesce(lemma, tw.form), ' ' ORDER BY pos) AS tokens
   FROM tw LEFT JOIN best ON best.form = tw.form GROUP BY id_post)
 SELECT id_post, coalesce(done.tokens, '') AS tokens FROM docs LEFT JOIN done USING (id_post)""",
+    "preprocess_dict": LEMMAS + f""", kept AS (SELECT id_post, coalesce(lemma, tw.form) AS t, pos FROM tw LEFT JOIN best ON best.form = tw.form
+  WHERE tw.form NOT IN {S.inlist(STOP_WORDS)}),
+done AS (SELECT id_post, string_agg(t, ' ' ORDER BY pos) AS p FROM kept WHERE length(t) > 1 GROUP BY id_post)
+SELECT id_post, coalesce(p, '') AS processed_text, way FROM docs LEFT JOIN done USING (id_post), (VALUES ('constant'), ('join')) v(way)""",
     "tokens_final": TOKENS + f"SELECT id_post, {S.joined(S.long_only(S.lemmas(S.no_stop('tokens'))))} AS tokens FROM toks",
     "processed_text": CLEAN + "SELECT id_post, processed_text FROM clean",
     "preprocess": f"""WITH {S.FRAGMENTS}, inputs AS (SELECT CAST(doc_id AS VARCHAR) AS id_post, text FROM documents
@@ -149,6 +157,9 @@ SELECT id_post, coalesce(polarity, 0e0) AS polarity, coalesce(subjectivity, 0e0)
 SELECT event_id, {S.polarity_label('x')} AS polarity_label, {S.valence_label('x')} AS valence_label FROM x""",
     "consensus": ENRICHED + "SELECT id_post, final_sentiment, sentiment_confidence, final_score FROM enriched",
     "enrich": ENRICHED + f"SELECT {RESULTS} FROM enriched",
+    "lookup_ways": "WITH " + S.enriched_with("""turns2 AS (SELECT concat_ws('/', conv_id || '-' || turn, CASE WHEN turn % 3 > 0 THEN conv_id END) AS id_post, text
+  FROM conversations)""", "turns2") + f""", twice AS (SELECT * FROM enriched UNION ALL SELECT * FROM enriched WHERE split_part(id_post, '/', 1) LIKE '%0-0')
+SELECT {RESULTS}, way FROM twice, (VALUES ('constant'), ('join')) v(way)""",
     # reports
     "total_docs": "SELECT count(*) AS total FROM documents",
     "stage_counts": f"""WITH {S.POSTS}, c AS (SELECT count(*) AS total, count(*) FILTER (WHERE processed) AS processed,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import tables as B
-from postlens.functions import numbers, text as X, time
+from postlens.functions import lookup, numbers, text as X, time
 from postlens.functions.wordlists import STOP_WORDS
 from postlens.operators import clean, docs, enrich, ingest, language, lemma, report, sentiment, state
 from postlens.sources import csv, store
@@ -42,7 +42,25 @@ def profiles(spark, sf) -> DataFrame:
 
 def enriched(spark, sf) -> DataFrame:
     found = clean.preprocess(B.posts(spark, sf, "text", "label", "type"))
-    return enrich.enrich(found, B.lexicon(spark), profiles(spark, sf))
+    return enrich.enrich(found, B.lexicon(spark), published_profiles(spark, sf))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder, so that planning does not compute it again."""
+    path = incremental.shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+PROFILES: dict[tuple[str, str], DataFrame] = {}
+
+
+def published_profiles(spark, sf) -> DataFrame:
+    """The language profiles as a table, trained by the first query of a session that detects languages."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in PROFILES:
+        PROFILES[key] = stored(profiles(spark, sf))
+    return PROFILES[key]
 
 
 INDEXES: dict[tuple[str, str], str] = {}
@@ -136,8 +154,7 @@ def failure_breakdown(spark, sf):
 
 @query
 def first_failures(spark, sf):
-    rejected = docs.quarantine(checked_pages(spark, sf), "page_id").where("id IS NOT NULL")
-    return docs.first_failures(rejected)
+    return docs.first_failures(docs.quarantine(checked_pages(spark, sf), "page_id"))
 
 
 @query
@@ -202,15 +219,21 @@ def pending_anti(spark, sf):
     return state.not_done(B.table(spark, sf, "documents").select("doc_id", "source"), done, "doc_id")
 
 
+def without_profiles(spark, sf) -> DataFrame:
+    """Enriched posts whose language comes from function words: resets drop the results."""
+    found = clean.preprocess(B.posts(spark, sf, "text", "label", "type"))
+    return enrich.enrich(found, B.lexicon(spark))
+
+
 @query
 def reset_clean(spark, sf):
-    rows = state.mark_nlp(enriched(spark, sf).transform(state.mark_clean, RUN_TS), RUN_TS)
+    rows = state.mark_nlp(without_profiles(spark, sf).transform(state.mark_clean, RUN_TS), RUN_TS)
     return state.reset_clean(rows)
 
 
 @query
 def reset_nlp(spark, sf):
-    rows = state.mark_nlp(enriched(spark, sf).transform(state.mark_clean, RUN_TS), RUN_TS)
+    rows = state.mark_nlp(without_profiles(spark, sf).transform(state.mark_clean, RUN_TS), RUN_TS)
     kept = state.reset_nlp(rows).drop("tokens", "preprocessing_date", "text")
     return kept.withColumns({"word_count": F.col("word_count").cast("bigint")})
 
@@ -290,6 +313,15 @@ def clean_text(spark, sf):
     return clean.clean_text(B.fragments(spark, sf)).select("page_id", "cleaned_text")
 
 
+@query
+def clean_entities(spark, sf):
+    """Cleaning of texts in which names of characters, known and unknown, stand between the words."""
+    c = F.col("text")
+    for at, name in ((" the ", " AT&T; "), (" of ", " &copy of&nbsp;"), (" de ", " &#x41;&#66;d&eacute; &amp;lt; "), (". ", " R&D; &fjlig;&notin; &copyx &#9 ")):
+        c = F.replace(c, F.lit(at), F.lit(name))
+    return clean.clean_text(B.documents(spark, sf, "text").withColumn("text", c)).select("id_post", "cleaned_text")
+
+
 @query
 def tokenize(spark, sf):
     rows = clean.clean_text(B.documents(spark, sf, "text"))
@@ -319,16 +351,29 @@ def lemmatize_rules(spark, sf):
     return tokens_of(spark, sf).select("id_post", F.array_join(clean.lemmatize(F.col("tokens")), " ").alias("tokens"))
 
 
-@query
-def lemmatize_dict(spark, sf):
-    # The words of the benchmark texts serve as the table of known nouns.
+def lemmas_in_use(spark, sf) -> DataFrame:
+    """The words of the benchmark texts serve as the table of known nouns."""
     nouns = (
         clean.clean_text(B.table(spark, sf, "benchmark"))
         .select(F.explode(F.split("cleaned_text", " ")).alias("noun")).distinct()
     )
-    rows = tokens_of(spark, sf)
-    lemmas = lemma.build_lemmas(rows.select(F.explode("tokens").alias("form")), nouns)
-    return lemma.lemmatize_dict(rows, lemmas).select("id_post", F.array_join("tokens", " ").alias("tokens"))
+    return lemma.build_lemmas(tokens_of(spark, sf).select(F.explode("tokens").alias("form")), nouns)
+
+
+@query
+def lemmatize_dict(spark, sf):
+    rows = lemma.lemmatize_dict(tokens_of(spark, sf), lemmas_in_use(spark, sf))
+    return rows.select("id_post", F.array_join("tokens", " ").alias("tokens"))
+
+
+@query
+def preprocess_dict(spark, sf):
+    """Cleaning with a stop list and lemmas from tables, by both ways of looking words up."""
+    stops = spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+    lemmas, rows = stored(lemmas_in_use(spark, sf)), B.documents(spark, sf, "text")
+    small = clean.preprocess(rows, "text", stops, lemmas).select("id_post", "processed_text", F.lit("constant").alias("way"))
+    joined = clean.preprocess(rows, "text", stops, lemmas, 0).select("id_post", "processed_text", F.lit("join").alias("way"))
+    return small.union(joined)
 
 
 @query
@@ -389,14 +434,14 @@ def train_language_profiles(spark, sf):
 
 @query
 def detect_language(spark, sf):
-    rows = language.detect_language(B.documents(spark, sf, "text"), profiles(spark, sf), "text")
+    rows = language.detect_language(B.documents(spark, sf, "text"), published_profiles(spark, sf), "text")
     return rows.select("id_post", "language_detection.language", "language_detection.confidence")
 
 
 @query
 def detect_language_joined(spark, sf):
     """The same by the join that serves profiles of any size."""
-    rows = language.detect_language(B.documents(spark, sf, "text"), profiles(spark, sf), "text", max_keys=0)
+    rows = language.detect_language(B.documents(spark, sf, "text"), published_profiles(spark, sf), "text", max_keys=0)
     return rows.select("id_post", "language_detection.language", "language_detection.confidence")
 
 
@@ -438,6 +483,22 @@ def valence_scores(spark, sf):
     )
 
 
+@query
+def lookup_ways(spark, sf):
+    """Scores and language of posts whose ids are doubled or null, by the constant and by the join."""
+    turn = F.col("turn")
+    rows = B.spread(B.table(spark, sf, "conversations")).select(
+        F.when(turn % 3 > 0, F.col("conv_id").cast("string")).alias("id_post"), F.concat_ws("-", "conv_id", "turn").alias("row"), "text"
+    )
+    # Every fourth conversation's opening is there twice.
+    cleaned = clean.preprocess(rows.union(rows.where("row LIKE '%0-0'")))
+    ways = []
+    for way, keys in (("constant", lookup.MAX_KEYS), ("join", 0)):
+        found = enrich.enrich(cleaned, B.lexicon(spark), published_profiles(spark, sf), max_keys=keys)
+        ways.append(flat_results(found.withColumn("id_post", F.concat_ws("/", "row", "id_post"))).withColumn("way", F.lit(way)))
+    return ways[0].union(ways[1])
+
+
 @query
 def valence_scores_joined(spark, sf):
     """The same by the join that serves lexicons of any size."""
@@ -573,11 +634,10 @@ def incremental_clean(spark, sf):
 def incremental_nlp(spark, sf):
     folder = incremental.shared_folder(spark)
     cleaned(spark, sf).write.parquet(f"{folder}/clean")
-    profiles(spark, sf).write.parquet(f"{folder}/profiles")
     schema = spark.read.parquet(f"{folder}/clean").schema
     incremental.incremental_nlp(
         spark, f"{folder}/clean", schema, f"{folder}/out", f"{folder}/checkpoint",
-        B.lexicon(spark), spark.read.parquet(f"{folder}/profiles"),
+        B.lexicon(spark), published_profiles(spark, sf),
     )
     return flat_results(incremental.read_results(spark, f"{folder}/out"))
 

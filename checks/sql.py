@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from checks.tables import LEXICON
 from postlens.functions.wordlists import (
-    IRREGULAR_NOUNS, LANGUAGE_WORDS, SEARCH_STOP_WORDS, STOP_WORDS,
+    IRREGULAR_NOUNS, LANGUAGE_WORDS, SEARCH_STOP_WORDS, SINGULAR_S, STOP_WORDS,
 )
 
 WS = r"\s\x{0B}\x1c-\x1f\x{85}\p{Z}"
@@ -41,15 +41,24 @@ def strip_ws(x: str) -> str:
 
 
 def entities(x: str) -> str:
-    """Each ampersand starts a piece; the piece before its semicolon names a character, or stays."""
-    names = "MAP {" + ", ".join(f"{q(n)}: {i}" for n, i in {**name2codepoint, "apos": 39}.items()) + "}"
-    head = "split_part(p, ';', 1)"
+    """Each ampersand starts a piece; a number or a name at its start is a character, or stays."""
+    names = "MAP {" + ", ".join(f"{q(n.rstrip(';'))}: {q(t)}" for n, t in html5.items() if n.endswith(";")) + "}"
+    bare = inlist(n for n in html5 if not n.endswith(";"))
+    head = "regexp_extract(p, '^(#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z][a-zA-Z0-9]*)')"
+    digits = "ltrim(substr(h, 2), '0')"
+    hexa = "ltrim(substr(h, 3), '0')"
     number = (
-        f"CASE WHEN NOT contains(p, ';') THEN NULL WHEN regexp_full_match({head}, '#[0-9]+') THEN TRY_CAST(substr({head}, 2) AS INTEGER) "
-        f"WHEN regexp_full_match({head}, '#[xX][0-9a-fA-F]+') THEN TRY_CAST('0x' || substr({head}, 3) AS INTEGER) ELSE {names}[{head}] END"
+        f"CASE WHEN h LIKE '#%' AND substr(h, 2, 1) NOT IN ('x', 'X') AND length({digits}) <= 7 THEN CAST('0' || {digits} AS INTEGER) "
+        f"WHEN h LIKE '#%' AND substr(h, 2, 1) IN ('x', 'X') AND length({hexa}) <= 6 THEN CAST('0x0' || {hexa} AS INTEGER) END"
+    )
+    letter = "CASE WHEN c IS NULL THEN NULL WHEN c BETWEEN 1 AND 55295 OR c BETWEEN 57344 AND 1114111 THEN chr(c) ELSE chr(65533) END"
+    named = f"CASE WHEN h NOT LIKE '#%' AND (substr(p, length(h) + 1, 1) = ';' OR h IN {bare}) THEN {names}[h] END"
+    text = f"coalesce(list_transform([{number}], lambda c: {letter})[1], {named})"
+    rest = "substr(p, length(h) + 1 + CASE WHEN substr(p, length(h) + 1, 1) = ';' THEN 1 ELSE 0 END)"
+    piece = (
+        f"list_transform([{head}], lambda h: list_transform([{text}], lambda t: CASE WHEN h = '' OR t IS NULL THEN '&' || p "
+        f"WHEN t = chr(160) THEN ' ' || {rest} ELSE t || {rest} END)[1])[1]"
     )
-    letter = "CASE WHEN c = 160 THEN ' ' WHEN c BETWEEN 1 AND 55295 OR c BETWEEN 57344 AND 1114111 THEN chr(c) ELSE chr(65533) END"
-    piece = f"list_transform([{number}], lambda c: CASE WHEN c IS NULL THEN '&' || p ELSE {letter} || substr(p, strpos(p, ';') + 1) END)[1]"
     return f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: CASE WHEN i = 1 THEN p ELSE {piece} END), '')"
 
 
@@ -91,9 +100,8 @@ def lemma(t: str) -> str:
     cases = " ".join(f"WHEN {q(w)} THEN {q(v)}" for w, v in IRREGULAR_NOUNS.items())
     return (
         f"CASE WHEN {t} IN {inlist(IRREGULAR_NOUNS)} THEN (CASE {t} {cases} END) "
-        f"WHEN {t} LIKE '%men' THEN left({t}, length({t}) - 3) || 'man' "
-        f"WHEN {t} NOT LIKE '%s' OR length({t}) < 4 THEN {t} "
-        f"WHEN regexp_matches({t}, '(ss|us|is)$') THEN {t} "
+        f"WHEN {t} NOT LIKE '%s' OR length({t}) < 4 OR {t} IN {inlist(SINGULAR_S)} THEN {t} "
+        f"WHEN regexp_matches({t}, '(ss|us|is|ics)$') THEN {t} "
         f"WHEN {t} LIKE '%ies' AND length({t}) > 4 THEN left({t}, length({t}) - 3) || 'y' "
         f"WHEN regexp_matches({t}, '(ss|x|z|ch|sh)es$') THEN left({t}, length({t}) - 2) "
         f"ELSE left({t}, length({t}) - 1) END"
@@ -157,8 +165,8 @@ POSTS = """posts AS (
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 TURNS = """turns AS (
-  SELECT concat_ws('-', conv_id, turn) AS id_post, CASE WHEN role = 'user' THEN text END AS text
-  FROM conversations)"""
+  SELECT concat_ws('-', conv_id, turn) AS id_post, text FROM conversations
+  UNION ALL SELECT 'label-' || doc_id, CASE WHEN toxic = 1 THEN ' ' || chr(9) || ' ' WHEN quality = 1 THEN '' END FROM labels)"""
 
 PAGES = """raw_pages AS (
   SELECT CASE WHEN url LIKE 'https%' THEN page_id END AS page_id, url,

@@ -88,13 +88,13 @@ def posts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short posts: what users wrote; turns of the assistant have no text of their own."""
-    return spread(
-        table(spark, sf_dir, "conversations").select(
-            F.concat_ws("-", "conv_id", "turn").alias("id_post"),
-            F.when(F.col("role") == "user", F.col("text")).alias("text"),
-        )
+    """Short posts: every turn with its whole text; and each row of ``labels`` as a post without one, blank or null."""
+    said = table(spark, sf_dir, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id_post"), "text")
+    marks = table(spark, sf_dir, "labels").select(
+        F.concat(F.lit("label-"), F.col("doc_id")).alias("id_post"),
+        F.when(F.col("toxic") == 1, " \t ").when(F.col("quality") == 1, "").alias("text"),
     )
+    return spread(said.union(marks))
 
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

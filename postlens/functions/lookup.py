@@ -2,33 +2,63 @@
 
 A dictionary of proven small size travels with the plan as a constant and is
 read inside the row, so documents are never taken apart and never shuffled. A
-dictionary beyond that size is joined to the exploded elements; the join is
-salted, because one frequent word may hold a third of all elements.
+dictionary beyond that size is joined: the distinct words of each distinct array
+go to the dictionary, only those found come back, and the array is read against
+them inside the row. The join is salted, because one frequent word may be
+in most arrays. Both ways give the same result for any rows: arrays are told
+apart by what they hold, never by a key of the caller's.
+
+A dictionary that holds a key twice is refused; a null key is no entry.
 """
 
 from __future__ import annotations
 
 import json
+from collections import Counter
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 MAX_KEYS = 50_000
-SALTS = 32
+MAX_BYTES = 8 << 20
 SET_TEST_KEYS = 5_000
+PARTS = 64  # maps that the entries found for one array are dealt to
 
 Lookup = Callable[[str], str]
-EntryAdder = Callable[[DataFrame, str, str, str], DataFrame]
+EntryAdder = Callable[[DataFrame, str, str], DataFrame]
+
+
+class DoubledKey(ValueError):
+    """A dictionary has more than one entry for a key."""
 
 
-def bounded_rows(table: DataFrame, key: str, max_rows: int) -> list[Row] | None:
-    """The rows of ``table`` with the hash of ``key``, or None if there are more than ``max_rows``.
+def bounded_rows(table: DataFrame, keys: Sequence[str], max_rows: int, max_bytes: int = MAX_BYTES) -> list[Row] | None:
+    """The rows of ``table`` with the hash of the first of ``keys``, or None if they are too many or too large.
 
-    At most ``max_rows + 1`` rows reach the driver.
+    Rows without that key are left out. ``keys`` together must be unique. At most ``max_rows + 1`` rows reach the driver.
     """
-    rows = table.where(F.col(key).isNotNull()).withColumn("_hash", F.xxhash64(key)).limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
+    rows = table.where(F.col(keys[0]).isNotNull())
+    held = rows.withColumn("_hash", F.xxhash64(keys[0])).limit(max_rows + 1).collect()
+    if len(held) > max_rows or sum(len(str(r)) for r in held) > max_bytes:
+        doubled = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").first()
+        if doubled is not None:
+            raise DoubledKey(str([doubled[k] for k in keys]))
+        return None
+    counts = Counter(tuple(r[k] for k in keys) for r in held)
+    if len(counts) < len(held):
+        raise DoubledKey(str(counts.most_common(1)[0][0]))
+    return held
+
+
+def salts(spark: SparkSession) -> int:
+    """Parts that a frequent key is dealt to: enough to keep a quarter of the tasks of a shuffle busy."""
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+
+
+def digest(c: Column) -> Column:
+    """What tells values apart, nulls and borders of elements included."""
+    return F.sha2(F.to_json(F.struct(c.alias("c"))), 256)
 
 
 def literal(text: str) -> str:
@@ -64,46 +94,41 @@ def constant_lookup(
 
 
 def entry_adder(table: DataFrame, key: str, max_keys: int = MAX_KEYS) -> EntryAdder:
-    """A function ``(df, id_col, elements, out)`` that looks array elements up in ``table``.
+    """A function ``(df, elements, out)`` that looks array elements up in ``table``.
 
     It adds ``out``: for each element of the array ``elements`` the other
-    columns of ``table`` as a struct, or null, in the order of the elements.
-    ``table`` has one row per key; ``id_col`` identifies the rows of ``df``.
+    columns of ``table`` as a struct, or null, in the order of the elements; null
+    for a null array. ``table`` has one row per key.
     """
-    rows = bounded_rows(table, key, max_keys)
+    rows = bounded_rows(table, [key], max_keys)
     if rows is None:
-        return lambda df, id_col, elements, out: join_entries(df, id_col, elements, out, table, key)
+        return lambda df, elements, out: join_entries(df, elements, out, table, key)
     values = [f for f in table.schema.fields if f.name != key]
     entry_type = "struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in values) + ">"
     find = constant_lookup([(r[key], r["_hash"], {f.name: r[f.name] for f in values}) for r in rows], entry_type)
-    return lambda df, id_col, elements, out: df.withColumn(out, F.expr(f"transform({elements}, w -> {find('w')})"))
+    return lambda df, elements, out: df.withColumn(out, F.expr(f"transform({elements}, w -> {find('w')})"))
 
 
-def join_entries(
-    df: DataFrame, id_col: str, elements: str, out: str, table: DataFrame, key: str, salts: int = SALTS
-) -> DataFrame:
-    """:func:`entry_adder` for a dictionary of any size: explode, salted join, regroup.
+def join_entries(df: DataFrame, elements: str, out: str, table: DataFrame, key: str) -> DataFrame:
+    """:func:`entry_adder` for a dictionary of any size.
 
-    A group of the regrouping is the elements of one row, nothing larger.
+    What is grouped is the distinct words of one array that have an entry.
     """
     values = [c for c in table.columns if c != key]
-    exploded = df.select(F.col(id_col).alias("_id"), F.posexplode(elements).alias("_pos", "_word")).withColumn(
-        "_salt", F.pmod(F.xxhash64("_id", "_pos"), F.lit(salts)).cast("int")
-    )
-    salted = table.select(
-        F.col(key).alias("_word"),
-        F.struct(*values).alias("_entry"),
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
-    )
-    entries = (
-        exploded.join(salted, ["_word", "_salt"], "left")
-        .groupBy("_id")
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_entry"))).alias("_found"))
-        .select("_id", F.transform("_found", lambda x: x["_entry"]).alias(out))
+    n = salts(df.sparkSession)
+    keyed = df.withColumn("_array", digest(F.col(elements)))
+    words = keyed.select("_array", F.explode(F.array_distinct(elements)).alias("_word")).distinct()
+    words = words.withColumn("_salt", F.pmod(F.xxhash64("_array"), F.lit(n)).cast("int"))
+    salted = table.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_word"), F.struct(*values).alias("_entry"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt")
     )
-    empty = F.array().cast(entries.schema[out].dataType)
+    found = words.join(salted, ["_word", "_salt"]).groupBy("_array").agg(F.collect_list(F.struct("_word", "_entry")).alias("_found"))
+    # A map is searched from its start, so the entries are dealt to many short ones.
+    part = lambda i: f"map_from_entries(filter(_found, x -> pmod(xxhash64(x._word), {PARTS}L) = {i}))"
+    maps = found.select(F.col("_array").alias("_key"), F.expr(f"transform(sequence(0, {PARTS - 1}), i -> {part('i')})").alias("_maps"))
+    entry = f"element_at(get(_maps, int(pmod(xxhash64(w), {PARTS}L))), w)"
     return (
-        df.join(entries, F.col(id_col) == F.col("_id"), "left")
-        .drop("_id")
-        .withColumn(out, F.coalesce(F.col(out), empty))
+        keyed.join(maps, F.col("_array") == F.col("_key"), "left")
+        .withColumn(out, F.expr(f"transform({elements}, w -> {entry})"))
+        .drop("_array", "_key", "_maps")
     )

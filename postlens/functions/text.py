@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,10 +28,9 @@ MARKUP = (
     r"|/?[a-z](?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>"
 )
 
-# Names of characters in HTML 4, as the standard library lists them.
-ENTITIES = {**name2codepoint, "apos": 39}
-# Those of them that stand for white space; no other one stands for a letter of ASCII.
-BLANK_ENTITIES = {n: i for n, i in ENTITIES.items() if chr(i).isspace()}
+# Names of characters as the standard library lists them, and those that hold without a semicolon too.
+ENTITIES = {name.rstrip(";"): text for name, text in html5.items()}
+BARE_ENTITIES = sorted(name for name in html5 if not name.endswith(";"))
 
 # A link runs over "!", "$" to "_" and the lower-case letters.
 URL = r"https?://[!$-_a-zA-Z]+"
@@ -74,31 +73,34 @@ def strip_markup(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, r"(?s)<!\[CDATA\[(.*?)\]\]>", "$1"), MARKUP, "")
 
 
-def decode_entities(c: Column, entities: dict[str, int] = ENTITIES, other: int | None = None) -> Column:
-    """Decode numeric references and the names of HTML 4; nothing is decoded twice.
+def decode_entities(c: Column) -> Column:
+    """Decode numeric references and the names of characters; nothing is decoded twice.
 
     A number that is no character gives U+FFFD; an unknown name stays as it is;
-    a no-break space becomes a blank. With ``other``, any other name stands for
-    that character, which keeps the list of names out of a plan.
-    Texts without an ampersand are not taken apart.
+    a no-break space becomes a blank. A number needs no semicolon, and old names
+    need none where no letter or digit follows. Texts without an ampersand are not taken apart.
     """
-    names = F.str_to_map(F.lit(",".join(f"{n}:{i}" for n, i in entities.items())), F.lit(","), F.lit(":"))
+    # U+E000 and U+E001 are private: no name and no character that a name stands for holds them.
+    listed = "\ue000".join(f"{name}\ue001{text}" for name, text in sorted(ENTITIES.items()))
+    names = F.str_to_map(F.lit(listed), F.lit("\ue000"), F.lit("\ue001"))
+    bare = F.split(F.lit(" ".join(BARE_ENTITIES)), " ")
 
     def decoded(piece: Column) -> Column:
-        hexadecimal = F.conv(F.regexp_extract(piece, "^#[xX]0*([0-9a-fA-F]{1,6});", 1), 16, 10)
-        decimal = F.regexp_extract(piece, "^#0*([0-9]{1,7});", 1)
-        name = F.regexp_extract(piece, "^([a-zA-Z][a-zA-Z0-9]*);", 1)
-        named = F.element_at(names, name)
-        if other is not None:
-            named = F.coalesce(named, F.when(name != "", str(other)))
-        number = F.coalesce(F.nullif(hexadecimal, F.lit("")), F.nullif(decimal, F.lit("")), named).cast("int")
-        return let(number, lambda n: F.when(n.isNull(), F.concat(F.lit("&"), piece)).otherwise(
-            F.concat(character(n), F.regexp_replace(piece, "^#?[a-zA-Z0-9]+;", ""))
+        hexadecimal = F.conv(F.regexp_extract(piece, "^#[xX]0*([0-9a-fA-F]{1,6})(?![0-9a-fA-F])", 1), 16, 10)
+        decimal = F.regexp_extract(piece, "^#0*([0-9]{1,7})(?![0-9])", 1)
+        name = F.regexp_extract(piece, "^([a-zA-Z][a-zA-Z0-9]*)", 1)
+        whole = F.substring(piece, F.length(name) + 1, F.lit(1)) == ";"
+        named = F.when((name != "") & (whole | F.array_contains(bare, name)), F.element_at(names, name))
+        number = F.coalesce(F.nullif(hexadecimal, F.lit("")), F.nullif(decimal, F.lit(""))).cast("int")
+        numbered = let(number, lambda n: F.when(n.isNotNull(), character(n)))
+        rest = F.regexp_replace(piece, "^(?:#[xX][0-9a-fA-F]+|#[0-9]+|[a-zA-Z][a-zA-Z0-9]*);?", "")
+        return let(F.coalesce(numbered, named), lambda t: F.when(t.isNull(), F.concat(F.lit("&"), piece)).otherwise(
+            F.concat(F.replace(t, F.lit("\u00a0"), F.lit(" ")), rest)
         ))
 
     def character(n: Column) -> Column:
         valid = ((n > 0) & (n < 0xD800)) | ((n > 0xDFFF) & (n < 0x110000))
-        code = F.when(n == 0xA0, 0x20).when(valid, n).otherwise(0xFFFD)
+        code = F.when(valid, n).otherwise(0xFFFD)
         return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
     def joined(pieces: Column) -> Column:

@@ -36,7 +36,10 @@ NULL_CELLS = [
 
 # Nouns whose singular the suffix rules of ``lemma_rules`` would get wrong.
 IRREGULAR_NOUNS = {
-    "men": "man", "women": "woman", "children": "child", "feet": "foot",
+    "men": "man", "women": "woman", "policemen": "policeman", "firemen": "fireman", "businessmen": "businessman",
+    "salesmen": "salesman", "gentlemen": "gentleman", "fishermen": "fisherman", "workmen": "workman",
+    "spokesmen": "spokesman", "sportsmen": "sportsman", "congressmen": "congressman", "freshmen": "freshman",
+    "craftsmen": "craftsman", "policewomen": "policewoman", "businesswomen": "businesswoman", "children": "child", "feet": "foot",
     "teeth": "tooth", "geese": "goose", "mice": "mouse", "lice": "louse",
     "oxen": "ox", "wolves": "wolf", "knives": "knife", "lives": "life",
     "wives": "wife", "leaves": "leaf", "halves": "half", "thieves": "thief",
@@ -49,6 +52,14 @@ IRREGULAR_NOUNS = {
     "heroes": "hero", "potatoes": "potato", "tomatoes": "tomato", "echoes": "echo",
 }
 
+# Words that end in s and are no plurals, beyond those in -ss, -us, -is and -ics.
+SINGULAR_S = """
+lens bias gas atlas canvas alias thanks chaos pancreas christmas texas kansas mars atlas alas yes whereas besides
+sometimes towards afterwards upwards downwards forwards backwards outdoors indoors nowadays perhaps always news
+series species means headquarters crossroads gallows mathematics ethos pathos cosmos asbestos rhinoceros iris
+abs gps dos james charles thomas lucas nicholas andreas athens brussels wales netherlands
+""".split()
+
 # Frequent function words per language, for language id without a profile.
 LANGUAGE_WORDS = {
     "de": "der die das und ist nicht ich sie ein eine mit auf den dem zu von im "

@@ -11,8 +11,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlens.functions import text as X
-from postlens.functions.wordlists import IRREGULAR_NOUNS, STOP_WORDS
+from postlens.functions import lookup, text as X
+from postlens.functions.wordlists import IRREGULAR_NOUNS, SINGULAR_S, STOP_WORDS
+from postlens.operators import lemma
 
 CLEAN_COLUMNS = ["original_text", "cleaned_text", "tokens", "processed_text", "word_count"]
 
@@ -26,8 +27,7 @@ def clean_text(df: DataFrame, text: str = "text") -> DataFrame:
     """
     original, bare = F.col("original_text"), F.col("cleaned_text")
     without_markup = F.when(F.contains(original, F.lit("<")), X.strip_markup(original)).otherwise(original)
-    # Only ASCII letters are left below, so that names of other characters need not be told apart.
-    decoded = X.decode_entities(bare, {**X.BLANK_ENTITIES, "amp": 38, "lt": 60, "gt": 62}, other=0xFFFD)
+    decoded = X.decode_entities(bare)
     return (
         df.withColumn("original_text", F.lower(F.coalesce(F.col(text), F.lit(""))))
         .withColumn("cleaned_text", without_markup)
@@ -43,14 +43,15 @@ def tokenize(c: Column) -> Column:
 def lemma_rules(token: Column) -> Column:
     """Singular of a noun by suffix rules.
 
-    An approximation of a dictionary lemmatiser: it never checks that the
-    result is a noun. ``lemmatize_dict`` does, given a table of nouns.
+    An approximation of a dictionary lemmatiser: only regular plurals and listed
+    irregular ones are cut, and what may be no plural stays. ``preprocess``
+    takes a table of lemmas instead (``lemma.build_lemmas``).
     """
     irregular = F.create_map(*[F.lit(w) for pair in IRREGULAR_NOUNS.items() for w in pair])
     n = F.length(token)
     rules = (
-        F.when(n < 4, token)
-        .when(token.endswith("ss") | token.endswith("us") | token.endswith("is"), token)
+        F.when((n < 4) | token.isin(SINGULAR_S), token)
+        .when(token.endswith("ss") | token.endswith("us") | token.endswith("is") | token.endswith("ics"), token)
         .when(token.endswith("ies") & (n > 4), F.concat(F.substring(token, F.lit(1), n - 3), F.lit("y")))
         .when(
             token.endswith("sses") | token.endswith("xes") | token.endswith("zes")
@@ -60,8 +61,8 @@ def lemma_rules(token: Column) -> Column:
         .otherwise(F.substring(token, F.lit(1), n - 1))
     )
     return F.when(token.isin(list(IRREGULAR_NOUNS)), F.element_at(irregular, token)).when(
-        token.endswith("men"), F.concat(F.substring(token, F.lit(1), n - 3), F.lit("man"))
-    ).when(token.endswith("s"), rules).otherwise(token)
+        token.endswith("s"), rules
+    ).otherwise(token)
 
 
 def lemmatize(tokens: Column) -> Column:
@@ -73,25 +74,48 @@ def keep_long(tokens: Column) -> Column:
     return F.filter(tokens, lambda t: (F.length(t) > 1) & (X.strip_ws(t) != ""))
 
 
+def unlisted_tokens(cleaned: Column, stop_words: Iterable[str]) -> Column:
+    """Words of a cleaned text that are no stop words."""
+    unwanted = [*stop_words, ""]
+    return F.filter(F.split(X.split_contractions(cleaned), " "), lambda t: ~t.isin(unwanted))
+
+
 def final_tokens(cleaned: Column, stop_words: Iterable[str] = STOP_WORDS) -> Column:
     """Tokenise, drop stop words, lemmatise, drop one-character tokens.
 
     The cleaned text is lower case without other blanks than single spaces, so
     the three array operators need neither ``lower`` nor a blank test here.
     """
-    unwanted = [*stop_words, ""]
-    kept = F.filter(F.split(X.split_contractions(cleaned), " "), lambda t: ~t.isin(unwanted))
-    return F.filter(F.transform(kept, lemma_rules), lambda t: F.length(t) > 1)
+    return F.filter(F.transform(unlisted_tokens(cleaned, stop_words), lemma_rules), lambda t: F.length(t) > 1)
 
 
-def preprocess(df: DataFrame, text: str = "text", stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
-    """Add the five cleaning columns; null and empty texts give empty results."""
-    return (
-        df.transform(clean_text, text)
-        .withColumn("tokens", final_tokens(F.col("cleaned_text"), stop_words))
-        .withColumn("processed_text", F.array_join("tokens", " "))
-        .withColumn("word_count", F.size("tokens"))
-    )
+def preprocess(
+    df: DataFrame,
+    text: str = "text",
+    stop_words: Iterable[str] | DataFrame = STOP_WORDS,
+    lemmas: DataFrame | None = None,
+    max_keys: int = lookup.MAX_KEYS,
+) -> DataFrame:
+    """Add the five cleaning columns; null and empty texts give empty results.
+
+    ``stop_words`` is a list or a table ``(word)``, ``lemmas`` a table ``(form, lemma)``
+    that takes the place of the suffix rules. Tables of up to ``max_keys`` rows
+    leave the stage without a shuffle.
+    """
+    listed = isinstance(stop_words, DataFrame)
+    cleaned = df.transform(clean_text, text)
+    if not listed and lemmas is None:
+        found = cleaned.withColumn("tokens", final_tokens(F.col("cleaned_text"), stop_words))
+    else:
+        found = cleaned.withColumn("tokens", unlisted_tokens(F.col("cleaned_text"), [] if listed else stop_words))
+        if listed:
+            found = found.transform(lemma.drop_listed, stop_words, "tokens", max_keys)
+        if lemmas is None:
+            found = found.withColumn("tokens", F.transform("tokens", lemma_rules))
+        else:
+            found = found.transform(lemma.lemmatize_dict, lemmas, "tokens", max_keys)
+        found = found.withColumn("tokens", F.filter("tokens", lambda t: F.length(t) > 1))
+    return found.withColumn("processed_text", F.array_join("tokens", " ")).withColumn("word_count", F.size("tokens"))
 
 
 def sentence_count(c: Column) -> Column:

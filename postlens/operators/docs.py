@@ -133,9 +133,9 @@ def failure_counts(rejected: DataFrame) -> DataFrame:
 
 
 def first_failures(rejected: DataFrame, n: int = FAILURES_SHOWN) -> DataFrame:
-    """The first rejected documents in id order, with reason and kind of error."""
-    return rejected.orderBy("id").limit(n).select(
-        "id", "reason", F.substring_index("reason", ":", 1).alias("error_type")
+    """The first rejected documents in id order, those without an id before all others, with reason and kind of error."""
+    return rejected.orderBy(F.asc_nulls_first("id"), "reason", "preview").limit(n).select(
+        "id", "reason", F.substring_index("reason", ":", 1).alias("error_type"), "preview"
     )
 
 

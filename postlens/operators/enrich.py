@@ -14,7 +14,6 @@ def enrich(
     df: DataFrame,
     terms: DataFrame,
     profiles: DataFrame | None = None,
-    id_col: str = "id_post",
     max_keys: int = lookup.MAX_KEYS,
 ) -> DataFrame:
     """Add the four result structs to posts that went through ``preprocess``.
@@ -26,5 +25,5 @@ def enrich(
     if profiles is None:
         found = language.detect_language_words(df)
     else:
-        found = language.detect_language(df, profiles, id_col=id_col, max_keys=max_keys)
-    return found.transform(sentiment.score_sentiment, terms, id_col, max_keys)
+        found = language.detect_language(df, profiles, max_keys=max_keys)
+    return found.transform(sentiment.score_sentiment, terms, max_keys)

@@ -90,7 +90,6 @@ def detect_language(
     df: DataFrame,
     profiles: DataFrame,
     text: str = "original_text",
-    id_col: str = "id_post",
     out: str = "language_detection",
     max_keys: int = lookup.MAX_KEYS,
 ) -> DataFrame:
@@ -98,12 +97,12 @@ def detect_language(
 
     The score of a language adds, for every trigram of the whole text, its
     weight or the floor; ties go to the first code. Profiles of up to
-    ``max_keys`` rows are read inside the row, larger ones are joined.
+    ``max_keys`` rows are read inside the row, larger ones are joined. ``profiles`` holds a gram once for each language.
     """
-    rows = lookup.bounded_rows(profiles, "gram", max_keys)
+    rows = lookup.bounded_rows(profiles, ["gram", "lang"], max_keys)
     letters = langid_text(F.col(text))
     if rows is None:
-        found = _best_by_join(df.withColumn("_letters", letters), profiles, id_col)
+        found = _best_by_join(df.withColumn("_letters", letters), profiles)
         return found.withColumn(out, F.expr(_result("_letters", "_best"))).drop("_letters", "_best")
     result = let_sql("l", "_letters", _result("l", _best_in_row(rows, "l")))
     return df.withColumn("_letters", letters).withColumn(out, F.expr(result)).drop("_letters")
@@ -150,32 +149,39 @@ def _best_in_row(rows: list, letters: str) -> str:
     return let_sql("gained", added, f"CASE WHEN array_max(gained) > 0 THEN {_first_best(langs, scores)} END")
 
 
-def _best_by_join(df: DataFrame, profiles: DataFrame, id_col: str, salts: int = lookup.SALTS) -> DataFrame:
-    """The same scores by a salted join of each row's distinct grams to the profiles."""
-    ids = df.select(F.col(id_col).alias("_id"), "_letters")
-    doc_grams = _with_grams(ids, "_letters", "_id").groupBy("_id", "gram").agg(F.count("*").alias("n"))
-    salted = profiles.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+def _best_by_join(df: DataFrame, profiles: DataFrame) -> DataFrame:
+    """The same scores by a salted join of the grams of each distinct text to the profiles.
+
+    Rows of one text count together: all its sums are as many times as large as it has rows, which leaves
+    their order as it is. The empty gram stands for the text itself and counts those rows.
+    """
+    salts = lookup.salts(df.sparkSession)
+    keyed = df.withColumn("_text_key", lookup.digest(F.col("_letters")))
+    chunks = keyed.select("_text_key", F.expr(f"posexplode({_chunks('_letters')})").alias("k", "chunk"))
+    grams = f"concat({_grams('chunk')}, CASE WHEN k = 0 THEN array('') ELSE array() END)"
+    counts = chunks.select("_text_key", F.expr(f"explode({grams})").alias("gram")).groupBy("_text_key", "gram").agg(F.count("*").alias("n"))
+    # At most one row for each language.
+    floors = {r["lang"]: r["floor"] for r in profiles.where("gram IS NOT NULL").groupBy("lang").agg(F.max("floor").alias("floor")).collect()}
+    gains = profiles.where("gram IS NOT NULL").select("gram", "lang", (F.col("weight") - F.col("floor")).alias("gain"))
+    gains = gains.union(df.sparkSession.createDataFrame([("", "", 1)], gains.schema))
+    salted = gains.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     gained = (
-        doc_grams.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int"))
+        counts.withColumn("_salt", F.pmod(F.xxhash64("_text_key"), F.lit(salts)).cast("int"))
         .join(salted, ["gram", "_salt"])
-        .groupBy("_id", "lang")
-        .agg(F.sum(F.col("n") * (F.col("weight") - F.col("floor"))).alias("gain"), F.max("floor").alias("floor"))
+        .groupBy("_text_key", "lang")
+        .agg(F.sum(F.col("n") * F.col("gain")).alias("gain"))
+        .groupBy("_text_key")
+        .agg(F.map_from_entries(F.collect_list(F.struct("lang", "gain"))).alias("_gained"))
+        .withColumnRenamed("_text_key", "_key")
     )
-    sizes = doc_grams.groupBy("_id").agg(F.sum("n").alias("n"))
-    # A language without a hit in a text scores its floors alone there. Only
-    # the one with the highest floor can win that way.
-    high = profiles.orderBy(F.desc("floor"), "lang").select("lang", "floor").first()
-    best = (
-        gained.join(sizes, "_id")
-        .groupBy("_id")
-        .agg(
-            F.min(F.struct((-(F.col("gain") + F.col("n") * F.col("floor"))).alias("loss"), "lang")).alias("hit"),
-            F.max("n").alias("n"),
-        )
-        .withColumn("rest", F.struct((-F.col("n") * F.lit(high["floor"])).alias("loss"), F.lit(high["lang"]).alias("lang")))
-        .select("_id", F.least("hit", "rest")["lang"].alias("_best"))
+    langs = sorted(floors)
+    score = lambda x: f"coalesce(_gained[{lookup.literal(x)}], 0L) + _gained[''] * {floors[x]}L * length(_letters)"
+    best = _first_best(langs, "array(" + ", ".join(map(score, langs)) + ")") if langs else "string(NULL)"
+    return (
+        keyed.join(gained, F.col("_text_key") == F.col("_key"), "left")
+        .withColumn("_best", F.expr(f"CASE WHEN size(_gained) > 1 THEN {best} END"))
+        .drop("_text_key", "_key", "_gained")
     )
-    return df.join(best, F.col(id_col) == F.col("_id"), "left").drop("_id")
 
 
 def detect_language_words(df: DataFrame, text: str = "original_text", out: str = "language_detection") -> DataFrame:

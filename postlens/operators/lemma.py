@@ -47,12 +47,11 @@ def lemmatize_dict(
     df: DataFrame,
     lemmas: DataFrame,
     tokens: str = "tokens",
-    id_col: str = "id_post",
     max_keys: int = lookup.MAX_KEYS,
 ) -> DataFrame:
-    """Replace each token by its lemma; a token without one stays."""
+    """Replace each token by its lemma; a token without one stays. ``lemmas`` has one row per form."""
     return (
-        df.transform(lookup.entry_adder(lemmas, "form", max_keys), id_col, tokens, "_lemmas")
+        df.transform(lookup.entry_adder(lemmas, "form", max_keys), tokens, "_lemmas")
         .withColumn(tokens, F.zip_with(tokens, "_lemmas", lambda t, e: F.coalesce(e["lemma"], t)))
         .drop("_lemmas")
     )
@@ -62,13 +61,13 @@ def drop_listed(
     df: DataFrame,
     unwanted: DataFrame,
     tokens: str = "tokens",
-    id_col: str = "id_post",
     max_keys: int = lookup.MAX_KEYS,
 ) -> DataFrame:
     """Remove the tokens listed in ``unwanted(word)``, a stop list of any size."""
     marked = unwanted.select("word", F.lit(True).alias("listed")).distinct()
     return (
-        df.transform(lookup.entry_adder(marked, "word", max_keys), id_col, tokens, "_listed")
-        .withColumn(tokens, F.filter(tokens, lambda t, i: F.get(F.col("_listed"), i).isNull()))
+        df.transform(lookup.entry_adder(marked, "word", max_keys), tokens, "_listed")
+        # Read side by side: indexing into the entries would compute them once for each token.
+        .withColumn(tokens, F.array_compact(F.zip_with(tokens, "_listed", lambda t, e: F.when(e.isNull(), t))))
         .drop("_listed")
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from postlens.functions import lookup, text as X
 from postlens.functions import wordlists as L
-from postlens.functions.binding import let_sql
+from postlens.functions.binding import let, let_sql
 from postlens.functions.numbers import MICRO, clamp_sql, exact_round_sql, micro_sql
 
 # Fixed values of the valence rules.
@@ -49,13 +49,6 @@ def seed_terms(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, TERM_SCHEMA)
 
 
-def merge_terms(valence_terms: DataFrame, polarity_terms: DataFrame) -> DataFrame:
-    """One term table from a valence lexicon and a polarity lexicon."""
-    return valence_terms.join(polarity_terms, "term", "full").select(*[
-        F.col(c) for c in (part.split()[0] for part in TERM_SCHEMA.split(", "))
-    ])
-
-
 # --- labels and consensus -------------------------------------------------
 #
 # Expressions are SQL text here: a rule of a few hundred terms is parsed once
@@ -255,7 +248,6 @@ def valence_scores(
     df: DataFrame,
     terms: DataFrame,
     text: str = "text",
-    id_col: str = "id_post",
     out: str = "vader_sentiment",
     max_keys: int = lookup.MAX_KEYS,
 ) -> DataFrame:
@@ -268,7 +260,7 @@ def valence_scores(
         df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
         .withColumn("_raw", valence_words(F.col("_text")))
         .withColumn("_words", F.transform("_raw", F.lower))
-        .transform(lookup.entry_adder(terms, "term", max_keys), id_col, "_words", "_entries")
+        .transform(lookup.entry_adder(terms, "term", max_keys), "_words", "_entries")
         .withColumn(out, F.expr(let_sql("loud", loud, scores)))
         .drop("_text", "_raw", "_words", "_entries")
     )
@@ -278,21 +270,20 @@ def polarity_scores(
     df: DataFrame,
     terms: DataFrame,
     text: str = "text",
-    id_col: str = "id_post",
     out: str = "textblob_sentiment",
     max_keys: int = lookup.MAX_KEYS,
 ) -> DataFrame:
     """Add the polarity struct of any text."""
     return (
         df.withColumn("_words", polarity_words(F.coalesce(F.col(text), F.lit(""))))
-        .transform(lookup.entry_adder(terms, "term", max_keys), id_col, "_words", "_entries")
+        .transform(lookup.entry_adder(terms, "term", max_keys), "_words", "_entries")
         .withColumn(out, F.expr(polarity_of_entries("_entries")))
         .drop("_words", "_entries")
     )
 
 
 def score_sentiment(
-    df: DataFrame, terms: DataFrame, id_col: str = "id_post", max_keys: int = lookup.MAX_KEYS
+    df: DataFrame, terms: DataFrame, max_keys: int = lookup.MAX_KEYS
 ) -> DataFrame:
     """Add both scores and the consensus of cleaned posts.
 
@@ -301,22 +292,35 @@ def score_sentiment(
     fall back to the original text are split a second time for polarity.
     """
     add = lookup.entry_adder(terms, "term", max_keys)
-    processed, original = F.col("processed_text"), F.coalesce("original_text", F.lit(""))
-    left = F.coalesce(processed, F.lit("")) != ""
-    empty = F.array().cast("array<string>")
+    scores = sentiment_of_entries(
+        "slice(found, 1, size(given.words))", "given.words",
+        "CASE WHEN given.cleaned THEN found ELSE slice(found, size(given.words) + 1, size(given.other)) END", "given.text",
+    )
     scored = (
-        df.withColumn("_text", X.first_text(processed, original))
-        .withColumn("_words", F.when(left, F.split(processed, " ")).otherwise(valence_words(original)))
-        .withColumn("_other", F.when(left, empty).otherwise(polarity_words(original)))
-        .transform(add, id_col, "_words", "_entries")
-        .transform(add, id_col, "_other", "_other_entries")
-        .withColumn("_polarity_entries", F.when(left, F.col("_entries")).otherwise(F.col("_other_entries")))
-        .withColumn("_sentiment", F.expr(sentiment_of_entries("_entries", "_words", "_polarity_entries", "_text")))
+        df.withColumn("_given", _given(F.col("processed_text"), F.col("original_text")))
+        .transform(add, "_given.both", "_found")
+        .withColumn("_sentiment", F.expr(let_sql("given", "_given", let_sql("found", "_found", scores))))
     )
     parts = ["textblob_sentiment", "vader_sentiment", "sentiment_consensus"]
-    return scored.withColumns({p: F.col(f"_sentiment.{p}") for p in parts}).drop(
-        "_text", "_words", "_other", "_entries", "_other_entries", "_polarity_entries", "_sentiment"
-    )
+    return scored.withColumns({p: F.col(f"_sentiment.{p}") for p in parts}).drop("_given", "_found", "_sentiment")
+
+
+def _given(processed: Column, original: Column) -> Column:
+    """The text to be scored, its words for either scorer, and both kinds of words in one array.
+
+    Each column is named once: what a later filter pushes down must not multiply.
+    """
+    empty = F.array().cast("array<string>")
+
+    def parts(p: Column, o: Column) -> Column:
+        words = F.when(p != "", F.split(p, " ")).otherwise(valence_words(o))
+        other = F.when(p != "", empty).otherwise(polarity_words(o))
+        return let(words, lambda w: let(other, lambda x: F.struct(
+            w.alias("words"), x.alias("other"), F.concat(w, x).alias("both"), (p != "").alias("cleaned"),
+            F.when(p != "", p).otherwise(o).alias("text"),
+        )))
+
+    return let(F.coalesce(processed, F.lit("")), lambda p: let(F.coalesce(original, F.lit("")), lambda o: parts(p, o)))
 
 
 def sentiment_of_entries(valence_entries: str, words: str, polarity_entries: str, text: str) -> str:

@@ -96,7 +96,7 @@ def incremental_nlp(
     ``terms`` and ``profiles`` are stored tables. One that is too large to be
     read inside the row is joined, which needs a plan per micro-batch.
     """
-    tables = [(terms, "term"), *([(profiles, "gram")] if profiles is not None else [])]
-    joined = any(lookup.bounded_rows(table, key, max_keys) is None for table, key in tables)
+    tables = [(terms, ["term"]), *([(profiles, ["gram", "lang"])] if profiles is not None else [])]
+    joined = any(lookup.bounded_rows(table, keys, max_keys) is None for table, keys in tables)
     stage = lambda df: enrich.enrich(df, terms, profiles, max_keys=max_keys)
     run_stream(spark, source, schema, stage, out, checkpoint, max_files, per_batch=joined)

@@ -18,6 +18,7 @@ CASES = [
     (X.strip_html, "i <3 you", "i <3 you"),
     (X.strip_html, "caf&eacute; &#65;&#x42;C &hellip;", "café ABC …"),
     (X.strip_html, "&unknown; &#xD800;&#0;&#1114112; a & b", "&unknown; ��� a & b"),
+    (X.strip_html, "AT&T; R&D; &copy 2020 &copyx &#65 &#x42, &fjlig;&notin;&notin", "AT&T; R&D; © 2020 &copyx A B, fj∉&notin"),
     (X.strip_html, "<?xml version='1'?>hi <![CDATA[data]]>z", "hi dataz"),
     (X.strip_html, "<b it's>hello</b> he's <i title='a > b'>x</i>", "hello he's x"),
     (X.strip_html, "&amp;lt;", "&lt;"),
