@@ -19,8 +19,9 @@ counts, bits) is ``BROADCAST`` pairs at most, every task gets it; otherwise the
 tasks send the pairs of their documents to the buckets and sums come back. A
 number found by hash counts only if the key stored there is the one asked for.
 
-Words are encoded once for many places: a text is cut at single spaces between
-characters that no token of either vocabulary goes across.
+Words are encoded and aligned once for many places: a text is cut at single spaces
+between characters that no token of either vocabulary goes across, so a group ends
+at every cut, and what a text holds is what its pieces hold.
 
 Defined results: texts that are null, empty, or that a vocabulary does not give
 back byte by byte have no tokens: zeros and an empty list of groups. Repeated rows
@@ -30,11 +31,13 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,18 +52,30 @@ BUCKETS = 128
 FAN = 16
 HELD = 1 << 21  # pairs that a task holds before it hands them on
 BROADCAST = 1 << 22  # pairs of a table that is sent to every task, 26 bytes each there
-BLOCK = 1 << 20  # characters of texts that are aligned together, if a text is no longer
+BLOCK = 1 << 21  # characters of texts that are aligned together, if a text is no longer
 GAMMA = 2  # bits of a level for each pair that is left
 LONG = 64  # characters of a piece that is not remembered
 # A single space between these is a border of tokens: a token of A that holds it starts with it, as does one of B.
 SOLID = "!-~À-ɏ"
 BORDER = re.compile(f"(?<=[{SOLID}]) (?=[{SOLID}])")
-UNCLEAN = re.compile(f"(?:^|[^{SOLID}]) | (?:[^{SOLID}]|$)")
+SOLIDS = frozenset(map(chr, [*range(0x21, 0x7F), *range(0xC0, 0x250)]))
+# Fixed value: how byte-level vocabularies split a text. For characters below U+0250 all versions of Unicode agree on it.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+UNSTABLE = re.compile("[^\0-\u024f]|[\x1c-\x1f\x85]")
 
 
 # --- alignment ---------------------------------------------------------------------
 
 
+# What a piece of a text holds: tokens of A and of B, groups, the groups written out, and of each link the pair in 8 bytes.
+Piece = tuple[int, int, int, str, bytes]
+NOTHING: Piece = (0, 0, 0, "", b"")
+
+
+def solid(piece: str) -> bool:
+    return piece != "" and piece[0] in SOLIDS and piece[-1] in SOLIDS
+
+
 class Aligner:
     """Two vocabularies, given as the contents of their files."""
 
@@ -71,9 +86,10 @@ class Aligner:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a, self.b = Tokenizer.from_str(a_source), sentencepiece.SentencePieceProcessor(model_proto=b_source)
         self.a.encode_special_tokens = True
+        spec = json.loads(a_source)
         byte_of = {c: k for k, c in enumerate(byte_letters())}
         self.a_bytes = [b""] * (1 + max(self.a.get_vocab().values()))
-        for token, i in json.loads(a_source)["model"]["vocab"].items():
+        for token, i in spec["model"]["vocab"].items():
             self.a_bytes[i] = bytes(byte_of[c] for c in token)
         pieces = range(self.b.vocab_size())
         self.b_bytes = [
@@ -84,92 +100,173 @@ class Aligner:
         # What is written for a token: A's before another of A or before B's, B's before another of B or a group.
         self.written = [str(i) + end for x, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for end in ends for i in range(len(x))]
         # Borders hold for a split of A as byte-level vocabularies make it, and if no piece of B goes on after a space.
-        split = json.loads(a_source)["pre_tokenizer"] or {}
-        self.cuts = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not any(
-            "▁" in self.b.id_to_piece(i).lstrip("▁") for i in pieces
-        )
+        split = spec["pre_tokenizer"] or {}
+        byte_level = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not spec["normalizer"]
+        self.cuts = byte_level and not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in pieces)
+        self.fast = same_by_ranks(spec["model"], self.a_bytes) if byte_level else None
         self.memory = Recent()
 
-    def encode(self, pieces: list[str]) -> list[tuple[bytes, bytes] | tuple[()]]:
-        """Ids of pieces with a space before them, 4 bytes each; nothing if they don't give the piece back."""
+    def encode_a(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A of all pieces with a space before them, and how many each has."""
         spaced = [" " + p for p in pieces]
-        out = []
-        for text, a, b in zip(spaced, self.a.encode_batch(spaced, add_special_tokens=False), self.b.encode(pieces, num_threads=1)):
-            data = text.encode()
-            same = b"".join([self.a_bytes[i] for i in a.ids]) == data == b"".join([self.b_bytes[i] for i in b])
-            out.append((np.array(a.ids, "i4").tobytes(), np.array(b, "i4").tobytes()) if same else ())
-        return out
-
-    def pieces(self, text: str) -> list[str]:
-        """``text`` cut at borders; a space goes before each piece."""
-        if not self.cuts:
-            return [text]
-        return BORDER.split(text) if UNCLEAN.search(text) else text.split(" ")
-
-    def ids(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The ids of A and B of each text."""
+        if self.fast and self.cuts and all(map(solid, pieces)) and not UNSTABLE.search(joined := "".join(spaced)):
+            # Borders hold between any two of them, so they can be read as one text.
+            ids = np.array(self.fast.encode_ordinary(joined), "i4")
+            ends = np.searchsorted(np.cumsum(self.a_size[ids]), np.cumsum([len(p.encode()) for p in spaced]), "right")
+            return ids, np.diff(ends, prepend=0)
+        if self.fast:
+            found = [self.a.encode(p, add_special_tokens=False).ids if UNSTABLE.search(p) else self.fast.encode_ordinary(p) for p in spaced]
+        else:
+            found = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(found), "i4"), np.fromiter(map(len, found), "i8", len(found))
+
+    def learn(self, pieces: list[str]) -> list[Piece | None]:
+        """What each piece with a space before it holds; None if a vocabulary does not give it back."""
+        if not pieces:
+            return []
+        b_ids = self.b.encode(pieces, num_threads=1)
+        a, n_a = self.encode_a(pieces)
+        b, n_b = np.fromiter(chain.from_iterable(b_ids), "i4"), np.fromiter(map(len, b_ids), "i8", len(b_ids))
+        data = (" " + " ".join(pieces)).encode()
+        size = np.array([1 + len(p.encode()) for p in pieces])
+        of = np.arange(len(pieces))
+        given = all(
+            (np.bincount(np.repeat(of, n), sizes[ids], len(of)) == size).all() and b"".join(map(held.__getitem__, ids.tolist())) == data
+            for sizes, held, ids, n in ((self.a_size, self.a_bytes, a, n_a), (self.b_size, self.b_bytes, b, n_b))
+        )
+        if not given:
+            if len(pieces) > 1:  # one of them, at least: look at each half
+                half = len(pieces) // 2
+                return self.learn(pieces[:half]) + self.learn(pieces[half:])
+            return [None]
+        found = Aligned(self, a, b, n_a, n_b)
+        ends = 8 * np.cumsum(found.n_links)
+        pairs = found.pair.tobytes()
+        cut = [pairs[x:y] for x, y in zip([0, *ends.tolist()], ends.tolist())]
+        return list(zip(n_a.tolist(), n_b.tolist(), found.n_groups.tolist(), found.groups(), cut))
+
+    def read(self, texts: list[str | None]) -> Block:
+        # The many small tuples here hold no cycles; looking for some takes a third of the time.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._read(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _read(self, texts: list[str | None]) -> Block:
         self.memory.turn()
-        cut = [self.pieces(t) if t else [] for t in texts]
+        cut = [(t.split(" ") if self.cuts else [t]) if t else [] for t in texts]
+        distinct = dict.fromkeys(chain.from_iterable(cut))
+        if self.cuts and (odd := {p for p in distinct if not (p and p[0] in SOLIDS and p[-1] in SOLIDS)}):
+            cut = [c if odd.isdisjoint(c) else BORDER.split(t) for c, t in zip(cut, texts)]
+            distinct = dict.fromkeys(chain.from_iterable(cut))
         known = self.memory.now
-        new = list(self.memory.missing({p for pieces in cut for p in pieces}))
-        known.update(zip(new, self.encode(new)))
-        out = [], []
-        for pieces in cut:
-            found = [known[p] for p in pieces]
-            whole = () not in found
-            for k in (0, 1):
-                out[k].append(np.frombuffer(b"".join([f[k] for f in found]) if whole else b"", "i4"))
+        new = list(self.memory.missing(distinct))
+        plain = [p for p in new if solid(p) and not UNSTABLE.search(p)]
+        other = [p for p in new if not (solid(p) and not UNSTABLE.search(p))]
+        for some in (plain, other):
+            known.update(zip(some, self.learn(some)))
+        numbers = dict(zip(distinct, range(len(distinct))))
+        sizes = [len(c) for c in cut]
+        flat = np.fromiter(map(numbers.__getitem__, chain.from_iterable(cut)), "i8", sum(sizes))
+        block = Block([known[p] for p in distinct], flat, np.array(sizes, "i8"))
         for p in new:
             if len(p) > LONG:
                 del known[p]
-        return out
+        return block
+
 
-    def align(self, texts: list[str | None]) -> Aligned:
-        return Aligned(self, *self.ids(texts))
+def same_by_ranks(model: dict, a_bytes: list[bytes]):
+    """An encoder that merges by id, which is much faster, if ids are in the order of the merges; else None."""
+    import tiktoken
+
+    ids = sorted(model["vocab"].values())
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    plain = [a_bytes[i] for i in ids if a_bytes[i]]
+    in_order = [model["vocab"].get(a + b) for a, b in pairs] == list(range(256, 256 + len(pairs)))
+    if not in_order or sorted(a_bytes[:256]) != [bytes([k]) for k in range(256)]:
+        return None
+    ranks = {a_bytes[i]: i for i in range(256 + len(pairs))}
+    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if plain else None
 
 
 class Aligned:
-    """The groups and links of some texts, as flat arrays."""
-
-    def __init__(self, aligner: Aligner, a_ids: list[np.ndarray], b_ids: list[np.ndarray]):
-        n = len(a_ids)
-        self.aligner = aligner
-        self.n_a, self.n_b = (np.array([len(x) for x in ids], "i8") for ids in (a_ids, b_ids))
-        self.a, self.b = (np.concatenate([np.zeros(0, "i4"), *ids]) for ids in (a_ids, b_ids))
-        ends_a, ends_b = np.cumsum(aligner.a_size[self.a]), np.cumsum(aligner.b_size[self.b])
-        self.last_a = ends_b[np.searchsorted(ends_b, ends_a)] == ends_a if len(self.a) else np.zeros(0, bool)
-        self.last_b = ends_a[np.searchsorted(ends_a, ends_b)] == ends_b if len(self.b) else np.zeros(0, bool)
+    """The groups and links of some pieces, as flat arrays."""
+
+    def __init__(self, aligner: Aligner, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
+        self.aligner, self.a, self.b, self.n_a, self.n_b, n = aligner, a, b, n_a, n_b, len(n_a)
+        ends_a, ends_b = np.cumsum(aligner.a_size[a]), np.cumsum(aligner.b_size[b])
+        self.last_a = ends_b[np.searchsorted(ends_b, ends_a)] == ends_a if len(a) else np.zeros(0, bool)
+        self.last_b = ends_a[np.searchsorted(ends_a, ends_b)] == ends_b if len(b) else np.zeros(0, bool)
         self.group_a, self.group_b = np.cumsum(self.last_a) - self.last_a, np.cumsum(self.last_b) - self.last_b
-        doc_a = np.repeat(np.arange(n), self.n_a)
-        self.n_groups = np.bincount(doc_a[self.last_a], minlength=n)
+        of_a = np.repeat(np.arange(n), n_a)
+        self.n_groups = np.bincount(of_a[self.last_a], minlength=n)
         in_b = np.bincount(self.group_b, minlength=self.n_groups.sum())
         self.in_a, self.in_b = np.bincount(self.group_a, minlength=len(in_b)), in_b
         times = in_b[self.group_a]  # links of each A token
-        self.n_links = np.bincount(doc_a, times, n).astype("i8")
-        link = np.repeat(np.arange(len(self.a)), times)
+        self.n_links = np.bincount(of_a, times, n).astype("i8")
+        link = np.repeat(np.arange(len(a)), times)
         at = np.arange(len(link)) - np.repeat(np.cumsum(times) - times, times)
         b_of = (np.cumsum(in_b) - in_b)[self.group_a[link]] + at
-        self.pair = self.a[link].astype("i8") << 32 | self.b[b_of]
-        self.doc = doc_a[link]
-
-    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The distinct pairs; then for each document and pair in it: the document, the pair's number, its links."""
-        pairs, of = np.unique(self.pair, return_inverse=True)
-        held, times = np.unique(self.doc * max(1, len(pairs)) + of, return_counts=True)
-        return pairs, held // max(1, len(pairs)), held % max(1, len(pairs)), times
+        self.pair = a[link].astype("i8") << 32 | b[b_of]
 
     def groups(self) -> list[str]:
-        """``a1,a2|b1;a3|b2,b3`` for each text."""
+        """``a1,a2|b1;a3|b2,b3`` for each piece."""
         x, y = len(self.aligner.a_bytes), len(self.aligner.b_bytes)
-        before = lambda n: np.cumsum(n) - n
         code = np.empty(len(self.a) + len(self.b), "i8")
-        code[np.arange(len(self.a)) + before(self.in_b)[self.group_a]] = self.a + x * self.last_a
+        code[np.arange(len(self.a)) + (np.cumsum(self.in_b) - self.in_b)[self.group_a]] = self.a + x * self.last_a
         code[np.arange(len(self.b)) + np.cumsum(self.in_a)[self.group_b]] = 2 * x + self.b + y * self.last_b
         words = list(map(self.aligner.written.__getitem__, code.tolist()))
         ends = np.cumsum(self.n_a + self.n_b).tolist()
         return ["".join(words[a:b])[:-1] for a, b in zip([0, *ends], ends)]
 
 
+class Block:
+    """Some texts, each as the numbers of its pieces."""
+
+    def __init__(self, pieces: list[Piece | None], piece: np.ndarray, sizes: np.ndarray):
+        self.n = len(sizes)
+        doc = np.repeat(np.arange(self.n), sizes)
+        if None in pieces:  # a text with such a piece has no tokens
+            lost = np.array([p is None for p in pieces])
+            keep = np.bincount(doc, lost[piece], self.n) == 0
+            piece, doc, sizes = piece[keep[doc]], doc[keep[doc]], sizes * keep
+            pieces = [p or NOTHING for p in pieces]
+        self.piece, self.doc, self.sizes = piece, doc, sizes
+        *counts, self.written, pairs = zip(*pieces) if pieces else ((),) * 5
+        self.pair = np.frombuffer(b"".join(pairs), "i8")
+        self.links = np.fromiter(map(len, pairs), "i8", len(pairs)) // 8
+        self.at = np.cumsum(self.links) - self.links
+        self.n_a, self.n_b, self.n_groups, self.n_links = (self.summed(np.array(c, "i8")) for c in (*counts, self.links))
+
+    def summed(self, values: np.ndarray) -> np.ndarray:
+        """For each text the sum of its pieces' values; exact up to 2^53."""
+        return np.bincount(self.doc, values[self.piece], self.n).astype("i8") if len(self.piece) else np.zeros(self.n, "i8")
+
+    def over_links(self, values: np.ndarray) -> np.ndarray:
+        """For each piece the sum of its links' values."""
+        return np.bincount(np.repeat(np.arange(len(self.links)), self.links), values, len(self.links))
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The distinct pairs; then for each document and pair in it: the document, the pair's number, its links."""
+        pairs, of = np.unique(self.pair, return_inverse=True)
+        held, often = np.unique(self.doc * max(1, len(self.links)) + self.piece, return_counts=True)
+        doc, piece = held // max(1, len(self.links)), held % max(1, len(self.links))
+        n = self.links[piece]
+        link = np.repeat(self.at[piece], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        code = np.repeat(doc, n) * max(1, len(pairs)) + of[link]
+        held, which = np.unique(code, return_inverse=True)
+        times = np.bincount(which, np.repeat(often, n), len(held)).astype("i8")
+        return pairs, held // max(1, len(pairs)), held % max(1, len(pairs)), times
+
+    def groups(self) -> list[str]:
+        written = list(map(self.written.__getitem__, self.piece.tolist()))
+        ends = np.cumsum(self.sizes).tolist()
+        return [";".join(written[a:b]) for a, b in zip([0, *ends], ends)]
+
+
 _LOADED: dict[str, Aligner] = {}
 
 
@@ -301,7 +398,7 @@ def pairs_of_tasks(docs: DataFrame, files, text_col: str) -> DataFrame:
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for a, b in in_blocks(texts):
-                pairs, _, of, _ = aligner.align(texts[a:b]).distinct()
+                pairs, _, of, _ = aligner.read(texts[a:b]).distinct()
                 held.append((pairs, np.bincount(of, minlength=len(pairs))))
                 size += len(pairs)
                 if size > HELD:
@@ -420,18 +517,6 @@ def link_counts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text
 SUMS = "n_best long, count_sum long"
 
 
-def scores(counts: np.ndarray, best: np.ndarray, pairs: np.ndarray, doc: np.ndarray, of: np.ndarray, times: np.ndarray, n: int):
-    """``n_best`` and ``count_sum`` of ``n`` documents."""
-    first = counts == best[pairs >> 32]
-    return np.bincount(doc, times * first[of], n).astype("i8"), summed_exactly(doc, times * counts[of], n)
-
-
-def summed_exactly(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros(n, "i8")
-    np.add.at(out, of, values)
-    return out
-
-
 def align(
     docs: DataFrame, a_path: str, b_path: str, digest: bool = False, broadcast: int = BROADCAST,
     id_col: str = "doc_id", text_col: str = "text",
@@ -458,7 +543,7 @@ def align(
     names = [id_col, "n_a", "n_b", "n_groups", "n_links", last]
     shown = f"`{id_col}` {kind}, n_a long, n_b long, n_groups long, n_links long, {last} string"
 
-    def described(batch: pa.RecordBatch, a: int, b: int, found: Aligned) -> list:
+    def described(batch: pa.RecordBatch, a: int, b: int, found: Block) -> list:
         text = found.groups()
         if digest:
             text = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in text]
@@ -474,9 +559,9 @@ def align(
             for batch in batches:
                 texts = batch.column(1).to_pylist()
                 for a, b in in_blocks(texts):
-                    found = aligner.align(texts[a:b])
-                    pairs, doc, of, times = found.distinct()
-                    sums = scores(known.count(pairs), best.value, pairs, doc, of, times, b - a)
+                    found = aligner.read(texts[a:b])
+                    counts = known.count(found.pair)
+                    sums = [found.summed(found.over_links(v)) for v in (counts == best.value[found.pair >> 32], counts)]
                     yield pa.RecordBatch.from_arrays(described(batch, a, b, found) + [pa.array(s) for s in sums], names=[*names, "n_best", "count_sum"])
 
         return rows.mapInArrow(run, f"{shown}, {SUMS}").select(*[F.col(f"`{c}`") for c in order])
@@ -488,7 +573,7 @@ def align(
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for a, b in in_blocks(texts):
-                found, n = aligner.align(texts[a:b]), b - a
+                found, n = aligner.read(texts[a:b]), b - a
                 pairs, doc, of, times = found.distinct()
                 row = np.arange(at, at + n)
                 at += n
@@ -510,7 +595,8 @@ def align(
                     key, known = bucket, PairTable([(bucket, sizes, bits, keys, counts)])
                 row, pairs, times = (np.frombuffer(x, "i8") for x in (row, pairs, times))
                 ids, of = np.unique(row, return_inverse=True)
-                sums = scores(known.count(pairs), best.value, pairs, of, np.arange(len(pairs)), times, len(ids))
+                counts = known.count(pairs)
+                sums = [np.bincount(of, times * v, len(ids)).astype("i8") for v in (counts == best.value[pairs >> 32], counts)]
                 yield pa.RecordBatch.from_arrays([pa.array(ids), *(pa.array(s) for s in sums)], names=["_row", "n_best", "count_sum"])
 
     both = stored(rows.mapInArrow(ask, f"{shown}, _row long, bucket int, rows binary, pairs binary, times binary"), "asked")
