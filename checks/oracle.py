@@ -47,6 +47,16 @@ def share(field: str) -> str:
     return f"SELECT {field}, count, CAST(count AS DOUBLE) / CAST(sum(count) OVER () AS DOUBLE) AS share"
 
 
+RUN_POSTS = f"""run_posts AS (SELECT CASE WHEN (conv_id + turn) % 17 > 0 THEN concat_ws('-', conv_id, turn) END AS id_post, text, role AS label,
+  'turn ' || turn % 3 AS type FROM conversations),
+{S.clean_cte('run_posts')},
+fl AS MATERIALIZED (SELECT id_post, {S.letters('original_text')} AS l FROM clean WHERE id_post IS NOT NULL),
+fw AS MATERIALIZED (SELECT id_post, l, {S.function_words('l')} AS best FROM fl),
+detected AS (SELECT id_post, CASE WHEN length(l) < 3 OR best IS NULL THEN 'unknown' ELSE best END AS language,
+  CASE WHEN length(l) < 3 OR best IS NULL THEN 0e0 ELSE {S.confidence('l')} END AS confidence FROM fw),
+{S.words_cte('clean', 'processed_text')}, {S.valence_cte()}, {S.polarity_cte()}, {S.ENRICHED}
+"""
+
 ORACLE: dict[str, str] = {
     # sources, sinks, state writes
     "scan_posts": "SELECT doc_id, source, n_chars FROM documents WHERE lang = 'en'",
@@ -59,6 +69,28 @@ SELECT id_post, processed, CASE WHEN processed THEN processed_text ELSE '' END A
   CASE WHEN processed THEN final_score END AS final_score FROM enriched""",
     "last_write_wins": """SELECT conv_id, turn, role, text FROM conversations
 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) = 1""",
+    "csv_round_trip": """SELECT doc_id, sha256(text) AS text_sha256,
+  CASE doc_id % 3 WHEN 0 THEN '5" of ' || lang WHEN 1 THEN lang || ', "x"' || chr(10) ELSE lang END AS note,
+  doc_id % 10 = 3 AS surplus FROM documents""",
+    "batch_runs": "WITH " + RUN_POSTS + f"""SELECT id_post, label, type AS type_harcelement, processed_text AS contenu_traite, language AS langue,
+  CAST(confidence AS FLOAT) AS langue_confiance, final_sentiment AS sentiment, CAST(final_score AS FLOAT) AS score FROM enriched WHERE id_post IS NOT NULL""",
+    "batch_counts": """WITH t AS (SELECT (conv_id + turn) % 17 = 0 AS bad, role = 'user' AND length(text) > 0 AS changed FROM conversations),
+c AS (SELECT count(*) AS n, count(*) FILTER (WHERE bad) AS bad, count(*) FILTER (WHERE changed OR bad) AS again,
+  count(*) FILTER (WHERE changed AND NOT bad) AS redone FROM t)
+SELECT 0 AS round, 'clean' AS run, n AS pending, n - bad AS written, NULL::BIGINT AS indexed, bad AS failed FROM c
+UNION ALL SELECT 0, 'enrich', n - bad, n - bad, NULL, 0 FROM c UNION ALL SELECT 0, 'index', NULL, NULL, n - bad, 0 FROM c
+UNION ALL SELECT 1, 'clean', again, redone, NULL, bad FROM c UNION ALL SELECT 1, 'enrich', redone, redone, NULL, 0 FROM c
+UNION ALL SELECT 1, 'index', NULL, NULL, n - bad, 0 FROM c""",
+    "batch_quarantine": """SELECT NULL::VARCHAR AS id, 'clean:missing_id' AS reason, 2 * count(*) AS n FROM conversations
+WHERE (conv_id + turn) % 17 = 0 HAVING count(*) > 0""",
+    "user_scorer": """SELECT conv_id, turn, CASE WHEN role <> 'assistant' THEN 2 * (length(text) - length(replace(text, '!', '')))
+  + length(text) - length(replace(text, '?', '')) END AS loudness, CASE WHEN role = 'assistant' THEN 'loudness:ValueError' END AS reason
+FROM conversations""",
+    "language_accuracy": f"""WITH training AS (SELECT * FROM documents WHERE doc_id % 5 <> 0),
+held AS (SELECT CAST(doc_id AS VARCHAR) AS id_post, text, lang FROM documents WHERE doc_id % 5 = 0),
+{S.profile_cte('training', 'text', 'lang')}, {S.detect_cte('held', 'text')}, g AS (SELECT lang, language, count(*) AS n
+  FROM held JOIN detected USING (id_post) GROUP BY lang, language)
+SELECT *, CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY lang) AS DOUBLE) AS share FROM g""",
     "quarantine": CHECKED + f"SELECT page_id AS id, reason, {PREVIEW} AS preview FROM checked WHERE reason IS NOT NULL",
     "index_accounting": CHECKED + """SELECT count(*) FILTER (WHERE reason IS NULL) AS indexed,
   count(*) FILTER (WHERE reason IS NOT NULL) AS failed FROM checked""",
@@ -195,3 +227,4 @@ SELECT count(*) AS loaded, count(*) FILTER (WHERE a) AS with_text, count(*) FILT
 ORACLE["remove_stopwords_table"] = ORACLE["remove_stopwords"]
 ORACLE["detect_language_joined"] = ORACLE["detect_language"]
 ORACLE["valence_scores_joined"] = ORACLE["valence_scores"]
+ORACLE["merge_updates"] = ORACLE["last_write_wins_rows"] = ORACLE["last_write_wins"]

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from checks import tables as B
 from postlens.functions import lookup, numbers, text as X, time
 from postlens.functions.wordlists import STOP_WORDS
-from postlens.operators import clean, docs, enrich, ingest, language, lemma, report, sentiment, state
-from postlens.sources import csv, store
+from postlens.operators import clean, docs, enrich, ingest, language, lemma, report, scorer, sentiment, state
+from postlens.plans import jobs
+from postlens.sources import csv, manifest, store
 from postlens.streaming import incremental
 
 RUN_TS = datetime(2024, 6, 1, 12, 0, 0)
@@ -130,9 +131,128 @@ def upsert_nlp(spark, sf):
 
 @query
 def last_write_wins(spark, sf):
+    return state.latest_rows(B.table(spark, sf, "conversations"), "conv_id", ["turn"])
+
+
+@query
+def last_write_wins_rows(spark, sf):
+    """The same for rows that are not read from files."""
     return state.last_write_wins(B.table(spark, sf, "conversations"), "conv_id", ["turn"])
 
 
+@query
+def merge_updates(spark, sf):
+    """Turns put into a table of buckets in three merges, the last ones first; each rewrites the buckets it touches."""
+    root, rows = incremental.shared_folder(spark), B.table(spark, sf, "conversations")
+    for k in (2, 0, 1):
+        manifest.merge(rows.where(F.col("turn") % 3 == k), root, "turns", "conv_id", ["turn"], state.latest_rows, 8)
+    return manifest.table(spark, root, "turns")
+
+
+@query
+def csv_round_trip(spark, sf):
+    """Documents written as CSV with quotes in bare fields, line breaks in quoted ones and surplus fields, and read again."""
+    text, lang, key = F.replace("text", F.lit('"'), F.lit('""')), F.col("lang"), F.col("doc_id")
+    note = (
+        F.when(key % 3 == 0, F.concat(F.lit('5" of '), lang)).when(key % 3 == 1, F.concat(F.lit('"'), lang, F.lit(', ""x""\n"')))
+        .otherwise(lang)
+    )
+    surplus = F.when(key % 10 == 3, ',more,"a,\nb"').otherwise("")
+    line = F.concat(key, F.lit(',"'), text, F.lit('",'), note, surplus)
+    # The first row of a partition brings the header of its file.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    lines = B.documents(spark, sf, "doc_id", "text", "lang").select(F.when(first, F.concat(F.lit("doc_id,text,note\n"), line)).otherwise(line))
+    folder = incremental.shared_folder(spark)
+    lines.write.text(folder)
+    rows = csv.read_csv(spark, folder)
+    return rows.select(
+        F.col("doc_id").cast("long"), F.sha2("text", 256).alias("text_sha256"), "note", F.col(csv.CORRUPT).isNotNull().alias("surplus")
+    )
+
+
+# --- runs -----------------------------------------------------------------------
+
+
+def turn_posts(spark, sf) -> DataFrame:
+    """Turns as posts with an id of their own; every 17th has none."""
+    key = F.concat_ws("-", "conv_id", "turn")
+    rows = B.spread(B.table(spark, sf, "conversations"))
+    return rows.select(
+        F.when((F.col("conv_id") + F.col("turn")) % 17 > 0, key).alias("id_post"), "text", F.col("role").alias("label"),
+        F.concat(F.lit("turn "), F.col("turn") % 3).alias("type"),
+    )
+
+
+RUNS: dict[tuple[str, str], tuple[str, list]] = {}
+
+
+def run_store(spark, sf) -> tuple[str, list]:
+    """A store after two rounds of cleaning, enriching and indexing, a part of the posts changed between them; and the counts of the runs."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key in RUNS:
+        return RUNS[key]
+    root, posts, counts = incremental.shared_folder(spark), turn_posts(spark, sf), []
+    shorter = F.substring("text", F.lit(1), (F.length("text") / 2).cast("int"))
+    rounds = [posts.withColumn("text", F.when(F.col("label") == "user", shorter).otherwise(F.col("text"))), posts]
+    for rows in rounds:
+        store.publish(rows, root, name=jobs.POSTS)
+        counts.append(("clean", jobs.clean_run(spark, root, RUN_TS)))
+        counts.append(("enrich", jobs.enrich_run(spark, root, B.lexicon(spark), run_ts=RUN_TS)))
+        counts.append(("index", jobs.index_run(spark, root)))
+    RUNS[key] = root, counts
+    return RUNS[key]
+
+
+@query
+def batch_runs(spark, sf):
+    """The index after posts changed under their ids: each has the results of its newest text."""
+    return jobs.index_docs(spark, run_store(spark, sf)[0]).select(
+        "id_post", "label", "type_harcelement", "contenu_traite", "langue", "langue_confiance", "sentiment", "score"
+    )
+
+
+@query
+def batch_counts(spark, sf):
+    """What the runs counted while they wrote."""
+    rows = [
+        (k // 3, name, c.get("pending"), c.get("written"), c.get("indexed"), c["failed"])
+        for k, (name, c) in enumerate(run_store(spark, sf)[1])
+    ]
+    return spark.createDataFrame(rows, "round int, run string, pending long, written long, indexed long, failed long")
+
+
+@query
+def batch_quarantine(spark, sf):
+    rows = jobs.quarantine(spark, run_store(spark, sf)[0])
+    return rows.groupBy("id", "reason").agg(F.count("*").alias("n"))
+
+
+@query
+def user_scorer(spark, sf):
+    """A scorer of the user's own over Arrow batches, which fails for some rows: all rows stay, failures have a reason."""
+
+    def shouting(batch):
+        import pyarrow.compute as pc
+
+        if pc.any(pc.equal(pc.struct_field(batch.to_struct_array(), [0]), "assistant")).as_py():
+            raise ValueError("not for assistants")
+        marks = pc.count_substring(batch.column(1), "!")
+        return pc.add(pc.multiply(marks, 2), pc.count_substring(batch.column(1), "?"))
+
+    rows = B.spread(B.table(spark, sf, "conversations"))
+    found = rows.transform(scorer.scoring(shouting, "long", "loudness", ["role", "text"]))
+    return found.select("conv_id", "turn", "loudness", F.col(scorer.REASON).alias("reason"))
+
+
+@query
+def language_accuracy(spark, sf):
+    """How held-out documents are told apart by profiles of the others: rows of language and verdict."""
+    rows = B.spread(B.table(spark, sf, "documents").select("doc_id", "text", "lang"))
+    held = F.col("doc_id") % 5 == 0
+    trained = stored(language.train_language_profiles(rows.where(~held)))
+    return language.language_accuracy(rows.where(held), trained)
+
+
 def checked_pages(spark, sf):
     return docs.check_docs(B.raw_pages(spark, sf), "page_id", {"score": "double"})
 
@@ -615,7 +735,9 @@ def dash_cube(spark, sf):
 
 @query
 def ingest_accounting(spark, sf):
-    return ingest.ingest_accounting(B.turns(spark, sf))
+    raw = B.turns(spark, sf)
+    named = raw.select("text", F.col("id_post").alias("label"), F.col("id_post").alias("type"))
+    return ingest.ingest_accounting(raw, ingest.make_posts(named, RUN_TS))
 
 
 # --- streams ------------------------------------------------------------------
@@ -625,7 +747,7 @@ def ingest_accounting(spark, sf):
 def incremental_clean(spark, sf):
     folder = incremental.shared_folder(spark)
     schema = B.table(spark, sf, "documents").schema
-    incremental.incremental_clean(spark, f"{sf}/documents.parque[t]", schema, f"{folder}/out", f"{folder}/checkpoint")
+    incremental.incremental_clean(spark, f"{sf}/documents.parque[t]", schema, f"{folder}/out", f"{folder}/checkpoint", key="doc_id")
     rows = incremental.read_results(spark, f"{folder}/out", "doc_id")
     return rows.select("doc_id", "processed_text", *long("word_count"))
 

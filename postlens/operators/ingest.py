@@ -83,12 +83,26 @@ def duplicate_ids(df: DataFrame, key: str = "id_post") -> DataFrame:
     return df.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
 
 
-def ingest_accounting(df: DataFrame, text: str = "text") -> DataFrame:
-    """One row with the number of rows loaded, with a text, with a non-blank text, and created."""
-    c = F.col(text).cast("string")
-    return df.agg(
-        F.count("*").alias("loaded"),
-        F.count_if(c.isNotNull()).alias("with_text"),
-        F.count_if(has_text(c)).alias("after_cleaning"),
-        F.count_if(has_text(c)).alias("created"),
-    )
+class DuplicateIds(ValueError):
+    """Posts share an id."""
+
+
+def require_unique(df: DataFrame, key: str = "id_post") -> DataFrame:
+    """``df`` itself if no key occurs twice; only the key is read."""
+    found = duplicate_ids(df.select(key), key).limit(5).collect()
+    if found:
+        raise DuplicateIds(", ".join(f"{r[key]} ({r['n']})" for r in found))
+    return df
+
+
+def loaded_counts(text: Column) -> list[Column]:
+    """What an observer of the raw rows counts."""
+    c = text.cast("string")
+    return [
+        F.count(F.lit(1)).alias("loaded"), F.count_if(c.isNotNull()).alias("with_text"), F.count_if(has_text(c)).alias("after_cleaning"),
+    ]
+
+
+def ingest_accounting(raw: DataFrame, posts: DataFrame, text: str = "text") -> DataFrame:
+    """One row with the number of rows loaded, with a text, with a non-blank text, and of ``posts`` made of them."""
+    return raw.agg(*loaded_counts(F.col(text))).join(posts.agg(F.count("*").alias("created")))

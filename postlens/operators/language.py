@@ -184,6 +184,19 @@ def _best_by_join(df: DataFrame, profiles: DataFrame) -> DataFrame:
     )
 
 
+def language_accuracy(
+    df: DataFrame, profiles: DataFrame, text: str = "text", lang: str = "lang", max_keys: int = lookup.MAX_KEYS
+) -> DataFrame:
+    """``(lang, language, n, share)``: how many texts of each known language get each verdict, and what part of the language's.
+
+    A language's accuracy is its share where both are the same.
+    """
+    found = detect_language(df.where(F.col(lang).isNotNull()), profiles, text, max_keys=max_keys)
+    counts = found.groupBy(F.col(lang).alias("lang"), F.col("language_detection.language").alias("language")).agg(F.count("*").alias("n"))
+    # One row for each pair of languages is left.
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("lang")))
+
+
 def detect_language_words(df: DataFrame, text: str = "original_text", out: str = "language_detection") -> DataFrame:
     """Add the struct ``out`` by the share of function words; needs no profile."""
     langs = sorted(LANGUAGE_WORDS)

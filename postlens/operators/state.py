@@ -35,6 +35,20 @@ def not_done(source: DataFrame, done: DataFrame, key: str = "id_post") -> DataFr
     return source.join(done.select(key), key, "left_anti")
 
 
+def content_digest(text: Column) -> Column:
+    """What tells whether a text changed; a null has one, too."""
+    return F.sha2(F.coalesce(F.concat(F.lit("t"), text), F.lit("")), 256)
+
+
+def changed(source: DataFrame, done: DataFrame, key: str = "id_post", digest: str = "content_digest") -> DataFrame:
+    """Rows of ``source`` whose key is not in ``done``, or is there with another digest; rows without a key too.
+
+    ``done`` holds each key once, as ``latest_rows`` gives it; only the two columns are read.
+    """
+    known = done.select(F.col(key).alias("_key"), F.col(digest).alias("_digest"))
+    return source.join(known, (F.col(key) == F.col("_key")) & (F.col(digest) == F.col("_digest")), "left_anti")
+
+
 def _stamp(run_ts: datetime | Column | None) -> Column:
     return (F.current_timestamp() if run_ts is None else run_ts if isinstance(run_ts, Column) else F.lit(run_ts)).cast(
         "timestamp"
@@ -86,3 +100,24 @@ def last_write_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     values = [c for c in df.columns if c != key]
     rank = F.struct(*order, *[c for c in values if c not in order])
     return df.groupBy(key).agg(F.max(rank).alias("_row")).select(key, *[F.col(f"_row.{c}").alias(c) for c in values])
+
+
+FEW = 1_000_000  # places of replaced rows that are broadcast, about 100 bytes each
+
+
+def latest_rows(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The rows of stored files that no row with the same key comes after.
+
+    ``df`` reads Parquet files, unchanged. Of equal rows in ``order`` the one in the later
+    file, then further down in it, counts. The winner is found from the key, ``order`` and the place of a row, so texts are
+    not sorted, and if few rows were replaced, not shuffled either. Rows without a key are all kept.
+    """
+    place = ["_file", "_row"]
+    placed = df.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    keys = placed.where(F.col(key).isNotNull()).select(key, F.struct(*order, *place).alias("_at"))
+    several = keys.groupBy(key).agg(F.max("_at").alias("_last"), F.count("*").alias("_n")).where("_n > 1")
+    replaced = keys.join(several, key).where("_at <> _last").select("_at._file", "_at._row")
+    n = replaced.count()
+    if not n:
+        return placed.drop(*place)
+    return placed.join(F.broadcast(replaced) if n <= FEW else replaced, place, "left_anti").drop(*place)

@@ -1,23 +1,21 @@
 """Tables on shared storage: scans, full-refresh publishing, checks and statistics.
 
-A published table is a folder of immutable versions plus a small pointer file
-that names the current one. A refresh writes a new version and then moves the
-pointer, so readers never see a half-written table and a failed refresh leaves
-the old one in place.
+A published table is a store with one table (see ``manifest``): a refresh writes a
+new version and then commits it, so readers never see a half-written table and
+a failed refresh leaves the old one in place.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postlens.functions.numbers import exact_round
 from postlens.schema import INDEX_SCHEMA, schema_differences
+from postlens.sources import manifest
 
-POINTER = "CURRENT"
+TABLE = "table"
 
 
 class EmptyTable(ValueError):
@@ -34,22 +32,15 @@ def scan(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructT
     return (reader.schema(schema) if schema else reader).load(path)
 
 
-def _path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, root: str) -> bool:
+def exists(spark: SparkSession, root: str, name: str = TABLE) -> bool:
     """True if a published table is at ``root``."""
-    pointer, fs = _path(spark, f"{root}/{POINTER}")
-    return fs.exists(pointer)
+    return bool(manifest.read(spark, root).tables.get(name))
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
+def current_version(spark: SparkSession, root: str, name: str = TABLE) -> str | None:
     """Folder of the current version, or None."""
-    if not exists(spark, root):
-        return None
-    return f"{root}/{spark.read.text(f'{root}/{POINTER}').first()['value'].strip()}"
+    folders = manifest.read(spark, root).tables.get(name)
+    return f"{root}/{folders[0]}" if folders else None
 
 
 def publish(
@@ -58,33 +49,26 @@ def publish(
     partition_by: list[str] | None = None,
     sort_by: list[str] | None = None,
     allow_empty: bool = False,
+    name: str = TABLE,
 ) -> str:
     """Replace the table at ``root`` by ``df`` and return the new version's folder.
 
     ``sort_by`` orders the rows inside each file, so that the row-group
-    statistics of these columns can skip data.
+    statistics of these columns can skip data. ``manifest.remove_old`` deletes earlier versions.
     """
     spark = df.sparkSession
-    version = f"version-{uuid.uuid4().hex}"
-    rows = df.sortWithinPartitions(*sort_by) if sort_by else df
-    writer = rows.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{root}/{version}")
-    if not allow_empty and spark.read.parquet(f"{root}/{version}").isEmpty():
+    folder = manifest.write(df.sortWithinPartitions(*sort_by) if sort_by else df, root, name, partition_by)
+    if not allow_empty and spark.read.parquet(f"{root}/{folder}").isEmpty():
         raise EmptyTable(root)
-    pointer, fs = _path(spark, f"{root}/{POINTER}")
-    stream = fs.create(pointer, True)
-    stream.write(bytearray(f"{version}\n".encode()))
-    stream.close()
-    return f"{root}/{version}"
+    manifest.commit(spark, root, lambda tables: {**tables, name: [folder]})
+    return f"{root}/{folder}"
 
 
-def read_published(spark: SparkSession, root: str) -> DataFrame:
-    folder = current_version(spark, root)
-    if folder is None:
+def read_published(spark: SparkSession, root: str, name: str = TABLE) -> DataFrame:
+    found = manifest.table(spark, root, name)
+    if found is None:
         raise FileNotFoundError(root)
-    return spark.read.parquet(folder)
+    return found
 
 
 def publish_posts(df: DataFrame, root: str) -> str:

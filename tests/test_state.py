@@ -59,6 +59,29 @@ def test_last_write_wins(spark):
     assert "partial_max" in shown and "Window" not in shown
 
 
+def test_latest_rows(spark, tmp_path):
+    rows = [("hot", i % 50, f"v{i}") for i in range(200)] + [("a", 1, "x"), ("b", None, "n"), (None, 1, "p"), (None, 1, "q")]
+    for part in (rows[:100], rows[100:]):
+        spark.createDataFrame(part, "id_post string, version int, v string").coalesce(1).write.mode("append").parquet(str(tmp_path))
+    df = spark.read.parquet(str(tmp_path))
+    found = state.latest_rows(df, "id_post", ["version"])
+    got = [(r.id_post, r.v) for r in found.collect()]
+    assert len(got) == 5 and dict(got)["hot"] in {"v49", "v99", "v149", "v199"} and {v for k, v in got if k is None} == {"p", "q"}
+    shown = plan(found)
+    # The rows meet only a small list of places; what is grouped and sorted are keys without the other columns.
+    assert shown.count("BroadcastHashJoin [_file") == 1
+    assert all("v#" not in line for line in shown.splitlines() if "Exchange" in line or "SortAggregate" in line)
+    assert state.latest_rows(df.where("id_post = 'a'"), "id_post", ["version"]).count() == 1
+
+
+def test_changed(spark):
+    source = spark.createDataFrame([("1", "x"), ("2", "y"), ("3", "z"), (None, "w")], "id_post string, content_digest string")
+    done = spark.createDataFrame([("1", "x"), ("2", "old"), (None, "w")], "id_post string, content_digest string")
+    assert {r[0] for r in state.changed(source, done).collect()} == {"2", "3", None}
+    kinds = spark.createDataFrame([("a",), ("",), (None,), ("t",)], "t string").select(state.content_digest(F.col("t")))
+    assert kinds.distinct().count() == 4
+
+
 def test_resets(spark, texts):
     posts = texts(["good day"]).withColumn("processed", F.lit(False))
     run = datetime(2024, 1, 1)
