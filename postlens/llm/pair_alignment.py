@@ -37,7 +37,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,16 +45,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm.bpe import Recent, byte_letters
+from postlens.llm.bpe import byte_letters
 from postlens.llm.common import Scratch, stored
 
 BUCKETS = 128
 FAN = 16
 HELD = 1 << 21  # pairs that a task holds before it hands them on
 BROADCAST = 1 << 22  # pairs of a table that is sent to every task, 26 bytes each there
-BLOCK = 1 << 21  # characters of texts that are aligned together, if a text is no longer
+BLOCK = 1 << 22  # characters of texts that are aligned together, if a text is no longer
 GAMMA = 2  # bits of a level for each pair that is left
 LONG = 64  # characters of a piece that is not remembered
+REMEMBERED = 400_000  # pieces after which those before are let go, unless they come again
 # A single space between these is a border of tokens: a token of A that holds it starts with it, as does one of B.
 SOLID = "!-~À-ɏ"
 BORDER = re.compile(f"(?<=[{SOLID}]) (?=[{SOLID}])")
@@ -67,9 +68,9 @@ UNSTABLE = re.compile("[^\0-\u024f]|[\x1c-\x1f\x85]")
 # --- alignment ---------------------------------------------------------------------
 
 
-# What a piece of a text holds: tokens of A and of B, groups, the groups written out, and of each link the pair in 8 bytes.
-Piece = tuple[int, int, int, str, bytes]
-NOTHING: Piece = (0, 0, 0, "", b"")
+# What a piece of a text holds: tokens of A and of B, groups, the groups written out, of each link the pair in 8 bytes;
+# whether there may be borders at its ends, and whether both vocabularies give it back.
+Piece = tuple[int, int, int, str, bytes, bool, bool]
 
 
 def solid(piece: str) -> bool:
@@ -104,7 +105,8 @@ class Aligner:
         byte_level = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not spec["normalizer"]
         self.cuts = byte_level and not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in pieces)
         self.fast = same_by_ranks(spec["model"], self.a_bytes) if byte_level else None
-        self.memory = Recent()
+        self.now: dict[str, Piece] = {}
+        self.old: dict[str, Piece] = {}
 
     def encode_a(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of A of all pieces with a space before them, and how many each has."""
@@ -120,8 +122,8 @@ class Aligner:
             found = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(found), "i4"), np.fromiter(map(len, found), "i8", len(found))
 
-    def learn(self, pieces: list[str]) -> list[Piece | None]:
-        """What each piece with a space before it holds; None if a vocabulary does not give it back."""
+    def learn(self, pieces: list[str]) -> list[Piece]:
+        """What each piece with a space before it holds."""
         if not pieces:
             return []
         b_ids = self.b.encode(pieces, num_threads=1)
@@ -138,12 +140,12 @@ class Aligner:
             if len(pieces) > 1:  # one of them, at least: look at each half
                 half = len(pieces) // 2
                 return self.learn(pieces[:half]) + self.learn(pieces[half:])
-            return [None]
+            return [(0, 0, 0, "", b"", solid(pieces[0]), False)]
         found = Aligned(self, a, b, n_a, n_b)
         ends = 8 * np.cumsum(found.n_links)
         pairs = found.pair.tobytes()
         cut = [pairs[x:y] for x, y in zip([0, *ends.tolist()], ends.tolist())]
-        return list(zip(n_a.tolist(), n_b.tolist(), found.n_groups.tolist(), found.groups(), cut))
+        return list(zip(n_a.tolist(), n_b.tolist(), found.n_groups.tolist(), found.groups(), cut, map(solid, pieces), repeat(True)))
 
     def read(self, texts: list[str | None]) -> Block:
         # The many small tuples here hold no cycles; looking for some takes a third of the time.
@@ -156,26 +158,38 @@ class Aligner:
                 gc.enable()
 
     def _read(self, texts: list[str | None]) -> Block:
-        self.memory.turn()
+        if len(self.now) > REMEMBERED:
+            self.old, self.now = self.now, {}
         cut = [(t.split(" ") if self.cuts else [t]) if t else [] for t in texts]
         distinct = dict.fromkeys(chain.from_iterable(cut))
-        if self.cuts and (odd := {p for p in distinct if not (p and p[0] in SOLIDS and p[-1] in SOLIDS)}):
+        found = self.known(distinct)
+        if self.cuts and (odd := {p for p, f in zip(distinct, found) if not (f[5] if f else solid(p))}):
             cut = [c if odd.isdisjoint(c) else BORDER.split(t) for c, t in zip(cut, texts)]
             distinct = dict.fromkeys(chain.from_iterable(cut))
-        known = self.memory.now
-        new = list(self.memory.missing(distinct))
-        plain = [p for p in new if solid(p) and not UNSTABLE.search(p)]
-        other = [p for p in new if not (solid(p) and not UNSTABLE.search(p))]
-        for some in (plain, other):
-            known.update(zip(some, self.learn(some)))
+            found = self.known(distinct)
+        if new := [p for p, f in zip(distinct, found) if f is None]:
+            if UNSTABLE.search(" ".join(new)) or not all(map(solid, new)):
+                plain = [p for p in new if solid(p) and not UNSTABLE.search(p)]
+                kept = set(plain)
+                parts = plain, [p for p in new if p not in kept]
+            else:
+                parts = (new,)
+            learnt = {p: piece for some in parts for p, piece in zip(some, self.learn(some))}
+            found = [f or learnt[p] for p, f in zip(distinct, found)]
+            self.now.update(learnt if max(map(len, new)) <= LONG else {p: f for p, f in learnt.items() if len(p) <= LONG})
         numbers = dict(zip(distinct, range(len(distinct))))
         sizes = [len(c) for c in cut]
         flat = np.fromiter(map(numbers.__getitem__, chain.from_iterable(cut)), "i8", sum(sizes))
-        block = Block([known[p] for p in distinct], flat, np.array(sizes, "i8"))
-        for p in new:
-            if len(p) > LONG:
-                del known[p]
-        return block
+        return Block(found, flat, np.array(sizes, "i8"))
+
+    def known(self, pieces) -> list[Piece | None]:
+        found = list(map(self.now.get, pieces))
+        if self.old:
+            old = self.old.get
+            for k, (p, f) in enumerate(zip(pieces, found)):
+                if f is None and (f := old(p)) is not None:
+                    found[k] = self.now[p] = f
+        return found
 
 
 def same_by_ranks(model: dict, a_bytes: list[bytes]):
@@ -226,16 +240,14 @@ class Aligned:
 class Block:
     """Some texts, each as the numbers of its pieces."""
 
-    def __init__(self, pieces: list[Piece | None], piece: np.ndarray, sizes: np.ndarray):
+    def __init__(self, pieces: list[Piece], piece: np.ndarray, sizes: np.ndarray):
         self.n = len(sizes)
         doc = np.repeat(np.arange(self.n), sizes)
-        if None in pieces:  # a text with such a piece has no tokens
-            lost = np.array([p is None for p in pieces])
-            keep = np.bincount(doc, lost[piece], self.n) == 0
+        *counts, self.written, pairs, _, given = zip(*pieces) if pieces else ((),) * 7
+        if not all(given):  # a text with such a piece has no tokens
+            keep = np.bincount(doc, ~np.array(given)[piece], self.n) == 0
             piece, doc, sizes = piece[keep[doc]], doc[keep[doc]], sizes * keep
-            pieces = [p or NOTHING for p in pieces]
         self.piece, self.doc, self.sizes = piece, doc, sizes
-        *counts, self.written, pairs = zip(*pieces) if pieces else ((),) * 5
         self.pair = np.frombuffer(b"".join(pairs), "i8")
         self.links = np.fromiter(map(len, pairs), "i8", len(pairs)) // 8
         self.at = np.cumsum(self.links) - self.links
