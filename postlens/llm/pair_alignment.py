@@ -36,7 +36,9 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
+from functools import cached_property
 from itertools import chain, repeat
 
 import numpy as np
@@ -52,10 +54,10 @@ BUCKETS = 128
 FAN = 16
 HELD = 1 << 21  # pairs that a task holds before it hands them on
 BROADCAST = 1 << 22  # pairs of a table that is sent to every task, 26 bytes each there
-BLOCK = 1 << 22  # characters of texts that are aligned together, if a text is no longer
+BLOCK = 1 << 21  # characters of texts that are aligned together, if a text is no longer
 GAMMA = 2  # bits of a level for each pair that is left
 LONG = 64  # characters of a piece that is not remembered
-REMEMBERED = 400_000  # pieces after which those before are let go, unless they come again
+REMEMBERED = 250_000  # pieces after which those before are let go, unless they come again
 # A single space between these is a border of tokens: a token of A that holds it starts with it, as does one of B.
 SOLID = "!-~À-ɏ"
 BORDER = re.compile(f"(?<=[{SOLID}]) (?=[{SOLID}])")
@@ -68,9 +70,11 @@ UNSTABLE = re.compile("[^\0-\u024f]|[\x1c-\x1f\x85]")
 # --- alignment ---------------------------------------------------------------------
 
 
-# What a piece of a text holds: tokens of A and of B, groups, the groups written out, of each link the pair in 8 bytes;
-# whether there may be borders at its ends, and whether both vocabularies give it back.
-Piece = tuple[int, int, int, str, bytes, bool, bool]
+# What a piece of a text holds: tokens of A and of B, groups, links, links of highest count, the sum of counts; the groups
+# written out, of each link the pair in 8 bytes; whether there may be borders at its ends, and whether both
+# vocabularies give it back. What an aligner is not asked for is left empty.
+Piece = tuple[int, int, int, int, int, int, str, bytes, bool, bool]
+Scores = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def solid(piece: str) -> bool:
@@ -78,18 +82,20 @@ def solid(piece: str) -> bool:
 
 
 class Aligner:
-    """Two vocabularies, given as the contents of their files."""
+    """Two vocabularies, given as the contents of their files.
 
-    def __init__(self, a_source: str, b_source: bytes):
+    ``written``: groups are written out. ``scores`` gives for pairs whether their count is the highest, and their count; it
+    takes the place of the pairs themselves.
+    """
+
+    def __init__(self, a_source: str, b_source: bytes, written: bool = True, scores: Scores | None = None):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a, self.b = Tokenizer.from_str(a_source), sentencepiece.SentencePieceProcessor(model_proto=b_source)
-        self.a.encode_special_tokens = True
+        self.a_source, self.b = a_source, sentencepiece.SentencePieceProcessor(model_proto=b_source)
+        self.scores, self.writes = scores, written
         spec = json.loads(a_source)
         byte_of = {c: k for k, c in enumerate(byte_letters())}
-        self.a_bytes = [b""] * (1 + max(self.a.get_vocab().values()))
+        self.a_bytes = [b""] * (1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]))
         for token, i in spec["model"]["vocab"].items():
             self.a_bytes[i] = bytes(byte_of[c] for c in token)
         pieces = range(self.b.vocab_size())
@@ -108,6 +114,16 @@ class Aligner:
         self.now: dict[str, Piece] = {}
         self.old: dict[str, Piece] = {}
 
+    @cached_property
+    def a(self):
+        """The library's own encoder; most texts do without it."""
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        found = Tokenizer.from_str(self.a_source)
+        found.encode_special_tokens = True
+        return found
+
     def encode_a(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of A of all pieces with a space before them, and how many each has."""
         spaced = [" " + p for p in pieces]
@@ -140,12 +156,18 @@ class Aligner:
             if len(pieces) > 1:  # one of them, at least: look at each half
                 half = len(pieces) // 2
                 return self.learn(pieces[:half]) + self.learn(pieces[half:])
-            return [(0, 0, 0, "", b"", solid(pieces[0]), False)]
+            return [(0, 0, 0, 0, 0, 0, "", b"", solid(pieces[0]), False)]
         found = Aligned(self, a, b, n_a, n_b)
-        ends = 8 * np.cumsum(found.n_links)
-        pairs = found.pair.tobytes()
-        cut = [pairs[x:y] for x, y in zip([0, *ends.tolist()], ends.tolist())]
-        return list(zip(n_a.tolist(), n_b.tolist(), found.n_groups.tolist(), found.groups(), cut, map(solid, pieces), repeat(True)))
+        numbers = [n.tolist() for n in (n_a, n_b, found.n_groups, found.n_links)]
+        if self.scores:
+            link = np.repeat(of, found.n_links)
+            numbers += [np.bincount(link, v, len(of)).astype("i8").tolist() for v in self.scores(found.pair)]
+            pairs = repeat(b"")
+        else:
+            ends, data = 8 * np.cumsum(found.n_links), found.pair.tobytes()
+            numbers += [repeat(0)] * 2
+            pairs = [data[x:y] for x, y in zip([0, *ends.tolist()], ends.tolist())]
+        return list(zip(*numbers, found.groups() if self.writes else repeat(""), pairs, map(solid, pieces), repeat(True)))
 
     def read(self, texts: list[str | None]) -> Block:
         # The many small tuples here hold no cycles; looking for some takes a third of the time.
@@ -163,7 +185,7 @@ class Aligner:
         cut = [(t.split(" ") if self.cuts else [t]) if t else [] for t in texts]
         distinct = dict.fromkeys(chain.from_iterable(cut))
         found = self.known(distinct)
-        if self.cuts and (odd := {p for p, f in zip(distinct, found) if not (f[5] if f else solid(p))}):
+        if self.cuts and (odd := {p for p, f in zip(distinct, found) if not (f[8] if f else solid(p))}):
             cut = [c if odd.isdisjoint(c) else BORDER.split(t) for c, t in zip(cut, texts)]
             distinct = dict.fromkeys(chain.from_iterable(cut))
             found = self.known(distinct)
@@ -243,7 +265,7 @@ class Block:
     def __init__(self, pieces: list[Piece], piece: np.ndarray, sizes: np.ndarray):
         self.n = len(sizes)
         doc = np.repeat(np.arange(self.n), sizes)
-        *counts, self.written, pairs, _, given = zip(*pieces) if pieces else ((),) * 7
+        *counts, self.written, pairs, _, given = zip(*pieces) if pieces else ((),) * 10
         if not all(given):  # a text with such a piece has no tokens
             keep = np.bincount(doc, ~np.array(given)[piece], self.n) == 0
             piece, doc, sizes = piece[keep[doc]], doc[keep[doc]], sizes * keep
@@ -251,16 +273,13 @@ class Block:
         self.pair = np.frombuffer(b"".join(pairs), "i8")
         self.links = np.fromiter(map(len, pairs), "i8", len(pairs)) // 8
         self.at = np.cumsum(self.links) - self.links
-        self.n_a, self.n_b, self.n_groups, self.n_links = (self.summed(np.array(c, "i8")) for c in (*counts, self.links))
+        sums = [self.summed(np.array(c, "i8")) for c in counts]
+        self.n_a, self.n_b, self.n_groups, self.n_links, self.n_best, self.count_sum = sums
 
     def summed(self, values: np.ndarray) -> np.ndarray:
         """For each text the sum of its pieces' values; exact up to 2^53."""
         return np.bincount(self.doc, values[self.piece], self.n).astype("i8") if len(self.piece) else np.zeros(self.n, "i8")
 
-    def over_links(self, values: np.ndarray) -> np.ndarray:
-        """For each piece the sum of its links' values."""
-        return np.bincount(np.repeat(np.arange(len(self.links)), self.links), values, len(self.links))
-
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The distinct pairs; then for each document and pair in it: the document, the pair's number, its links."""
         pairs, of = np.unique(self.pair, return_inverse=True)
@@ -282,13 +301,12 @@ class Block:
 _LOADED: dict[str, Aligner] = {}
 
 
-def loaded(a_source: str, b_source: bytes) -> Aligner:
-    """One aligner for all tasks of a Python worker."""
-    key = hashlib.sha256(a_source.encode() + b_source).hexdigest()
-    if key not in _LOADED:
+def loaded(stage: str, a_source: str, b_source: bytes, written: bool = True, scores: Callable[[], Scores] | None = None) -> Aligner:
+    """One aligner for all tasks of a stage in a Python worker."""
+    if stage not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = Aligner(a_source, b_source)
-    return _LOADED[key]
+        _LOADED[stage] = Aligner(a_source, b_source, written, scores and scores())
+    return _LOADED[stage]
 
 
 def vocabularies(spark: SparkSession, a_path: str, b_path: str):
@@ -389,8 +407,10 @@ def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def pairs_of_tasks(docs: DataFrame, files, text_col: str) -> DataFrame:
     """``(bucket, part, keys, counts)``: pairs of a task's documents, sorted, and how many of them hold each."""
 
+    stage = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = loaded(*files.value)
+        aligner = loaded(stage, *files.value, written=False)
         held, size = [], 0
 
         def rows():
@@ -550,7 +570,7 @@ def align(
     best = spark.sparkContext.broadcast(best_of)
     size = table.agg(F.sum(F.octet_length("keys")) / 8).first()[0] or 0
     whole = spark.sparkContext.broadcast([tuple(r) for r in table.collect()]) if size <= broadcast else None
-    kind = docs.schema[id_col].dataType.simpleString()
+    kind, stage = docs.schema[id_col].dataType.simpleString(), uuid.uuid4().hex
     last = "groups_sha256" if digest else "groups"
     names = [id_col, "n_a", "n_b", "n_groups", "n_links", last]
     shown = f"`{id_col}` {kind}, n_a long, n_b long, n_groups long, n_links long, {last} string"
@@ -566,21 +586,29 @@ def align(
     order = [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", last]
     if whole is not None:
 
+        def scores() -> Scores:
+            known, highest = PairTable(whole.value), best.value
+
+            def of(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                counts = known.count(pairs)
+                return counts == highest[pairs >> 32], counts
+
+            return of
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            aligner, known = loaded(*files.value), PairTable(whole.value)
+            aligner = loaded(stage, *files.value, scores=scores)
             for batch in batches:
                 texts = batch.column(1).to_pylist()
                 for a, b in in_blocks(texts):
                     found = aligner.read(texts[a:b])
-                    counts = known.count(found.pair)
-                    sums = [found.summed(found.over_links(v)) for v in (counts == best.value[found.pair >> 32], counts)]
+                    sums = found.n_best, found.count_sum
                     yield pa.RecordBatch.from_arrays(described(batch, a, b, found) + [pa.array(s) for s in sums], names=[*names, "n_best", "count_sum"])
 
         return rows.mapInArrow(run, f"{shown}, {SUMS}").select(*[F.col(f"`{c}`") for c in order])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document, and for each block and bucket a row that asks."""
-        aligner, at = loaded(*files.value), TaskContext.get().partitionId() << 40
+        aligner, at = loaded(stage, *files.value), TaskContext.get().partitionId() << 40
         asked = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
         for batch in batches:
             texts = batch.column(1).to_pylist()
