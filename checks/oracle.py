@@ -148,6 +148,9 @@ SELECT {RESULTS} FROM enriched""",
     "clean_entities": f"""WITH e AS (SELECT CAST(doc_id AS VARCHAR) AS id_post, replace(replace(replace(replace(text, ' the ', ' AT&T; '),
   ' of ', ' &copy of&nbsp;'), ' de ', ' &#x41;&#66;d&eacute; &amp;lt; '), '. ', ' R&D; &fjlig;&notin; &copyx &#9 ') AS text FROM documents)
 SELECT id_post, {S.clean('lower(text)')} AS cleaned_text FROM e""",
+    "abbreviations": f"WITH {S.abbreviation_cte('documents')} SELECT word, round(score, 6) AS score FROM abbr",
+    "sentence_counts": f"""WITH {S.FRAGMENTS}, {S.abbreviation_cte('documents')}, given AS (SELECT CAST(doc_id AS VARCHAR) AS id_post, text FROM documents
+  UNION ALL SELECT 'page-' || page_id, {S.html('text')} FROM fragments), {S.sentence_cte('given')} SELECT * FROM counted""",
     "tokenize": TOKENS + f"SELECT id_post, {S.joined('tokens')} AS tokens FROM toks",
     "remove_stopwords": TOKENS + f"SELECT id_post, {S.joined(S.no_stop('tokens'))} AS tokens FROM toks",
     "lemmatize_rules": TOKENS + f"SELECT id_post, {S.joined(S.lemmas('tokens'))} AS tokens FROM toks",
@@ -185,6 +188,9 @@ SELECT l_orderkey, l_linenumber, {S.exact_round('x')} AS rounded, {S.exact_round
 SELECT id_post, coalesce(polarity, 0e0) AS polarity, coalesce(subjectivity, 0e0) AS subjectivity,
   coalesce(polarity_label, 'neutral') AS polarity_label FROM docs LEFT JOIN polar USING (id_post)""",
     "valence_scores": SCORED + S.valence_cte() + "\n" + VALENCE,
+    "polarity_of_raw_texts": f"""WITH {S.SHOUTED}, {S.words_cte('shouted', 'text', split=S.polarity_words('text'))}, {S.polarity_cte()}
+SELECT id_post, coalesce(polarity, 0e0) AS polarity, coalesce(subjectivity, 0e0) AS subjectivity,
+  coalesce(polarity_label, 'neutral') AS polarity_label FROM shouted LEFT JOIN polar USING (id_post)""",
     "sentiment_labels": f"""WITH x AS (SELECT event_id, value / 100e0 - 0.2e0 AS x FROM events)
 SELECT event_id, {S.polarity_label('x')} AS polarity_label, {S.valence_label('x')} AS valence_label FROM x""",
     "consensus": ENRICHED + "SELECT id_post, final_sentiment, sentiment_confidence, final_score FROM enriched",

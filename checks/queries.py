@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import tables as B
-from postlens.functions import lookup, numbers, text as X, time
+from postlens.functions import emoji, lookup, numbers, text as X, time
 from postlens.functions.wordlists import STOP_WORDS
-from postlens.operators import clean, docs, enrich, ingest, language, lemma, report, scorer, sentiment, state
+from postlens.operators import clean, docs, enrich, ingest, language, lemma, report, scorer, sentences, sentiment, state
 from postlens.plans import jobs
 from postlens.sources import csv, manifest, store
 from postlens.streaming import incremental
@@ -425,7 +425,20 @@ on_documents("strip_punct_digits", X.strip_punct_digits, "stripped")
 on_documents("langid_clean", language.langid_text, "letters")
 on_fragments("strip_html", X.strip_html, "stripped")
 on_fragments("strip_urls", X.strip_urls, "stripped")
-on_fragments("sentence_counts", clean.sentence_count, "sentences")
+
+
+@query
+def abbreviations(spark, sf):
+    return sentences.learn_abbreviations(B.documents(spark, sf, "text")).select("word", F.round("score", 6).alias("score"))
+
+
+@query
+def sentence_counts(spark, sf):
+    """Sentences of web pages and documents without markup, by the abbreviations of the documents."""
+    learnt = stored(sentences.learn_abbreviations(B.documents(spark, sf, "text")))
+    pages = B.fragments(spark, sf).select(F.concat(F.lit("page-"), "page_id").alias("id_post"), X.strip_html(F.col("text")).alias("text"))
+    rows = B.documents(spark, sf, "text").unionByName(pages)
+    return sentences.sentence_count(rows, learnt).select("id_post", *long("sentences"))
 
 
 @query
@@ -630,6 +643,30 @@ def valence_scores_joined(spark, sf):
     )
 
 
+def shouted(c: Column) -> Column:
+    """Raw texts with capitals, marks and a picture, made of words that are there."""
+    for at, given in ((" the ", " THE "), (" de ", " DE! "), (" la ", ' "la", '), (" of ", " st (of)? "), (" to ", " 😊 ")):
+        c = F.replace(c, F.lit(at), F.lit(given))
+    return c
+
+
+@query
+def valence_of_raw_texts(spark, sf):
+    """The single scorer on texts as they are, emoji spelled, capitals and marks included."""
+    rows = B.documents(spark, sf, "text").withColumn("text", shouted(F.col("text")))
+    found = sentiment.valence_scores(rows, B.lexicon(spark), emoji=stored(emoji.emoji_names(spark)))
+    v = "vader_sentiment."
+    return found.select("id_post", v + "compound", v + "positive", v + "neutral", v + "negative", F.col(v + "sentiment_label").alias("valence_label"))
+
+
+@query
+def polarity_of_raw_texts(spark, sf):
+    rows = B.documents(spark, sf, "text").withColumn("text", shouted(F.col("text")))
+    found = sentiment.polarity_scores(rows, B.lexicon(spark))
+    p = "textblob_sentiment."
+    return found.select("id_post", p + "polarity", p + "subjectivity", F.col(p + "sentiment_label").alias("polarity_label"))
+
+
 @query
 def sentiment_labels(spark, sf):
     x = "(value / 100D - 0.2D)"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from html.entities import html5
 
 from checks.tables import LEXICON
+from postlens.functions.text import word_pattern
 from postlens.functions.wordlists import (
     IRREGULAR_NOUNS, LANGUAGE_WORDS, SEARCH_STOP_WORDS, SINGULAR_S, STOP_WORDS,
 )
@@ -188,15 +189,16 @@ LEX = "lex(term, valence, boost, negation, role, polarity, subjectivity, intensi
 ) + ")"
 
 
-def words_cte(source: str, text: str, name: str = "w") -> str:
-    """One row per word of ``source(id_post, text)`` with its lexicon entry and its neighbours'."""
+def words_cte(source: str, text: str, name: str = "w", split: str | None = None) -> str:
+    """One row per word of ``source(id_post, text)`` with its lexicon entry and its neighbours'; ``split`` gives the words of a text."""
+    split = split or f"string_split({text}, ' ')"
     look = ", ".join(
         f"lag({c}, {d}) OVER o AS {c}{d}"
         for c in ("valence", "boost", "negation", "role", "polarity", "intensity", "modifier", "negator")
         for d in (1, 2, 3)
     )
     return f"""{LEX},
-{name}s AS (SELECT id_post, string_split({text}, ' ') AS ws FROM {source} WHERE {text} <> ''),
+{name}s AS (SELECT id_post, {split} AS ws FROM {source} WHERE {text} <> ''),
 {name}t AS (SELECT id_post, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM {name}s),
 {name} AS MATERIALIZED (
   SELECT {name}t.*, lex.*, {look},
@@ -349,10 +351,9 @@ flat AS MATERIALIZED (SELECT id_post, original_text AS contenu_original, process
 
 
 def search_terms(x: str) -> str:
-    return (
-        f"list_filter(string_split_regex(lower(coalesce({x}, '')), {q('[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}]+')}), "
-        f"lambda t: t NOT IN {inlist([*SEARCH_STOP_WORDS, ''])})"
-    )
+    words = f"regexp_extract_all(lower(coalesce({x}, '')), {q(word_pattern(script='', keep=''))})"
+    cut = f"flatten(list_transform({words}, lambda w: CASE WHEN length(w) <= 255 THEN [w] ELSE regexp_extract_all(w, '(?s).{{1,255}}') END))"
+    return f"list_filter({cut}, lambda t: t NOT IN {inlist(SEARCH_STOP_WORDS)})"
 
 
 def function_words(l: str) -> str:
@@ -362,3 +363,44 @@ def function_words(l: str) -> str:
     )
     langs = "[" + ", ".join(q(k) for k in sorted(LANGUAGE_WORDS)) + "]"
     return f"(CASE WHEN list_max([{counts}]) > 0 THEN {langs}[list_position([{counts}], list_max([{counts}]))] END)"
+
+
+OPENING, CLOSING = "(\\[{\"'«“‘¿¡", ")\\]}\"'»”’"
+
+
+def bare(w: str) -> str:
+    return f"lower({sub(w, f'^[{OPENING}]+|[.!?…,;:{CLOSING}]+$')})"
+
+
+def abbreviation_cte(source: str, text: str = "text") -> str:
+    """``abbr(word, score)`` of the words of ``source``."""
+    dotted = f"regexp_matches(w, {q(f'[.][{CLOSING}]*[,;:]?[{CLOSING}]*$')})"
+    like = lambda p: f"(k * ln({p}) + (n - k) * ln(1e0 - {p}))"
+    p = "least(greatest(CAST(all_k AS DOUBLE) / all_n, 1e-9), 0.99e0)"
+    return f"""aw AS (SELECT unnest({words(f"coalesce({text}, '')")}) AS w FROM {source}),
+ab AS (SELECT {bare('w')} AS word, {dotted} AS dotted FROM aw),
+ac AS (SELECT word, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE dotted) AS DOUBLE) AS k FROM ab GROUP BY word),
+asum AS (SELECT sum(n) AS all_n, sum(k) AS all_k FROM ac),
+ad AS (SELECT *, CAST(length(replace(word, '.', '')) AS DOUBLE) AS letters FROM ac, asum WHERE k > 0 AND regexp_matches(word, '^\\p{{L}}[\\p{{L}}.]*$')),
+ae AS (SELECT word, -2e0 * ({like(p)} - {like('0.99e0')}) * exp(-letters) * (length(word) - letters + 1) * pow(letters, k - n) AS score FROM ad),
+abbr AS MATERIALIZED (SELECT * FROM ae WHERE score >= 0.3e0)"""
+
+
+def sentence_cte(source: str, text: str = "text") -> str:
+    """``counted(id_post, sentences)`` of ``source(id_post, text)``."""
+    ends, loud = q(f"[.!?…]+[{CLOSING}]*$"), q(f"(?:[!?…]|[.][.])[.!?…]*[{CLOSING}]*$")
+    return f"""sw AS (SELECT id_post, {words(f"coalesce({text}, '')")} AS ws FROM {source}),
+su AS (SELECT id_post, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS pos FROM sw),
+sn AS (SELECT id_post, w, {bare('w')} AS b, lead(w) OVER (PARTITION BY id_post ORDER BY pos) AS nx FROM su),
+sc AS (SELECT id_post, 1 + count(*) FILTER (WHERE nx IS NOT NULL AND regexp_matches(w, {ends}) AND NOT regexp_matches(nx, {q(f'^[{OPENING}]*' + chr(92) + 'p{Ll}')})
+    AND (regexp_matches(w, {loud}) OR NOT (b IN (SELECT word FROM abbr) OR regexp_full_match(b, '[a-zà-ÿ]')))) AS n FROM sn GROUP BY id_post),
+counted AS (SELECT id_post, coalesce(n, 0) AS sentences FROM sw LEFT JOIN sc USING (id_post))"""
+
+
+SHOUTED = """shouted AS (SELECT CAST(doc_id AS VARCHAR) AS id_post, replace(replace(replace(replace(replace(text, ' the ', ' THE '), ' de ', ' DE! '),
+  ' la ', ' "la", '), ' of ', ' st (of)? '), ' to ', ' 😊 ') AS text FROM documents)"""
+
+
+def polarity_words(x: str) -> str:
+    apart = sub(f"lower({x})", "n't" + chr(92) + "b", " n't")
+    return f"regexp_extract_all({apart}, {q("n't|[" + chr(92) + "p{L}" + chr(92) + "p{N}]+(?:'[" + chr(92) + "p{L}]+)?")})"

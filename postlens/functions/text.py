@@ -157,7 +157,37 @@ def drop_words(tokens: Column, unwanted: Iterable[str]) -> Column:
     return F.filter(tokens, lambda t: ~F.lower(t).isin(unwanted))
 
 
+# Words by the word-break rules of Unicode, as one pattern. Marks and format characters belong to what stands before
+# them. Letters are joined by an apostrophe, dot or colon between them, digits by a dot, apostrophe, comma or
+# semicolon, both by underscores. An ideograph or a hiragana is a word of its own; katakana run on.
+_EXTEND = r"[\p{M}\p{Cf}]"
+_MID_QUOTE = "'.\u2018\u2019\u2024\ufe52\uff07\uff0e"
+_MID_LETTER = "[:\u00b7\u0387\u055f\u05f4\u2027\ufe13\ufe55\uff1a" + _MID_QUOTE + "]"
+_MID_NUMBER = "[,;\u037e\u0589\u060c\u060d\u066c\u07f8\u2044\ufe10\ufe14\ufe50\ufe54\uff0c\uff1b" + _MID_QUOTE + "]"
+TOKEN_LENGTH = 255
+
+
+def word_pattern(script: str = "Is", keep: str = "+") -> str:
+    """The pattern; ``script`` goes before the names of scripts, ``keep`` after what is repeated, so that nothing is given back."""
+    han, kana = rf"[\p{{{script}Han}}\p{{{script}Hiragana}}]", rf"\p{{{script}Katakana}}ー"
+    some, many = "*" + keep, "+" + keep
+    any_extend = _EXTEND + some
+    # All letters but those of the scripts above; RE2 has no difference of classes, so both name the letters' kinds.
+    letter = rf"[\p{{Lu}}\p{{Ll}}\p{{Lt}}\p{{Lm}}\p{{{script}Arabic}}\p{{{script}Hebrew}}\p{{{script}Devanagari}}\p{{{script}Hangul}}ªº]"
+    letters = f"(?:{letter}{many}{any_extend}){many}"
+    digits = rf"(?:\p{{Nd}}{many}{any_extend}){many}"
+    words = f"{letters}(?:{_MID_LETTER}{any_extend}{letters}){some}"
+    numbers = f"{digits}(?:{_MID_NUMBER}{any_extend}{digits}){some}"
+    run = f"(?:(?:{words}|{numbers}){many}|(?:[{kana}]{many}{any_extend}){many})"
+    joiner = rf"(?:\p{{Pc}}{many}{any_extend})"
+    return f"{joiner}{some}{run}(?:{joiner}{many}{run}){some}{joiner}{some}|{han}{any_extend}"
+
+
 def terms(c: Column, unwanted: Iterable[str]) -> Column:
-    """Search terms of a text: lower-cased runs of letters and digits, no stop words."""
-    unwanted = [*unwanted, ""]
-    return F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda t: ~t.isin(unwanted))
+    """Search terms of a text: its words in lower case, the longest cut, no stop words."""
+    unwanted = [*unwanted]
+    words = F.regexp_extract_all(F.lower(c), F.lit(word_pattern()), F.lit(0))
+    cut = F.flatten(F.transform(words, lambda w: F.when(F.length(w) <= TOKEN_LENGTH, F.array(w)).otherwise(
+        F.regexp_extract_all(w, F.lit(f"(?s).{{1,{TOKEN_LENGTH}}}"), F.lit(0))
+    )))
+    return F.filter(cut, lambda t: ~t.isin(unwanted))

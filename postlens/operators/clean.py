@@ -116,8 +116,3 @@ def preprocess(
             found = found.transform(lemma.lemmatize_dict, lemmas, "tokens", max_keys)
         found = found.withColumn("tokens", F.filter("tokens", lambda t: F.length(t) > 1))
     return found.withColumn("processed_text", F.array_join("tokens", " ")).withColumn("word_count", F.size("tokens"))
-
-
-def sentence_count(c: Column) -> Column:
-    """Number of sentences of a raw text."""
-    return F.size(F.sentences(c))

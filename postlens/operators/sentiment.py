@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from postlens.functions import lookup, text as X
 from postlens.functions import wordlists as L
 from postlens.functions.binding import let, let_sql
+from postlens.functions.emoji import spell_emoji
 from postlens.functions.numbers import MICRO, clamp_sql, exact_round_sql, micro_sql
 
 # Fixed values of the valence rules.
@@ -250,15 +251,18 @@ def valence_scores(
     text: str = "text",
     out: str = "vader_sentiment",
     max_keys: int = lookup.MAX_KEYS,
+    emoji: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the valence struct of any text, capitals included."""
+    """Add the valence struct of any text, capitals included; with a table of their names, emoji are read as words."""
     shouted = "transform(_raw, w -> upper(w) = w AND lower(w) <> w)"
     mixed = "exists(l, x -> x) AND exists(l, x -> NOT x)"
     loud = let_sql("l", shouted, f"CASE WHEN {mixed} THEN l END")
     scores = valence_of_entries("_entries", "_words", "_text", "loud")
+    given = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    if emoji is not None:
+        given = given.transform(spell_emoji, emoji, "_text", "_text", max_keys)
     return (
-        df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-        .withColumn("_raw", valence_words(F.col("_text")))
+        given.withColumn("_raw", valence_words(F.col("_text")))
         .withColumn("_words", F.transform("_raw", F.lower))
         .transform(lookup.entry_adder(terms, "term", max_keys), "_words", "_entries")
         .withColumn(out, F.expr(let_sql("loud", loud, scores)))

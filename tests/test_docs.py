@@ -3,7 +3,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from postlens.functions import time
+from postlens.functions import text as X, time
 from postlens.operators import clean, docs, enrich, sentiment
 from postlens.schema import INDEX_SCHEMA
 from postlens.sources import store
@@ -72,6 +72,25 @@ def test_safe_timestamp(spark, zone):
         assert r.bad == (r.t in ("nonsense", "2024-13-45", "2024"))
 
 
+@pytest.mark.parametrize("given,expected", [
+    ("I can't, won't and shouldn’t've", ["i", "can't", "won't", "and", "shouldn’t've"]),
+    ("pi is 3.14 or 1,234.56; $5.", ["pi", "is", "3.14", "or", "1,234.56", "5"]),
+    ("U.S.A. a.b:c d' 'e f-g", ["u.s.a", "a.b:c", "d", "e", "f", "g"]),
+    ("snake_case_ __x 4th 3a.b a.3", ["snake_case_", "__x", "4th", "3a.b", "a", "3"]),
+    ("日本語テスト です カタカナー", ["日", "本", "語", "テスト", "で", "す", "カタカナー"]),
+    ("e\u0301te\u0301 co\u00adop naïve", ["e\u0301te\u0301", "co\u00adop", "naïve"]),
+    ("... ' - _ 🙂 ", []), ("", []), (None, []), ("x" * 600, ["x" * 255, "x" * 255, "x" * 90]),
+])
+def test_words_by_the_rules_of_unicode(spark, given, expected):
+    df = spark.createDataFrame([(given,)], "t string")
+    assert df.select(X.terms(F.coalesce("t", F.lit("")), [])).first()[0] == expected
+
+
+def test_long_words_do_not_exhaust_the_stack(texts):
+    hostile = ["a'" * 100_000, "é" * 200_000, "1," * 100_000, "_" * 100_000, "a1" * 100_000, "a_" * 100_000, "e\u0301" * 50_000]
+    texts(hostile).select(docs.analyze_terms(F.col("text"))).write.format("noop").mode("overwrite").save()
+
+
 def test_search(spark, texts):
     df = texts(["The Quick-brown fox", "a lazy dog", None, "quick dog"])
     assert df.select(docs.analyze_terms(F.col("text"))).first()[0] == ["quick", "brown", "fox"]

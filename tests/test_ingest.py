@@ -9,8 +9,7 @@ from postlens.schema import POST_SCHEMA
 from postlens.sources import csv
 
 RUN = datetime(2024, 1, 1)
-RAW = [("Message de harcèlement", "harassment", "cyberbullying"), ("Message normal", "not_harassment", "normal"),
-       ("Contenu de bullying", "harassment", "bullying")]
+RAW = [("Une phrase méchante", "bad", "insult"), ("Bonne journée", "good", "none"), ("Encore une insulte", "bad", "threat")]
 
 
 @pytest.mark.parametrize("columns,roles", [

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from postlens.operators import language
 
 GIVEN = [
-    ("This is a test message in English language", "en", 0.8),
+    ("We have to go there with you and he is not late", "en", 0.95),
     ("Voici la maison de mes parents et le jardin avec les fleurs", "fr", 0.95),
     ("", "unknown", 0.0), (None, "unknown", 0.0), ("Hi", "unknown", 0.0), ("123 456 789", "unknown", 0.0),
     ("   ", "unknown", 0.0),

@@ -1,5 +1,6 @@
 import math
 import random
+import string
 from fractions import Fraction
 
 import pytest
@@ -18,9 +19,12 @@ def entry(words, i, field):
     return TERMS.get(words[i], {}).get(field) if 0 <= i < len(words) else None
 
 
-def brute_valence(words):
-    """The word rules, one word at a time."""
+def brute_valence(words, raw=None, text=""):
+    """The word rules, one word at a time; ``raw`` holds the words as they are written, ``text`` the marks."""
     e = lambda i, f: entry(words, i, f)
+    loud = [w.upper() == w and w.lower() != w for w in raw or words]
+    if all(loud) or not any(loud):
+        loud = [False] * len(words)
     has = lambda i: e(i, "valence") is not None
     scores = []
     for i in range(len(words)):
@@ -32,10 +36,12 @@ def brute_valence(words):
             v = 0.0
         if e(i - 1, "role") == "no" or e(i - 2, "role") == "no" or (e(i - 3, "role") == "no" and e(i - 1, "role") == "or"):
             v = e(i, "valence") * -0.74
+        if loud[i]:
+            v += 0.733 if v > 0 else -0.733
         for d, decay in ((1, 1.0), (2, 0.95), (3, 0.9)):
             if i < d or has(i - d):
                 continue
-            b = (e(i - d, "boost") or 0.0) * decay
+            b = ((e(i - d, "boost") or 0.0) + (0.733 if loud[i - d] and e(i - d, "boost") is not None else 0.0)) * decay
             v = v - b if v < 0 else v + b
             r = [None, e(i - 1, "role"), e(i - 2, "role"), e(i - 3, "role")]
             if (d == 2 and r[2] == "never" and r[1] == "so") or (
@@ -56,7 +62,11 @@ def brute_valence(words):
     up = sum(s + 10**6 for s in micro if s > 0)
     down = sum(10**6 - s for s in micro if s < 0)
     zero = 10**6 * sum(s == 0 for s in micro)
-    total = sum(micro) / 1e6
+    asked = text.count("?")
+    marks = min(text.count("!"), 4) * 292_000 + (960_000 if asked > 3 else asked * 180_000 if asked > 1 else 0)
+    whole_sum = sum(micro)
+    total = (whole_sum + ((whole_sum > 0) - (whole_sum < 0)) * marks) / 1e6
+    up, down = up + (marks if up > down else 0), down + (marks if down > up else 0)
     compound = round(total / math.sqrt(total * total + 15), 4)
     whole = up + down + zero
     label = "positive" if compound >= 0.05 else "negative" if compound <= -0.05 else "neutral"
@@ -93,14 +103,25 @@ def test_scores_agree_with_brute_force(spark, texts, max_keys):
         assert tuple(r.textblob_sentiment) == brute_polarity(r.text.split()), r.text
 
 
+def test_scores_of_raw_texts_agree_with_brute_force(spark, texts):
+    rng = random.Random(4)
+    words = [w for w in TERMS if len(w) > 2] + ["xxx", "yyyy"]
+    dress = lambda w: rng.choice(["", "", '"', "("]) + rng.choice([w, w, w.upper()]) + rng.choice(["", "", "!", "?", "...", ",", ")"])
+    given = [" ".join(dress(rng.choice(words)) for _ in range(rng.randint(1, 12))) for _ in range(300)]
+    terms = spark.createDataFrame(LEXICON, sentiment.TERM_SCHEMA)
+    for r in sentiment.valence_scores(texts(given), terms).collect():
+        raw = [w.strip(string.punctuation) for w in r.text.split()]
+        assert tuple(r.vader_sentiment) == brute_valence([w.lower() for w in raw], raw, r.text), r.text
+
+
 def test_clear_sentences(spark, texts):
-    given = ["I love this amazing product! It's fantastic and wonderful! 😊",
-             "I hate this terrible product! It's awful and horrible! 😠",
-             "This is a regular product with standard features.", "", None, "   "]
+    given = ["We adored the lovely old garden, a perfect and beautiful place!",
+             "What an ugly, disgusting room; the worst and most awful one yet!",
+             "The box stands on the shelf beside the window.", "", None, "   "]
     terms = sentiment.seed_terms(spark)
     both = sentiment.valence_scores(sentiment.polarity_scores(texts(given), terms), terms)
     labels = {r.id_post: (r.textblob_sentiment.sentiment_label, r.vader_sentiment.sentiment_label) for r in both.collect()}
-    assert labels["0"] == ("positive", "positive") and labels["1"] == ("negative", "negative")
+    assert labels["0"] == ("positive", "positive") and labels["1"] == ("negative", "negative") and labels["2"] == ("neutral", "neutral")
     blank = both.where("id_post in ('3', '4', '5')").collect()
     assert all(tuple(r.vader_sentiment) == (0.0, 0.0, 1.0, 0.0, "neutral") for r in blank)
     assert all(tuple(r.textblob_sentiment) == (0.0, 0.0, "neutral") for r in blank)
@@ -150,8 +171,8 @@ def test_exact_round(spark):
         assert r.r == float(round(Fraction(r.x), 3)) and r.r4 == round(r.x, 4)
 
 
-ROBUST = ["Hello world!", "😊 I love this! 💕", "RT @user: Check this out https://example.com", "URGENT!!! CALL NOW!!!",
-          "123 456 789", "a", "", None, "   ", "the and or but"]
+ROBUST = ["Good evening all!", "🎉 what a great party 🎉", "via @someone see http://a.example/x?y=1", "STOP IT!!! RIGHT THERE!!!",
+          "2024 10 31", "b", "", None, "   ", "if so then because"]
 
 
 def test_enrich_gives_all_results(spark, texts):
