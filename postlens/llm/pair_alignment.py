@@ -431,7 +431,8 @@ def pairs_of_tasks(docs: DataFrame, files, text_col: str) -> DataFrame:
             texts = batch.column(0).to_pylist()
             for a, b in in_blocks(texts):
                 pairs, _, of, _ = aligner.read(texts[a:b]).distinct()
-                held.append((pairs, np.bincount(of, minlength=len(pairs))))
+                n = np.bincount(of, minlength=len(pairs))  # none for what only texts without tokens hold
+                held.append((pairs[n > 0], n[n > 0]))
                 size += len(pairs)
                 if size > HELD:
                     held[:] = [merged(*(np.concatenate([h[k] for h in held]) for k in (0, 1)))]
