@@ -69,7 +69,7 @@ def test_latest_rows(spark, tmp_path):
     assert len(got) == 5 and dict(got)["hot"] in {"v49", "v99", "v149", "v199"} and {v for k, v in got if k is None} == {"p", "q"}
     shown = plan(found)
     # The rows meet only a small list of places; what is grouped and sorted are keys without the other columns.
-    assert shown.count("BroadcastHashJoin [_file") == 1
+    assert "BroadcastHashJoin [_file" in shown
     assert all("v#" not in line for line in shown.splitlines() if "Exchange" in line or "SortAggregate" in line)
     assert state.latest_rows(df.where("id_post = 'a'"), "id_post", ["version"]).count() == 1
 
