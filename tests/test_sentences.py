@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,3 +75,13 @@ def test_corpus_without_periods(spark, texts):
     assert none.count() == 0
     assert [r.sentences for r in sentences.sentence_count(texts(["a b", "", None, "A. B! C"]), none).orderBy("id_post").collect()] == [1, 0, 0, 2]
     assert sentences.learn_abbreviations(texts([]).where(F.lit(False))).count() == 0
+
+
+def test_a_long_text_takes_time_by_its_length(spark, texts):
+    """The entries of the words are looked up once for a text: its words together, not all words for each."""
+    found = sentences.learn_abbreviations(texts(corpus()))
+    long = "Dr. Who met Mr. Smith at home. He left etc. and so on. " * 4000
+    begun = time.monotonic()
+    for max_keys in (1000, 0):
+        assert [r.sentences for r in sentences.sentence_count(texts([long]), found, max_keys=max_keys).collect()] == [8000]
+    assert time.monotonic() - begun < 60
