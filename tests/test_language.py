@@ -1,5 +1,7 @@
 from collections import Counter
 import math
+import random
+import re
 
 from conftest import plan
 from pyspark.sql import functions as F
@@ -91,3 +93,21 @@ def test_detection_in_row_has_no_shuffle(spark, texts):
 def test_empty_profiles(spark, texts):
     none = language.train_language_profiles(sample(spark).where("false"))
     assert results(language.detect_language(texts(["some text"]), none, "text")) == {"0": ("unknown", 0.0)}
+
+
+def test_profiles_of_many_texts_and_languages(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [("".join(rng.choice("ab c\t1é") for _ in range(rng.randrange(40))), rng.choice(["x", "y", "z", None])) for _ in range(200)]
+    rows += [(None, "y"), ("", "x"), ("only digits 12", "w")]
+    letters = lambda t: " ".join(re.sub(r"[^a-zA-Z\s]+", "", t or "").split()).lower()
+    expected = brute_profiles([(letters(t), lang) for t, lang in rows], 300)
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    for held, step in ((256, 1 << 20), (1, 7), (2, 1), (1, 64)):
+        monkeypatch.setattr(language, "HELD_LANGUAGES", held)
+        monkeypatch.setattr(language, "STEP", step)
+        found = language.train_language_profiles(df).collect()
+        assert len(found) == len(expected) and {(r.lang, r.gram): (r.weight, r.floor) for r in found} == expected
+
+
+def test_training_makes_no_row_for_each_gram(spark):
+    assert "Generate" not in plan(language.train_language_profiles(sample(spark)))
