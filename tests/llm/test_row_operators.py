@@ -68,6 +68,18 @@ def test_similarity_without_rows(spark):
     assert group_join.similarity_components(docs).collect() == [] and group_join.keep_firsts(docs).collect() == []
 
 
+def test_index_of_sizes_that_fit(spark):
+    rng, percent = random.Random(4), 90
+    groups = [(g, n, rng.sample(range(150), group_join.prefix_length(n, percent))) for g in range(60) for n in [rng.choice([20, 30, 60, 64, 100, 105, 110, 300])]]
+    entries = [(s, g, n, at) for g, n, prefix in groups for at, s in enumerate(prefix)]
+    first = lambda e: e[3] < group_join.index_length(e[2], percent)
+    pair = lambda a, b: a[0] == b[0] and a[1] != b[1] and first(a) and a[2] <= b[2] and 100 * a[2] >= percent * b[2]
+    expected = {e for e in entries if any(pair(e, o) or pair(o, e) for o in entries)}
+    found = group_join.index(spark.createDataFrame(groups, "set long, n int, prefix array<long>"), percent)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {tuple(r) for r in found.collect()} == expected and 0 < len(expected) < len(entries) / 2
+
+
 def test_filters_lose_nothing():
     rng = random.Random(4)
     for _ in range(300):
