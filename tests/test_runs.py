@@ -61,6 +61,24 @@ def test_bad_rows_lie_apart(spark, tmp_path):
         jobs.index_run(spark, root)
 
 
+def test_runs_shuffle_no_texts(spark, texts, tmp_path):
+    root, kinds = str(tmp_path), {"label": F.lit("x"), "type": F.lit("y")}
+    for given in (["good", "bad", "day"], ["good", "worse", "day"]):
+        store.publish(texts(given).withColumns(kinds), root, name=jobs.POSTS)
+        jobs.clean_run(spark, root, RUN)
+    store.publish(texts(["good", "worse", "night"]).withColumns(kinds), root, name=jobs.POSTS)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        current, pending = jobs.current(spark, root, jobs.CLEAN), jobs.pending(spark, root, jobs.POSTS, jobs.results(spark, root, jobs.CLEAN))
+        for df in (current, pending):
+            shown = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+            exchanges = [b for b in shown.split("\n\n") if ") Exchange" in b]
+            assert exchanges and not any("text#" in b for b in exchanges)
+        assert {r.text for r in current.collect()} == {"good", "worse"} and [r.text for r in pending.collect()] == ["night"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_doubled_ids_stop_the_ingest(spark, tmp_path):
     with pytest.raises(ingest.DuplicateIds, match="b"):
         ingest.require_unique(spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "id_post string"))

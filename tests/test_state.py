@@ -74,6 +74,19 @@ def test_latest_rows(spark, tmp_path):
     assert state.latest_rows(df.where("id_post = 'a'"), "id_post", ["version"]).count() == 1
 
 
+def test_rows_without_places(spark, tmp_path):
+    spark.range(100_000).selectExpr("id", "string(id) v").repartition(2).write.parquet(f"{tmp_path}/rows")
+    rows = state.placed(spark.read.parquet(f"{tmp_path}/rows"))
+    gone = F.col("id").isin(0, 7, 99_999) | (F.col("id") % 3 == 1)
+    expected = {i for i in range(100_000) if i not in (0, 7, 99_999) and i % 3 != 1}
+    for bitmaps in (state.BITMAPS, 1):  # by bits, by a join
+        found = state.without(rows, rows.where(gone).select(state.PLACE).union(rows.where("id = 7").select(state.PLACE)), bitmaps)
+        assert found.columns == rows.columns and ("SortMergeJoin" in plan(found) or "BroadcastHashJoin" in plan(found))
+        got = [r.id for r in found.select("id").collect()]
+        assert len(got) == len(expected) and set(got) == expected
+    assert state.without(rows, rows.where("id < 0").select(state.PLACE)).count() == 100_000
+
+
 def test_changed(spark):
     source = spark.createDataFrame([("1", "x"), ("2", "y"), ("3", "z"), (None, "w")], "id_post string, content_digest string")
     done = spark.createDataFrame([("1", "x"), ("2", "old"), (None, "w")], "id_post string, content_digest string")
