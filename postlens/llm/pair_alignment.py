@@ -14,10 +14,13 @@ tasks' numbers become dense vectors indexed by that hash, which are summed as
 a tree, ``FAN`` at a time. A bucket holds a fixed share of the pairs two
 vocabularies can form, whatever the corpus.
 
-Looking up. The second pass aligns the documents again. If the table (keys,
-counts, bits) is ``BROADCAST`` pairs at most, every task gets it; otherwise the
-tasks send the pairs of their documents to the buckets and sums come back. A
-number found by hash counts only if the key stored there is the one asked for.
+Looking up. The first pass stores what the second needs of every document: its
+numbers, its groups, and its links as numbers of pieces and of pairs, each piece
+and pair once for a block of texts. So texts are encoded and aligned only once. If
+the table (keys, counts, bits) is ``BROADCAST`` pairs at most, every task of the
+second pass gets it; otherwise the tasks send the pairs of their documents to the
+buckets and sums come back. A number found by hash counts only if the key stored
+there is the one asked for.
 
 Words are encoded and aligned once for many places: a text is cut at single spaces
 between characters that no token of either vocabulary goes across, so a group ends
@@ -33,16 +36,19 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import io
 import json
 import os
 import re
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import cached_property
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,10 +60,10 @@ BUCKETS = 128
 FAN = 16
 HELD = 1 << 21  # pairs that a task holds before it hands them on
 BROADCAST = 1 << 22  # pairs of a table that is sent to every task, 26 bytes each there
-BLOCK = 1 << 21  # characters of texts that are aligned together, if a text is no longer
+BLOCK = 1 << 20  # characters of texts that are aligned together, if a text is no longer
 GAMMA = 2  # bits of a level for each pair that is left
 LONG = 64  # characters of a piece that is not remembered
-REMEMBERED = 250_000  # pieces after which those before are let go, unless they come again
+REMEMBERED = 200_000  # pieces after which those before are let go, unless they come again
 # A single space between these is a border of tokens: a token of A that holds it starts with it, as does one of B.
 SOLID = "!-~À-ɏ"
 BORDER = re.compile(f"(?<=[{SOLID}]) (?=[{SOLID}])")
@@ -70,11 +76,9 @@ UNSTABLE = re.compile("[^\0-\u024f]|[\x1c-\x1f\x85]")
 # --- alignment ---------------------------------------------------------------------
 
 
-# What a piece of a text holds: tokens of A and of B, groups, links, links of highest count, the sum of counts; the groups
-# written out, of each link the pair in 8 bytes; whether there may be borders at its ends, and whether both
-# vocabularies give it back. What an aligner is not asked for is left empty.
-Piece = tuple[int, int, int, int, int, int, str, bytes, bool, bool]
-Scores = Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]
+# What a piece of a text holds: tokens of A and of B, groups, links; the groups written out, if an aligner is asked for
+# them, of each link the pair in 8 bytes; whether there may be borders at its ends, and whether both vocabularies give it back.
+Piece = tuple[int, int, int, int, str, bytes, bool, bool]
 
 
 def solid(piece: str) -> bool:
@@ -82,17 +86,13 @@ def solid(piece: str) -> bool:
 
 
 class Aligner:
-    """Two vocabularies, given as the contents of their files.
+    """Two vocabularies, given as the contents of their files. ``written``: groups are written out."""
 
-    ``written``: groups are written out. ``scores`` gives for pairs whether their count is the highest, and their count; it
-    takes the place of the pairs themselves.
-    """
-
-    def __init__(self, a_source: str, b_source: bytes, written: bool = True, scores: Scores | None = None):
+    def __init__(self, a_source: str, b_source: bytes, written: bool = True):
         import sentencepiece
 
         self.a_source, self.b = a_source, sentencepiece.SentencePieceProcessor(model_proto=b_source)
-        self.scores, self.writes = scores, written
+        self.writes = written
         spec = json.loads(a_source)
         byte_of = {c: k for k, c in enumerate(byte_letters())}
         self.a_bytes = [b""] * (1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]))
@@ -156,17 +156,11 @@ class Aligner:
             if len(pieces) > 1:  # one of them, at least: look at each half
                 half = len(pieces) // 2
                 return self.learn(pieces[:half]) + self.learn(pieces[half:])
-            return [(0, 0, 0, 0, 0, 0, "", b"", solid(pieces[0]), False)]
+            return [(0, 0, 0, 0, "", b"", solid(pieces[0]), False)]
         found = Aligned(self, a, b, n_a, n_b)
         numbers = [n.tolist() for n in (n_a, n_b, found.n_groups, found.n_links)]
-        if self.scores:
-            link = np.repeat(of, found.n_links)
-            numbers += [np.bincount(link, v, len(of)).astype("i8").tolist() for v in self.scores(found.pair)]
-            pairs = repeat(b"")
-        else:
-            ends, data = 8 * np.cumsum(found.n_links), found.pair.tobytes()
-            numbers += [repeat(0)] * 2
-            pairs = [data[x:y] for x, y in zip([0, *ends.tolist()], ends.tolist())]
+        ends, data = (8 * np.cumsum(found.n_links)).tolist(), found.pair.tobytes()
+        pairs = [data[x:y] for x, y in zip([0, *ends], ends)]
         return list(zip(*numbers, found.groups() if self.writes else repeat(""), pairs, map(solid, pieces), repeat(True)))
 
     def read(self, texts: list[str | None]) -> Block:
@@ -185,7 +179,7 @@ class Aligner:
         cut = [(t.split(" ") if self.cuts else [t]) if t else [] for t in texts]
         distinct = dict.fromkeys(chain.from_iterable(cut))
         found = self.known(distinct)
-        if self.cuts and (odd := {p for p, f in zip(distinct, found) if not (f[8] if f else solid(p))}):
+        if self.cuts and (odd := {p for p, f in zip(distinct, found) if not (f[6] if f else solid(p))}):
             cut = [c if odd.isdisjoint(c) else BORDER.split(t) for c, t in zip(cut, texts)]
             distinct = dict.fromkeys(chain.from_iterable(cut))
             found = self.known(distinct)
@@ -259,38 +253,56 @@ class Aligned:
         return ["".join(words[a:b])[:-1] for a, b in zip([0, *ends], ends)]
 
 
-class Block:
-    """Some texts, each as the numbers of its pieces."""
+class Links:
+    """Which pairs some texts hold: texts as the numbers of their pieces, pieces as the numbers of their links' pairs."""
 
-    def __init__(self, pieces: list[Piece], piece: np.ndarray, sizes: np.ndarray):
-        self.n = len(sizes)
-        doc = np.repeat(np.arange(self.n), sizes)
-        *counts, self.written, pairs, _, given = zip(*pieces) if pieces else ((),) * 10
-        if not all(given):  # a text with such a piece has no tokens
-            keep = np.bincount(doc, ~np.array(given)[piece], self.n) == 0
-            piece, doc, sizes = piece[keep[doc]], doc[keep[doc]], sizes * keep
-        self.piece, self.doc, self.sizes = piece, doc, sizes
-        self.pair = np.frombuffer(b"".join(pairs), "i8")
-        self.links = np.fromiter(map(len, pairs), "i8", len(pairs)) // 8
-        self.at = np.cumsum(self.links) - self.links
-        sums = [self.summed(np.array(c, "i8")) for c in counts]
-        self.n_a, self.n_b, self.n_groups, self.n_links, self.n_best, self.count_sum = sums
+    def __init__(self, sizes: np.ndarray, piece: np.ndarray, links: np.ndarray, pairs: np.ndarray, of: np.ndarray):
+        self.n, self.sizes, self.piece, self.links, self.pairs, self.of = len(sizes), sizes, piece, links, pairs, of
+        self.doc, self.at = np.repeat(np.arange(self.n), sizes), np.cumsum(links) - links
 
     def summed(self, values: np.ndarray) -> np.ndarray:
         """For each text the sum of its pieces' values; exact up to 2^53."""
         return np.bincount(self.doc, values[self.piece], self.n).astype("i8") if len(self.piece) else np.zeros(self.n, "i8")
 
-    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The distinct pairs; then for each document and pair in it: the document, the pair's number, its links."""
-        pairs, of = np.unique(self.pair, return_inverse=True)
+    def linked(self, values: np.ndarray) -> np.ndarray:
+        """For each text the sum of the values of its links' pairs."""
+        return self.summed(np.bincount(np.repeat(np.arange(len(self.links)), self.links), values[self.of], len(self.links)))
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each document and pair in it: the document, the pair's number, its links."""
         held, often = np.unique(self.doc * max(1, len(self.links)) + self.piece, return_counts=True)
         doc, piece = held // max(1, len(self.links)), held % max(1, len(self.links))
         n = self.links[piece]
         link = np.repeat(self.at[piece], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        code = np.repeat(doc, n) * max(1, len(pairs)) + of[link]
+        code = np.repeat(doc, n) * max(1, len(self.pairs)) + self.of[link]
         held, which = np.unique(code, return_inverse=True)
         times = np.bincount(which, np.repeat(often, n), len(held)).astype("i8")
-        return pairs, held // max(1, len(pairs)), held % max(1, len(pairs)), times
+        return held // max(1, len(self.pairs)), held % max(1, len(self.pairs)), times
+
+    def packed(self) -> bytes:
+        out = io.BytesIO()
+        for x in (self.sizes, self.piece, self.links, self.pairs, self.of):
+            np.save(out, x.astype(np.min_scalar_type(x.max(initial=0))), allow_pickle=False)
+        return zstandard.compress(out.getvalue(), 1)
+
+
+def unpacked(data: bytes) -> Links:
+    file = io.BytesIO(zstandard.decompress(data))
+    return Links(*(np.load(file, allow_pickle=False).astype("i8") for _ in range(5)))
+
+
+class Block(Links):
+    """Some texts, each as the numbers of its pieces."""
+
+    def __init__(self, pieces: list[Piece], piece: np.ndarray, sizes: np.ndarray):
+        *counts, self.written, data, _, given = zip(*pieces) if pieces else ((),) * 8
+        if not all(given):  # a text with such a piece has no tokens
+            doc = np.repeat(np.arange(len(sizes)), sizes)
+            keep = np.bincount(doc, ~np.array(given)[piece], len(sizes)) == 0
+            piece, sizes = piece[keep[doc]], sizes * keep
+        links = np.fromiter(map(len, data), "i8", len(data)) // 8
+        super().__init__(sizes, piece, links, *np.unique(np.frombuffer(b"".join(data), "i8"), return_inverse=True))
+        self.n_a, self.n_b, self.n_groups, self.n_links = (self.summed(np.array(c, "i8")) for c in counts)
 
     def groups(self) -> list[str]:
         written = list(map(self.written.__getitem__, self.piece.tolist()))
@@ -301,11 +313,11 @@ class Block:
 _LOADED: dict[str, Aligner] = {}
 
 
-def loaded(stage: str, a_source: str, b_source: bytes, written: bool = True, scores: Callable[[], Scores] | None = None) -> Aligner:
+def loaded(stage: str, a_source: str, b_source: bytes, written: bool = True) -> Aligner:
     """One aligner for all tasks of a stage in a Python worker."""
     if stage not in _LOADED:
         _LOADED.clear()
-        _LOADED[stage] = Aligner(a_source, b_source, written, scores and scores())
+        _LOADED[stage] = Aligner(a_source, b_source, written)
     return _LOADED[stage]
 
 
@@ -315,15 +327,17 @@ def vocabularies(spark: SparkSession, a_path: str, b_path: str):
         return spark.sparkContext.broadcast((a.read(), b.read()))
 
 
-def in_blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def in_blocks(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Texts that are aligned together, as Python strings, and the place of the first of them."""
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
     at = held = 0
-    for k, t in enumerate(texts):
-        if held and held + len(t or "") > BLOCK:
-            yield at, k
+    for k, n in enumerate(sizes):
+        if held and held + n > BLOCK:
+            yield at, texts.slice(at, k - at).to_pylist()
             at, held = k, 0
-        held += len(t or "")
-    if at < len(texts):
-        yield at, len(texts)
+        held += n
+    if at < len(sizes):
+        yield at, texts.slice(at).to_pylist()
 
 
 # --- the perfect hash --------------------------------------------------------------
@@ -398,19 +412,31 @@ class PairTable:
 
 # --- counting ----------------------------------------------------------------------
 
+PAIRS = ["bucket", "part", "keys", "counts"]
+NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
+DESCRIBED = ["ids", *NUMBERS, "groups", "links"]
+
 
 def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     distinct, of = np.unique(keys, return_inverse=True)
     return distinct, np.bincount(of, counts, len(distinct)).astype("i8")
 
 
-def pairs_of_tasks(docs: DataFrame, files, text_col: str) -> DataFrame:
-    """``(bucket, part, keys, counts)``: pairs of a task's documents, sorted, and how many of them hold each."""
+def observed(docs: DataFrame, files, text_col: str, id_col: str | None = None, digest: bool = False) -> DataFrame:
+    """``(bucket, part, keys, counts)``: pairs of a task's documents, sorted, and how many of them hold each.
+
+    With ``id_col`` also rows of ``(ids, n_a, n_b, n_groups, n_links, groups, links)``, a list for each column of some
+    documents, and their links as ``Links`` packs them. Either kind of row has no value in the columns of the other.
+    """
 
-    stage = uuid.uuid4().hex
+    stage, columns, schema = uuid.uuid4().hex, [F.col(f"`{text_col}`")], "bucket int, part int, keys binary, counts binary"
+    if id_col is not None:
+        columns.append(F.col(f"`{id_col}`"))
+        kind = docs.schema[id_col].dataType.simpleString()
+        schema += f", ids array<{kind}>, " + ", ".join(f"{c} array<long>" for c in NUMBERS) + ", groups array<string>, links binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = loaded(stage, *files.value, written=False)
+        aligner = loaded(stage, *files.value, written=id_col is not None)
         held, size = [], 0
 
         def rows():
@@ -424,25 +450,45 @@ def pairs_of_tasks(docs: DataFrame, files, text_col: str) -> DataFrame:
             return pa.RecordBatch.from_arrays(
                 [pa.array(full, pa.int32()), pa.array([TaskContext.get().partitionId()] * len(full), pa.int32()),
                  pa.array([keys[c].tobytes() for c in cut], pa.binary()), pa.array([counts[c].tobytes() for c in cut], pa.binary())],
-                names=["bucket", "part", "keys", "counts"],
+                names=PAIRS,
             )
 
+        def described(ids: pa.Array, found: Block) -> pa.RecordBatch:
+            text = found.groups()
+            if digest:
+                text = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in text]
+            numbers = (found.n_a, found.n_b, found.n_groups, found.n_links)
+            lists = [ids, *map(pa.array, numbers), pa.array(text, pa.string())]
+            lists = [pa.ListArray.from_arrays(pa.array([0, found.n], pa.int32()), x) for x in lists]
+            return pa.RecordBatch.from_arrays([*lists, pa.array([found.packed()], pa.binary())], names=DESCRIBED)
+
+        def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
+            """With all columns of the other kind of row."""
+            given = dict(zip(batch.schema.names, batch.columns))
+            return pa.RecordBatch.from_arrays([given.get(n, pa.nulls(batch.num_rows, t)) for n, t in types], names=[n for n, _ in types])
+
+        types = [(n, t) for n, t in zip(PAIRS, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))]
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in in_blocks(texts):
-                pairs, _, of, _ = aligner.read(texts[a:b]).distinct()
-                n = np.bincount(of, minlength=len(pairs))  # none for what only texts without tokens hold
-                held.append((pairs[n > 0], n[n > 0]))
-                size += len(pairs)
+            if id_col is not None and len(types) == len(PAIRS):
+                kinds = [batch.column(1).type, *[pa.int64()] * len(NUMBERS), pa.string()]
+                types += [*((n, pa.list_(t)) for n, t in zip(DESCRIBED, kinds)), (DESCRIBED[-1], pa.binary())]
+            for at, texts in in_blocks(batch.column(0)):
+                found = aligner.read(texts)
+                if id_col is not None:
+                    yield whole(described(batch.column(1).slice(at, len(texts)), found))
+                n = np.bincount(found.distinct()[1], minlength=len(found.pairs))  # none for what only texts without tokens hold
+                held.append((found.pairs[n > 0], n[n > 0]))
+                size += len(found.pairs)
                 if size > HELD:
                     held[:] = [merged(*(np.concatenate([h[k] for h in held]) for k in (0, 1)))]
                     size = len(held[0][0])
                     if size > HELD // 2:
-                        yield rows()
+                        yield whole(rows())
                         size = 0
-        yield rows()
+        if held:
+            yield whole(rows())
 
-    return docs.select(F.col(f"`{text_col}`")).mapInArrow(run, "bucket int, part int, keys binary, counts binary")
+    return docs.select(*columns).mapInArrow(run, schema)
 
 
 def arrays(table: pa.Table, name: str) -> list[np.ndarray]:
@@ -508,9 +554,9 @@ def dense(left: pa.Table, right: pa.Table) -> pa.Table:
 TABLE = "bucket int, sizes array<long>, bits binary, keys binary, counts binary"
 
 
-def counted(docs: DataFrame, files, text_col: str, scratch: Scratch) -> DataFrame:
-    """The table ``TABLE``, stored: how many documents hold each linked pair."""
-    seen = scratch.stored(pairs_of_tasks(docs, files, text_col), "pairs")
+def counted(seen: DataFrame, scratch: Scratch) -> DataFrame:
+    """The table ``TABLE``, stored: how many documents hold each linked pair. ``seen``: what ``observed`` gives, stored."""
+    seen = seen.where("bucket IS NOT NULL").select(*PAIRS)
     parts = 1 + (seen.agg(F.max("part")).first()[0] or 0)
     keys = tree(seen.select("bucket", "part", "keys"), max(parts, 2), united, "bucket int, part int, keys binary")
     hashes = scratch.stored(keys.select("bucket", "keys").mapInArrow(hashed, "bucket int, sizes array<long>, bits binary, keys binary"), "hashes")
@@ -540,7 +586,8 @@ def table_pairs(table: DataFrame) -> DataFrame:
 def link_counts(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text") -> DataFrame:
     """``(a, b, n_docs)``: for each pair of ids that is linked, how many rows of ``docs`` hold it linked."""
     scratch = Scratch()
-    table = counted(docs, vocabularies(docs.sparkSession, a_path, b_path), text_col, scratch)
+    files = vocabularies(docs.sparkSession, a_path, b_path)
+    table = counted(scratch.stored(observed(docs, files, text_col), "pairs"), scratch)
     scratch.drop()
     return table_pairs(table)
 
@@ -560,8 +607,9 @@ def align(
     ``groups`` is text, or with ``digest`` its SHA-256 as ``groups_sha256``; of a text without tokens both are empty.
     """
     spark, scratch = docs.sparkSession, Scratch()
-    files = vocabularies(spark, a_path, b_path)
-    table = counted(docs, files, text_col, scratch)
+    # Not among the tables to be dropped: the result reads it.
+    seen = stored(observed(docs, vocabularies(spark, a_path, b_path), text_col, id_col, digest), "aligned")
+    table = counted(seen, scratch)
     # One number for each id of A at most.
     top = table_pairs(table).groupBy("a").agg(F.max("n_docs").alias("n")).collect()
     scratch.drop()
@@ -571,62 +619,48 @@ def align(
     best = spark.sparkContext.broadcast(best_of)
     size = table.agg(F.sum(F.octet_length("keys")) / 8).first()[0] or 0
     whole = spark.sparkContext.broadcast([tuple(r) for r in table.collect()]) if size <= broadcast else None
-    kind, stage = docs.schema[id_col].dataType.simpleString(), uuid.uuid4().hex
+    kind = docs.schema[id_col].dataType.simpleString()
     last = "groups_sha256" if digest else "groups"
-    names = [id_col, "n_a", "n_b", "n_groups", "n_links", last]
+    names = [id_col, *NUMBERS, last]
     shown = f"`{id_col}` {kind}, n_a long, n_b long, n_groups long, n_links long, {last} string"
+    rows = seen.where("links IS NOT NULL").select(*DESCRIBED)
+    order = [id_col, *NUMBERS, "n_best", "count_sum", last]
 
-    def described(batch: pa.RecordBatch, a: int, b: int, found: Block) -> list:
-        text = found.groups()
-        if digest:
-            text = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in text]
-        numbers = (found.n_a, found.n_b, found.n_groups, found.n_links)
-        return [batch.column(0).slice(a, b - a), *(pa.array(x.astype("i8")) for x in numbers), pa.array(text, pa.string())]
+    def documents(batch: pa.RecordBatch) -> Iterator[tuple[list[pa.Array], Links]]:
+        """The columns ``names`` and the links of the documents of each row."""
+        for k in range(batch.num_rows):
+            yield [c.slice(k, 1).flatten() for c in batch.columns[:-1]], unpacked(batch.column(len(DESCRIBED) - 1)[k].as_py())
 
-    rows = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    order = [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", last]
     if whole is not None:
 
-        def scores() -> Scores:
-            known, highest = PairTable(whole.value), best.value
-
-            def of(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-                counts = known.count(pairs)
-                return counts == highest[pairs >> 32], counts
-
-            return of
-
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            aligner = loaded(stage, *files.value, scores=scores)
+            known, highest = PairTable(whole.value), best.value
             for batch in batches:
-                texts = batch.column(1).to_pylist()
-                for a, b in in_blocks(texts):
-                    found = aligner.read(texts[a:b])
-                    sums = found.n_best, found.count_sum
-                    yield pa.RecordBatch.from_arrays(described(batch, a, b, found) + [pa.array(s) for s in sums], names=[*names, "n_best", "count_sum"])
+                for columns, found in documents(batch):
+                    counts = known.count(found.pairs)
+                    sums = [pa.array(found.linked(v)) for v in (counts == highest[found.pairs >> 32], counts)]
+                    yield pa.RecordBatch.from_arrays(columns + sums, names=[*names, "n_best", "count_sum"])
 
         return rows.mapInArrow(run, f"{shown}, {SUMS}").select(*[F.col(f"`{c}`") for c in order])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each document, and for each block and bucket a row that asks."""
-        aligner, at = loaded(stage, *files.value), TaskContext.get().partitionId() << 40
+        at = TaskContext.get().partitionId() << 40
         asked = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in in_blocks(texts):
-                found, n = aligner.read(texts[a:b]), b - a
-                pairs, doc, of, times = found.distinct()
+            for columns, found in documents(batch):
+                (doc, of, times), n = found.distinct(), found.n
                 row = np.arange(at, at + n)
                 at += n
-                bucket = bucket_of(pairs)[of]
+                bucket = bucket_of(found.pairs)[of]
                 by = np.argsort(bucket, kind="stable")
                 edges = np.searchsorted(bucket[by], np.arange(BUCKETS + 1))
                 full = [(k, by[x:y]) for k, (x, y) in enumerate(zip(edges, edges[1:])) if x < y]
-                questions = [[k for k, _ in full], *([v[x].tobytes() for _, x in full] for v in (row[doc], pairs[of], times))]
-                head = described(batch, a, b, found) + [pa.array(row)] + [pa.nulls(n, t) for t in asked]
+                questions = [[k for k, _ in full], *([v[x].tobytes() for _, x in full] for v in (row[doc], found.pairs[of], times))]
+                head = columns + [pa.array(row)] + [pa.nulls(n, t) for t in asked]
                 tail = [pa.nulls(len(full), c.type) for c in head[:7]] + [pa.array(q, t) for q, t in zip(questions, asked)]
-                for columns in (head, tail):
-                    yield pa.RecordBatch.from_arrays(columns, names=[*names, "_row", "bucket", "rows", "pairs", "times"])
+                for some in (head, tail):
+                    yield pa.RecordBatch.from_arrays(some, names=[*names, "_row", "bucket", "rows", "pairs", "times"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, known = None, None

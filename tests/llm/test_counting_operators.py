@@ -98,6 +98,20 @@ def test_alignment(spark, mixed_texts, broadcast):
     assert keyed(found) == keyed(brute_alignment(mixed_texts)[0])
 
 
+@pytest.mark.parametrize("broadcast", [pair_alignment.BROADCAST, 0])
+def test_texts_are_aligned_once(spark, mixed_texts, broadcast):
+    read = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame(mixed_texts, "doc_id long, text string").repartition(3).mapInArrow(noted, "doc_id long, text string")
+    found = pair_alignment.align(docs, A, B, digest=True, broadcast=broadcast).collect()
+    assert len(found) == len(mixed_texts) == read.value
+
+
 def test_alignment_query(spark, tmp_path, mixed_texts):
     found = Q.op11_pair_alignment(spark, saved(spark, tmp_path, mixed_texts)).collect()
     expected = [(*r[:-1], hashlib.sha256(r[-1].encode()).hexdigest() if r[-1] else "") for r in brute_alignment(mixed_texts)[0]]
