@@ -63,7 +63,7 @@ BROADCAST = 1 << 22  # pairs of a table that is sent to every task, 26 bytes eac
 BLOCK = 1 << 20  # characters of texts that are aligned together, if a text is no longer
 GAMMA = 2  # bits of a level for each pair that is left
 LONG = 64  # characters of a piece that is not remembered
-REMEMBERED = 200_000  # pieces after which those before are let go, unless they come again
+REMEMBERED = 120_000  # pieces after which those before are let go, unless they come again
 # A single space between these is a border of tokens: a token of A that holds it starts with it, as does one of B.
 SOLID = "!-~À-ɏ"
 BORDER = re.compile(f"(?<=[{SOLID}]) (?=[{SOLID}])")
