@@ -63,6 +63,21 @@ def test_similarity_components(spark, k, percent):
     assert kept.columns == docs.columns and kept.count() == len(set(label))
 
 
+def test_similar_sets_of_groups_whose_first_sets_differ(spark, monkeypatch):
+    """Sets of a group share the first shingles only: the rest of the first set says nothing of the others."""
+    monkeypatch.setattr(group_join, "OFTEN", 100)
+    words = sorted((f"w{i}" for i in range(2000)), key=lambda w: group_join.shingles(w, 1)[0])
+    early, late, rows = words[:120], words[120:], []
+    for k in range(10):
+        p, q, r = early[12 * k : 12 * k + 7], early[12 * k + 7 : 12 * k + 9], [late[90 * k + 30 * j : 90 * k + 30 * j + 23] for j in range(3)]
+        # One prefix with two tails, and the second tail after another prefix; for odd k that has a first set of its own, too.
+        rows += [p + r[0], p + r[1], *[p[:5] + q + r[2]] * (k % 2), p[:5] + q + r[1]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string").coalesce(1)
+    _, label = brute_components(list(enumerate(map(" ".join, rows))), 1, 80)
+    found = {r.doc_id: r.component_id for r in group_join.similarity_components(docs, 1, 80).collect()}
+    assert found == dict(enumerate(label)) and len(set(label)) == len(rows) - 10
+
+
 def test_similarity_without_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert group_join.similarity_components(docs).collect() == [] and group_join.keep_firsts(docs).collect() == []
