@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from postlens.llm import vectors as V
-from postlens.llm.common import stored
+from postlens.llm.common import drop_stored, stored
 
 SAMPLE = 2000
 PIVOTS = 32
@@ -88,6 +88,22 @@ def far_apart(m: np.ndarray, length2: float, count: int) -> np.ndarray:
     return m[chosen]
 
 
+def sampled(rows: DataFrame, dim: int, count: int) -> np.ndarray:
+    """The first ``SAMPLE`` of the ``count`` vectors of a dimension by the hash of the id.
+
+    They are found on the executors, each of which would send the driver as many otherwise, among those of a low hash.
+    """
+    key, share = F.xxhash64("id"), 2 * SAMPLE / count
+    while True:
+        low = rows.where((F.col("dim") == dim) & (key <= min(2**63 - 1, int(share * 2**64) - 2**63)))
+        first = stored(low.orderBy(key, "id").limit(SAMPLE).select("v"), "sample")
+        found = first.collect()
+        drop_stored(first)
+        if len(found) == SAMPLE or share >= 1:
+            return whole(np.array([r["v"] for r in found]))
+        share *= 16  # ids repeat: their hashes don't spread
+
+
 def spaces(rows: DataFrame) -> dict[int, Space]:
     """A space for each dimension; from a bounded sample and the largest length."""
 
@@ -95,11 +111,8 @@ def spaces(rows: DataFrame) -> dict[int, Space]:
     def length2(v):
         return v.map(lambda x: float((whole(x) ** 2).sum()))
 
-    out = {}
-    for r in rows.groupBy("dim").agg(F.max(length2("v")).alias("l")).collect():  # one row for each dimension
-        sample = rows.where(F.col("dim") == r["dim"]).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()
-        out[r["dim"]] = Space(r["l"], far_apart(whole(np.array([s["v"] for s in sample])), r["l"], PIVOTS))
-    return out
+    known = rows.groupBy("dim").agg(F.max(length2("v")).alias("l"), F.count("*").alias("n")).collect()  # one row for each dimension
+    return {r["dim"]: Space(r["l"], far_apart(sampled(rows, r["dim"], r["n"]), r["l"], PIVOTS)) for r in known}
 
 
 def build(rows: DataFrame, known) -> DataFrame:
@@ -163,8 +176,11 @@ def expand(q_id: int, q: np.ndarray, at: float, bound: int, space: Space, ids, d
 
 
 def visited(asked: DataFrame, found: DataFrame, known, k: int) -> DataFrame:
-    """Search every block for the queries that visit it (columns as in ``V.HITS``)."""
-    tiles = asked.join(found, ["dim", "pivot", "block"]).select(
+    """Search every block for the queries that visit it (columns as in ``V.HITS``).
+
+    Neither side is broadcast: Spark takes ``asked`` to be as small as the queries, but it has each once for every block.
+    """
+    tiles = asked.hint("merge").join(found, ["dim", "pivot", "block"]).select(
         "dim", "pivot", "q_ids", "q_bounds", "q_data", "ids", "distances", "data"
     )
 

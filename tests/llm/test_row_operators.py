@@ -5,6 +5,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from postlens.llm import chat, components, group_join, matrix_join, pivot_index
@@ -164,6 +165,37 @@ def test_vector_search(spark, search, monkeypatch):
     assert sorted(tuple(r) for r in found.collect()) == expected
 
 
+def test_no_more_than_the_sample_reaches_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(pivot_index, "SAMPLE", 200)
+    rng = np.random.default_rng(5)
+    given = [(i, rng.standard_normal(64).astype("f4").tolist()) for i in range(6000)]
+    df = spark.createDataFrame(given, "id long, v array<float>").withColumn("dim", F.size("v")).repartition(30)
+    order = df.select("id").orderBy(F.xxhash64("id")).limit(200).collect()
+    expected = pivot_index.whole(np.array([given[r.id][1] for r in order], "f4"))
+    conf = spark.sparkContext._jsc.sc().conf()
+    conf.set("spark.driver.maxResultSize", "1m")
+    try:
+        found = pivot_index.spaces(df)[64]
+        once = pivot_index.spaces(df.withColumn("id", F.lit(7).cast("long")))[64]
+    finally:
+        conf.remove("spark.driver.maxResultSize")
+    length2 = max(float((pivot_index.whole(np.array(v, "f4")) ** 2).sum()) for _, v in given)
+    assert found.length2 == length2 and once.pivots.shape == (pivot_index.PIVOTS, 64)
+    assert np.array_equal(found.pivots, pivot_index.far_apart(expected, length2, pivot_index.PIVOTS))
+
+
+def test_queries_of_blocks_are_not_broadcast(spark):
+    one = np.ones(4)
+    known = spark.sparkContext.broadcast({4: pivot_index.Space(4.0, one[None])})
+    key, ids, zero = (4, 0, 0), np.array([50, 7]), np.zeros(1)
+    asked = spark.createDataFrame([(*key, ids[:1].tobytes(), ids[:1].tobytes(), one.tobytes())], "dim int, pivot int, block int, q_ids binary, q_bounds binary, q_data binary")
+    found = spark.createDataFrame([(*key, 0.0, 0.0, ids[1:].tobytes(), zero.tobytes(), (100 * one).tobytes())], pivot_index.BLOCK)
+    # As tables, both are known to be small.
+    hits = pivot_index.visited(pivot_index.stored(asked, "asked"), pivot_index.stored(found, "index"), known, 5)
+    assert "Broadcast" not in hits._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in hits.collect()] == [(50, [7], [400])]
+
+
 def test_vector_search_without_rows(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert pivot_index.top_k(df).collect() == [] and matrix_join.nearest(df).collect() == []
