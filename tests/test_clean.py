@@ -6,7 +6,7 @@ import pytest
 from conftest import plan
 from pyspark.sql import functions as F
 
-from postlens.functions import text as X
+from postlens.functions import lookup, text as X
 from postlens.functions.wordlists import STOP_WORDS
 from postlens.operators import clean, lemma
 
@@ -126,3 +126,17 @@ def test_stop_list_as_table(spark):
     for max_keys in (1000, 0):
         got = lemma.drop_listed(rows, unwanted, max_keys=max_keys).collect()
         assert {r.id_post: r.tokens for r in got} == {"1": ["b", "c"], "2": [], "3": []}
+
+
+def test_stop_list_and_lemmas_as_tables_are_joined_as_one(spark, texts):
+    rows = texts(["The dogs and the men, the dogs!", "so and the", None, "xyz dogs so men so"])
+    unwanted = spark.createDataFrame([("the",), ("and",), ("men",), ("so",), ("the",), (None,)], "word string")
+    lemmas = spark.createDataFrame([("dogs", "dog"), ("men", "man"), ("so", "sos"), (None, "x")], "form string, lemma string")
+    for max_keys in (1000, 3, 0):
+        found = clean.preprocess(rows, "text", unwanted, lemmas, max_keys)
+        assert {r.id_post: r.tokens for r in found.collect()} == {"0": ["dog", "dog"], "1": [], "2": [], "3": ["xyz", "dog"]}
+    # One of both tables, one with the dictionary, one with the rows.
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 3
+    doubled = lemmas.union(spark.createDataFrame([("dogs", "d")], lemmas.schema))
+    with pytest.raises(lookup.DoubledKey):
+        clean.preprocess(rows, "text", unwanted, doubled, 0)

@@ -33,6 +33,40 @@ def test_words_of_an_array_go_through_no_shuffle_before_the_join(spark):
     assert all("_word#" not in line for line in plan(found).splitlines() if "Exchange hash" in line)
 
 
+def test_arrays_with_the_break_between_words_and_empty_words(spark):
+    b = lookup.BREAK
+    arrays = [["a" + b + "b", "a"], [b], ["", ""], [""], [], None, [None, ""], ["a", "b"], ["b", ""], ["", "a"], [b + "a", None]] * 3
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(arrays)], "id int, words array<string>")
+    entries = {"a": 1, "": 2, b: 3, "a" + b + "b": 4, b + "a": 5}
+    table = spark.createDataFrame([*entries.items()], "word string, n int")
+    for keys in (100, 0):
+        found = df.transform(lookup.entry_adder(table, "word", keys), "words", "found")
+        assert found.columns == ["id", "words", "found"]
+        expected = [(i, a, None if a is None else [entries.get(w) for w in a]) for i, a in enumerate(arrays)]
+        assert sorted((r.id, r.words, None if r.found is None else [e and e.n for e in r.found]) for r in found.collect()) == expected
+
+
+def rows_of(node, name) -> int:
+    """The rows that all operators of a name in an executed plan gave."""
+    own = node.metrics().apply("numOutputRows").value() if node.nodeName() == name else 0
+    return own + sum(rows_of(node.children().apply(i), name) for i in range(node.children().size()))
+
+
+def test_a_word_goes_to_the_dictionary_once_for_a_bucket(spark, monkeypatch):
+    rng = random.Random(8)
+    df = spark.createDataFrame([(i, [f"w{rng.randrange(60)}" for _ in range(50)]) for i in range(500)], "id int, words array<string>")
+    table = spark.createDataFrame([(f"w{i}", i) for i in range(60)], "word string, n int")
+    monkeypatch.setattr(lookup, "BUCKETS", (1, 1), raising=False)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = lookup.join_entries(df, "words", "found", table, "word")
+        assert all([e.n for e in r.found] == [int(w[1:]) for w in r.words] for r in found.collect())
+        # With the salted dictionary; for each array there are some 17,000.
+        assert rows_of(found._jdf.queryExecution().executedPlan(), "Generate") <= 60 * 4 + 60 * lookup.salts(spark)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_names_of_characters_are_not_searched_in_one_long_map(spark):
     names = sorted(X.ENTITIES)[::7] + ["AMP", "amp", "copy", "notin", "not", "nosuch", "fjlig"]
     given = [f"a &{n}; b &{n} c &{n}1 &{n}" for n in names]
